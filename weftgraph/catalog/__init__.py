@@ -6,7 +6,7 @@ from importlib import import_module
 
 from weftgraph.catalog.registry import ORACLE, QUERIES, Run
 
-MODULES = ("graph_queries",)
+MODULES = ("graph_queries", "vector_queries")
 
 
 def _load() -> None:
