@@ -6,7 +6,7 @@ from importlib import import_module
 
 from weftgraph.catalog.registry import ORACLE, QUERIES, Run
 
-MODULES = ("graph_queries", "vector_queries", "text_queries", "hybrid_queries")
+MODULES = ("graph_queries", "vector_queries", "text_queries", "hybrid_queries", "write_queries")
 
 
 def _load() -> None:

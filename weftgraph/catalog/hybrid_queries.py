@@ -88,7 +88,6 @@ def x2(spark, folder):
         final=f""", {VECTORS}, both_lists AS (
         SELECT query_id, id, 0.4 * CASE WHEN hi > lo THEN (score - lo) / (hi - lo) ELSE 1 END AS s FROM hits
             JOIN (SELECT query_id, min(score) AS lo, max(score) AS hi FROM hits GROUP BY query_id) USING (query_id)
-            WHERE query_id IN (SELECT query_id FROM q)
         UNION ALL SELECT query_id, id, 0.6 * CASE WHEN hi > lo THEN ((1 - d) - lo) / (hi - lo) ELSE 1 END FROM dist
             JOIN (SELECT query_id, min(1 - d) AS lo, max(1 - d) AS hi FROM dist GROUP BY query_id) USING (query_id))
         SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT *, CAST(row_number() OVER (

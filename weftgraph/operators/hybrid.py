@@ -102,7 +102,11 @@ def rrf_search(
     depth = constant + 2 * k
     bounded = collect_queries(queries, max_broadcast_values)
     if bounded is None:
-        return _in_parts(hits, vectors, queries, k, constant, max_broadcast_values)
+        hits = materialize(hits)
+        return _in_parts(
+            lambda part_hits, part: rrf_search(part_hits, vectors, part, k, constant, max_broadcast_values),
+            hits, queries, max_broadcast_values,
+        )
     hits = materialize(hits.select("query_id", "id", "score"))
     by_text = top_k_per_group(hits, ["query_id"], [F.desc("score"), F.col("id")], depth)
     by_text = by_text.select("query_id", "id", "rank")
@@ -114,14 +118,14 @@ def rrf_search(
     )
 
 
-def _in_parts(hits, vectors, queries, k, constant, max_values) -> DataFrame:
-    """Query sets beyond the bound: hash parts of the queries, one pass over the vectors each."""
+def _in_parts(search: Callable, hits: DataFrame, queries: DataFrame, max_values: int) -> DataFrame:
+    """Query sets beyond the bound: hash parts of the queries, one search each."""
     most = max(1, max_values // max(1, queries.select(F.max(F.size("embedding"))).first()[0] or 1))
     parts = max(2, -(-2 * queries.count() // most))
     found = None
     for part in range(parts):
         own = F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
-        rows = rrf_search(hits.filter(own), vectors, queries.filter(own), k, constant, max_values)
+        rows = search(hits.filter(own), queries.filter(own))
         found = rows if found is None else found.unionByName(rows)
     return found
 
@@ -212,6 +216,7 @@ def weighted_search(
     k: int = 10,
     text_weight: float = 0.5,
     vector_weight: float = 0.5,
+    max_broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """The ``k`` best by a weighted sum of per-query min-max scaled text and vector scores.
 
@@ -219,9 +224,14 @@ def weighted_search(
     scores lying next to each vector and keeps ``k`` rows per query and task.
     """
     check_limit(k, "k")
-    bounded = collect_queries(queries)
+    bounded = collect_queries(queries, max_broadcast_values)
     if bounded is None:
-        raise ValueError("too many queries for one pass: call once per part of the query table")
+        return _in_parts(
+            lambda part_hits, part: weighted_search(
+                part_hits, vectors, part, k, text_weight, vector_weight, max_broadcast_values
+            ),
+            materialize(hits), queries, max_broadcast_values,
+        )
     query_ids, matrix = bounded
     position = {int(q): i for i, q in enumerate(query_ids)}
     rows = usable(vectors)
@@ -291,4 +301,9 @@ def weighted_search(
             )
 
     fused = together.mapInArrow(fuse, "query_id long, id long, score double")
+    # Queries without a vector are ranked by their text alone.
+    text_only = scaled.join(queries.filter(F.col("embedding").isNotNull()), "query_id", "left_anti")
+    fused = fused.unionByName(
+        text_only.select("query_id", "id", F.round(text_weight * F.col("scaled"), SCORE_DECIMALS).alias("score"))
+    )
     return top_k_per_group(fused, ["query_id"], [F.desc("score"), F.col("id")], k)
