@@ -68,5 +68,6 @@ def document_hash(content: Column | str, metadata: Column | None = None) -> Colu
     if metadata is None:
         metadata = F.create_map().cast("map<string,string>")
     ordered = F.map_from_entries(F.array_sort(F.map_entries(metadata)))
-    body = F.to_json(F.struct(F.coalesce(content, F.lit("")).alias("content"), ordered.alias("metadata")))
+    # Named explicitly: aliases inside struct() are lost in a select that also explodes.
+    body = F.to_json(F.named_struct(F.lit("content"), F.coalesce(content, F.lit("")), F.lit("metadata"), ordered))
     return F.left(F.sha2(body, 256), F.lit(32))

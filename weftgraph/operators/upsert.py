@@ -139,7 +139,7 @@ def source_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.lit(DOCUMENT_LABEL).alias("src_label"),
         source_key().alias("src_key"),
         F.lit(MENTIONS).alias("type"),
-        F.struct("doc", F.lit(2).alias("phase"), F.lit(1).alias("pos")).alias("__seq"),
+        "doc",
         F.posexplode("nodes").alias("__pos", "__node"),
     )
     none = F.create_map().cast("map<string,string>")
@@ -150,7 +150,7 @@ def source_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("__node.type", F.lit(DEFAULT_LABEL)).alias("dst_label"),
         F.col("__node.id").alias("dst_key"),
         none.alias("props"),
-        F.struct("__seq.doc", "__seq.phase", (F.col("__pos") + 1).alias("pos")).alias("seq"),
+        F.struct("doc", F.lit(2).alias("phase"), F.col("__pos").alias("pos")).alias("seq"),
     )
 
 
