@@ -3,6 +3,7 @@
 Queries are rows ``query_id, clause, role, kind, text, boost``:
 
 * ``role``: ``should`` (any of them), ``must`` (all of them), ``must_not``;
+* ``clause``: a name that is unique within the query;
 * ``kind``: ``term``, ``prefix``, ``fuzzy`` (one edit) or ``phrase`` (tokens in a row);
 * ``boost``: factor on the score of the clause.
 """
@@ -10,63 +11,88 @@ Queries are rows ``query_id, clause, role, kind, text, boost``:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.functions.postings import DOCUMENT_MARK, POSTING, SLICE, form_postings
 from weftgraph.functions.text import SCORE_DECIMALS, bm25, one_edit_keys, prefix_keys, snippet, tokens
+from weftgraph.operators.filters import where_in
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
-from weftgraph.plans.sizing import broadcast_if_small, spread
-
-#: Gap left between two indexed properties, so that no phrase crosses them.
-PROPERTY_GAP = 100
-#: Every document has one posting under this term; it carries the document length.
-DOCUMENT_MARK = ""
+from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small, spread
 
 # Language names and the codes found in language columns.
 LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "russian": "ru", "italian": "it"}
 
 
 class TextIndex:
-    """Postings ``(id, term, tf, dl, positions)``, either still to be read from text or stored."""
+    """Postings ``(id, dl, term, tf, positions)``, still to be formed from text or stored.
+
+    ``lists`` holds the tokens of every document, one array column per indexed property.
+    """
 
     def __init__(
-        self,
-        occurrences: DataFrame | None = None,
-        stored: DataFrame | None = None,
-        lengths: DataFrame | None = None,
+        self, lists: DataFrame | None = None, stored: DataFrame | None = None, removed: Sequence[str] = ()
     ):
-        self.occurrences = occurrences
+        self.lists = lists
         self.stored = stored
-        self.lengths = lengths
+        self.removed = sorted(set(removed))
+
+    def _columns(self) -> list[str]:
+        return [c for c in self.lists.columns if c != "id"]
+
+    def _formed(self, wanted: pa.Array | None = None, positions: bool = True) -> DataFrame:
+        columns = self._columns()
+        removed = pa.array(self.removed, pa.string()) if self.removed else None
+
+        def run(batches):
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE):
+                    yield form_postings(batch.slice(start, SLICE), columns, wanted, removed, positions)
+
+        return self.lists.mapInArrow(run, POSTING + (", positions array<int>" if positions else ""))
 
     def postings(self) -> DataFrame:
         """All postings, document marks included."""
-        return self.stored if self.stored is not None else _group(self.occurrences)
+        return self.stored if self.stored is not None else self._formed()
 
     def matching(self, terms: DataFrame, positions: bool = False) -> DataFrame:
         """Postings of the given terms and all document marks, with positions only if asked.
 
-        Read from text this is one pass: tokens nobody asks for are dropped before the shuffle,
-        and the outcome is written once because counts and scores both need it.
+        Read from text this is one pass without a shuffle: a bounded set of terms goes to the
+        tasks, which form the postings of these only. The outcome is written once because counts
+        and scores both need it.
         """
         wanted = terms.select("term").distinct()
-        mark = wanted.sparkSession.range(1).select(F.lit(DOCUMENT_MARK).alias("term"))
-        wanted = broadcast_if_small(wanted.union(mark))
         if self.stored is not None:
-            return self.stored.join(wanted, "term", "left_semi")
-        return materialize(_group(self.occurrences.join(wanted, "term", "left_semi"), positions))
+            mark = wanted.sparkSession.range(1).select(F.lit(DOCUMENT_MARK).alias("term"))
+            return self.stored.join(broadcast_if_small(wanted.union(mark)), "term", "left_semi")
+        listed = wanted.limit(BROADCAST_ROWS + 1).toArrow()["term"].combine_chunks()
+        if len(listed) <= BROADCAST_ROWS:
+            return materialize(self._formed(listed, positions))
+        kept = self._formed(None, positions).join(wanted, "term", "left_semi")
+        marks = self._formed(pa.array([], pa.string()), positions)
+        return materialize(kept.unionByName(marks))
 
     def vocabulary(self) -> DataFrame:
         """Distinct terms, reduced map-side."""
-        source = self.stored if self.stored is not None else self.occurrences
-        return source.filter(F.col("term") != DOCUMENT_MARK).select("term").distinct()
+        if self.stored is not None:
+            return self.stored.filter(F.col("term") != DOCUMENT_MARK).select("term").distinct()
+        words = reduce(
+            DataFrame.unionByName, [self.lists.select(F.explode(c).alias("term")) for c in self._columns()]
+        ).distinct()
+        return where_in(words, "term", self.removed, negate=True) if self.removed else words
 
     def documents_indexed(self) -> DataFrame:
         """One row: number of documents and of tokens."""
-        return _totals(self.lengths) if self.stored is None else collection_size(self.stored)
+        if self.stored is not None:
+            return collection_size(self.stored)
+        sizes = [F.size(c) for c in self._columns()]
+        return _totals(self.lists.select(sum(sizes[1:], sizes[0]).cast("long").alias("dl")))
 
     def write(self, path: str) -> "TextIndex":
         """Store the postings sorted by term; ranges are cut on ``(term, id)``.
@@ -89,12 +115,6 @@ def _totals(marks: DataFrame) -> DataFrame:
     return marks.agg(F.count("*").alias("documents"), F.coalesce(F.sum("dl"), F.lit(0)).alias("tokens"))
 
 
-def _group(occurrences: DataFrame, positions: bool = True) -> DataFrame:
-    """Postings of occurrences; a document's tokens are combined in the task that read it."""
-    lists = [F.collect_list("pos").alias("positions")] if positions else []
-    return occurrences.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"), *lists)
-
-
 def stop_words(language: str) -> list[str]:
     """Spark's stop words of a language."""
     return StopWordsRemover.loadDefaultStopWords(language)
@@ -118,23 +138,11 @@ def build_text_index(
     if language_column:
         nodes = nodes.filter(F.col(language_column) == LANGUAGES.get(language or "english", language))
     arrays = [F.coalesce(tokens(name), F.array().cast("array<string>")) for name in names]
-    lists = spread(nodes.select("id", *names), "id").select("id", *[a.alias(f"__t{i}") for i, a in enumerate(arrays)])
-    columns = [F.col(f"__t{i}") for i in range(len(names))]
-    length = sum((F.size(c) for c in columns[1:]), F.size(columns[0]))
-    offset = F.lit(0)
-    placed = [F.array(F.struct(F.lit(DOCUMENT_MARK).alias("term"), F.lit(-1).alias("pos")))]
-    for column in columns:
-        here = offset
-        placed.append(
-            F.transform(column, lambda t, i: F.struct(t.alias("term"), (i + here).cast("int").alias("pos")))
-        )
-        offset = offset + F.size(column) + PROPERTY_GAP
-    rows = lists.select("id", length.alias("dl"), F.inline(F.concat(*placed)))
+    lists = spread(nodes.select(F.col("id").cast("long"), *names), "id").select(
+        "id", *[a.alias(f"t{i}") for i, a in enumerate(arrays)]
+    )
     removed = stop_lists[language] if stop_lists else stop_words(language) if language else []
-    if removed:
-        words = nodes.sparkSession.createDataFrame([(w,) for w in sorted(set(removed))], "term string")
-        rows = rows.join(F.broadcast(words), "term", "left_anti")
-    return TextIndex(occurrences=rows, lengths=lists.select("id", length.alias("dl")))
+    return TextIndex(lists=lists, removed=removed)
 
 
 def term_clauses(terms: DataFrame, role: str = "should", kind: str = "term") -> DataFrame:
@@ -214,12 +222,15 @@ def score(
     )
     if "phrase" in kinds:
         found = _keep_phrases(found, only="term" not in kinds and "prefix" not in kinds and "fuzzy" not in kinds)
+    if "prefix" in kinds or "fuzzy" in kinds:
+        # One clause may stand for several terms of a document: one row per clause from here on.
+        found = found.groupBy("query_id", "id", "musts", "role", "clause").agg(F.sum("__score").alias("__score"))
     kept = F.col("role") != "must_not"
     return (
         found.groupBy("query_id", "id", "musts")
         .agg(
             F.round(F.sum(F.when(kept, F.col("__score"))), SCORE_DECIMALS).alias("score"),
-            F.size(F.collect_set(F.when(F.col("role") == "must", F.col("clause")))).alias("__met"),
+            F.count(F.when(F.col("role") == "must", 1)).alias("__met"),
             F.count(F.when(~kept, 1)).alias("__banned"),
         )
         .filter((F.col("__met") == F.col("musts")) & (F.col("__banned") == 0) & (F.col("score") > 0))
