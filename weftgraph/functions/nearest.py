@@ -56,7 +56,7 @@ def _block(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
         return np.where(lengths > 0, 1 - products / lengths, np.inf)
 
 
-def _best(query: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int):
+def best_rows(query: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int):
     """Keep the ``k`` least ``(distance, id)`` of every query."""
     order = np.lexsort((ids, dist, query))
     query, ids, dist = query[order], ids[order], dist[order]
@@ -90,7 +90,7 @@ class Nearest:
             exact = pair_distances(rows[row], self.queries[block[col]], self.metric)
             parts.append((block[col], ids[row], np.round(exact, TIE_DECIMALS)))
         merged = [np.concatenate(columns) for columns in zip(*parts)]
-        self.found = _best(*merged, self.k)
+        self.found = best_rows(*merged, self.k)
 
     def result(self, query_ids: np.ndarray) -> pa.RecordBatch:
         query, ids, dist = self.found

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.distance import distance
 from weftgraph.functions.fusion import min_max, rows_before
-from weftgraph.functions.nearest import TIE_DECIMALS, pair_distances, to_matrix
+from weftgraph.functions.nearest import TIE_DECIMALS, best_rows, pair_distances, to_matrix
 from weftgraph.functions.text import SCORE_DECIMALS
 from weftgraph.operators.match import reached_nodes
 from weftgraph.operators.text import TextIndex, score
 from weftgraph.operators.vector import BROADCAST_VALUES, collect_queries, knn, usable
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
+from weftgraph.plans.sizing import absent_from, broadcast_if_small
 
 #: Constant of reciprocal rank fusion (Cormack, Clarke and Buettcher, 2009).
 RRF_CONSTANT = 60
@@ -178,7 +179,8 @@ def _missing_text_ranks(hits: DataFrame, by_text: DataFrame, near: DataFrame) ->
 def _missing_vector_ranks(vectors: DataFrame, by_text: DataFrame, near: DataFrame, bounded) -> DataFrame:
     """Vector places of text candidates that have an embedding but are not among the nearest."""
     query_ids, matrix = bounded
-    asked = by_text.join(near, ["query_id", "id"], "left_anti").join(usable(vectors), "id")
+    missing = materialize(by_text.join(near, ["query_id", "id"], "left_anti"))
+    asked = usable(vectors).join(broadcast_if_small(missing), "id")
     position = {int(q): i for i, q in enumerate(query_ids)}
 
     def measure(batches):
@@ -232,9 +234,36 @@ def weighted_search(
             ),
             materialize(hits), queries, max_broadcast_values,
         )
-    query_ids, matrix = bounded
+    hits = materialize(hits.select("query_id", "id", "score"))
+    text_span = hits.groupBy("query_id").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+    width = F.col("high") - F.col("low")
+    scaled = hits.join(F.broadcast(text_span), "query_id").select(
+        "id", "query_id", F.when(width > 0, (F.col("score") - F.col("low")) / width).otherwise(1.0).alias("scaled")
+    )
+    # Queries without a vector are ranked by their text alone.
+    text_only = scaled.join(queries.filter(F.col("embedding").isNotNull()), "query_id", "left_anti")
+    text_only = text_only.select("query_id", "id", F.round(text_weight * F.col("scaled"), SCORE_DECIMALS).alias("score"))
+    if len(bounded[0]) == 0:
+        fused = text_only
+    else:
+        fused = _fuse_scores(vectors, scaled, *bounded, k, text_weight, vector_weight).unionByName(text_only)
+    return top_k_per_group(fused, ["query_id"], [F.desc("score"), F.col("id")], k)
+
+
+def _fuse_scores(
+    vectors: DataFrame,
+    scaled: DataFrame,
+    query_ids: np.ndarray,
+    matrix: np.ndarray,
+    k: int,
+    text_weight: float,
+    vector_weight: float,
+) -> DataFrame:
+    """Best ``k`` rows per query and task, from scaled text scores and the vectors next to them."""
     position = {int(q): i for i, q in enumerate(query_ids)}
     rows = usable(vectors)
+    # Rows handled at once, so that the score block stays small whatever the query count.
+    step = max(1, 1_000_000 // len(matrix))
 
     def similarities(column) -> np.ndarray:
         block = to_matrix(column, matrix.shape[1])
@@ -242,9 +271,9 @@ def weighted_search(
 
     def extremes(batches):
         low, high = np.full(len(matrix), np.inf), np.full(len(matrix), -np.inf)
-        for batch in batches:
-            if batch.num_rows:
-                scores = similarities(batch.column("embedding"))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                scores = similarities(whole.column("embedding").slice(start, step))
                 known = np.isfinite(scores)
                 low = np.minimum(low, np.where(known, scores, np.inf).min(axis=0))
                 high = np.maximum(high, np.where(known, scores, -np.inf).max(axis=0))
@@ -258,52 +287,47 @@ def weighted_search(
     spans = spans.set_index("query_id").reindex(query_ids)
     low, high = spans["low"].to_numpy(), spans["high"].to_numpy()
 
-    text_span = hits.groupBy("query_id").agg(F.min("score").alias("low"), F.max("score").alias("high"))
-    width = F.col("high") - F.col("low")
-    scaled = hits.join(F.broadcast(text_span), "query_id").select(
-        "id", "query_id", F.when(width > 0, (F.col("score") - F.col("low")) / width).otherwise(1.0).alias("scaled")
-    )
     # At most one entry per query in a document's list.
-    per_document = scaled.groupBy("id").agg(F.collect_list(F.struct("query_id", "scaled")).alias("texts"))
-    together = rows.join(per_document, "id", "full_outer").select("id", "embedding", "texts")
+    per_document = materialize(scaled.groupBy("id").agg(F.collect_list(F.struct("query_id", "scaled")).alias("texts")))
+    # Small text results go to the vectors; the vectors are not shuffled for them.
+    beside = rows.join(broadcast_if_small(per_document), "id", "left").select("id", "embedding", "texts")
+    without = absent_from(per_document, rows, ["id"])
+    none = F.lit(None).cast(rows.schema["embedding"].dataType)
+    together = beside.unionByName(without.select("id", none.alias("embedding"), "texts"))
+    def scores_of(batch) -> tuple[np.ndarray, np.ndarray]:
+        """Fused score of every row and query, and which of them exist."""
+        embedded = np.asarray(batch.column("embedding").is_valid())
+        total = np.zeros((batch.num_rows, len(matrix)))
+        valid = np.zeros(total.shape, bool)
+        if embedded.any():
+            scores = similarities(batch.column("embedding").drop_null())
+            known = np.isfinite(scores)
+            total[embedded] = vector_weight * np.where(known, min_max(scores, low, high), 0)
+            valid[embedded] = known
+        lists = batch.column("texts")
+        entries = lists.flatten()
+        if len(entries):
+            row = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
+            query = np.array([position.get(int(q), -1) for q in np.asarray(entries.field("query_id"))])
+            asked = query >= 0
+            total[row[asked], query[asked]] += text_weight * np.asarray(entries.field("scaled"))[asked]
+            valid[row[asked], query[asked]] = True
+        return total, valid
 
     def fuse(batches):
-        kept = None
-        for batch in batches:
-            ids = np.asarray(batch.column("id"), dtype=np.int64)
-            embedded = np.asarray(batch.column("embedding").is_valid())
-            total = np.zeros((len(ids), len(matrix)))
-            valid = np.zeros(total.shape, bool)
-            if embedded.any():
-                scores = similarities(batch.column("embedding").drop_null())
-                known = np.isfinite(scores)
-                total[embedded] = vector_weight * np.where(known, min_max(scores, low, high), 0)
-                valid[embedded] = known
-            lists = batch.column("texts")
-            if len(lists.flatten()):
-                row = np.repeat(np.arange(len(ids)), np.asarray(lists.value_lengths().fill_null(0)))
-                entries = lists.flatten()
-                query = np.array([position.get(int(q), -1) for q in np.asarray(entries.field("query_id"))])
-                asked = query >= 0
-                total[row[asked], query[asked]] += text_weight * np.asarray(entries.field("scaled"))[asked]
-                valid[row[asked], query[asked]] = True
-            at_row, at_query = np.nonzero(valid)
-            found = (at_query, ids[at_row], np.round(total[at_row, at_query], SCORE_DECIMALS))
-            kept = found if kept is None else tuple(np.concatenate(p) for p in zip(kept, found))
-            order = np.lexsort((kept[1], -kept[2], kept[0]))
-            kept = tuple(column[order] for column in kept)
-            first = np.r_[0, np.flatnonzero(np.diff(kept[0])) + 1] if len(order) else np.empty(0, int)
-            place = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-            kept = tuple(column[place < k] for column in kept)
-        if kept is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[kept[0]]), pa.array(kept[1]), pa.array(kept[2])], names=["query_id", "id", "score"]
-            )
+        kept = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ids = np.asarray(batch.column("id"), dtype=np.int64)
+                total, valid = scores_of(batch)
+                cost = np.where(valid, -np.round(total, SCORE_DECIMALS), np.inf)
+                last = min(k, len(ids)) - 1
+                row, query = np.nonzero(valid & (cost <= np.partition(cost, last, axis=0)[last]))
+                found = (query, ids[row], cost[row, query])
+                kept = best_rows(*[np.concatenate(pair) for pair in zip(kept, found)], k)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(query_ids[kept[0]]), pa.array(kept[1]), pa.array(-kept[2])], names=["query_id", "id", "score"]
+        )
 
-    fused = together.mapInArrow(fuse, "query_id long, id long, score double")
-    # Queries without a vector are ranked by their text alone.
-    text_only = scaled.join(queries.filter(F.col("embedding").isNotNull()), "query_id", "left_anti")
-    fused = fused.unionByName(
-        text_only.select("query_id", "id", F.round(text_weight * F.col("scaled"), SCORE_DECIMALS).alias("score"))
-    )
-    return top_k_per_group(fused, ["query_id"], [F.desc("score"), F.col("id")], k)
+    return together.mapInArrow(fuse, "query_id long, id long, score double")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weftgraph.operators.filters import stable_label, where_in
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
+from weftgraph.plans.sizing import BROADCAST_ROWS, rows_up_to
 
 DIRECTIONS = ("outbound", "inbound", "both")
 
@@ -59,11 +60,14 @@ def paths(edges: DataFrame, starts: DataFrame, min_hops: int = 1, max_hops: int
     )
     kept = []
     for hops in range(1, max_hops + 1):
+        known = None
         if hops < max_hops:
             level = materialize(level)
+            known = rows_up_to(level)
         if hops >= min_hops:
             kept.append(level.select("start", "end", F.lit(hops).alias("hops"), "path"))
-        if hops < max_hops:
+        if known:
+            level = F.broadcast(level) if known <= BROADCAST_ROWS else level
             level = (
                 level.join(step, "end")
                 .filter(~F.array_contains("__used", F.col("__edge")))
@@ -74,6 +78,10 @@ def paths(edges: DataFrame, starts: DataFrame, min_hops: int = 1, max_hops: int
                     F.array_append("__used", F.col("__edge")).alias("__used"),
                 )
             )
+        elif known == 0:
+            break
+    if not kept:
+        kept = [level.select("start", "end", F.lit(0).alias("hops"), "path")]
     return reduce(DataFrame.unionByName, kept)
 
 
@@ -117,10 +125,12 @@ def reached_nodes(
         )
         if depth < max_depth:
             found = materialize(found)
-            if found.isEmpty():
+            known = rows_up_to(found)
+            if known == 0:
                 break
             visited = visited.unionByName(found)
-            frontier = found
+            # A small frontier is sent to the edges; only a large one shuffles them.
+            frontier = F.broadcast(found) if known <= BROADCAST_ROWS else found
         levels.append(found.withColumn("depth", F.lit(depth)))
     if not levels:
         return frontier.filter(F.lit(False)).withColumn("depth", F.lit(0))

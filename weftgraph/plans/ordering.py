@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from weftgraph.plans.materialize import materialize
 
 
+#: Bits of Spark's increasing id that count rows inside a partition.
+PLACE_BITS = 33
+
+
 def check_limit(value: int, name: str = "limit") -> int:
     """Reject anything but an integer of at least one (a bool is not an integer here)."""
     if isinstance(value, bool) or not isinstance(value, int) or value < 1:
@@ -36,23 +40,26 @@ def _slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def with_dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id", start: Column | int = 0) -> DataFrame:
-    """Number all rows ``start, start + 1, ...`` in the order given, without a single-task sort.
+    """Number all rows ``start, start + 1, ...`` in the order given, with one range shuffle.
 
-    Rows are range-partitioned, each slice is numbered on its own and shifted by the number of
-    rows in the slices before it. Only one count per slice is ordered globally.
+    Rows are range-partitioned and sorted inside their slice. Spark's increasing id then holds the
+    slice in its upper and the place in the slice in its lower 33 bits, so only the slice sizes,
+    one row per slice, have to be added up.
     """
     columns = [F.col(c) for c in order]
-    sliced = _slices(df, columns)
-    sizes = sliced.groupBy("__slice").agg(F.count("*").alias("__n"))
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    placed = materialize(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    slice_of = F.shiftright(F.col("__at"), PLACE_BITS)
+    sizes = placed.groupBy(slice_of.alias("__slice")).agg(F.count("*").alias("__n"))
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    local = F.row_number().over(Window.partitionBy("__slice").orderBy(*columns))
     base = start if isinstance(start, Column) else F.lit(start)
+    place = F.col("__at").bitwiseAND(F.lit(2**PLACE_BITS - 1))
     return (
-        # One row per slice of the range partitioning: bounded by the partition count.
-        sliced.join(F.broadcast(offsets), "__slice")
-        .withColumn(id_col, (base + F.col("__offset") + local - 1).cast("long"))
-        .drop("__slice", "__offset")
+        placed.withColumn("__slice", slice_of)
+        .join(F.broadcast(offsets), "__slice")
+        .withColumn(id_col, (base + F.col("__offset") + place).cast("long"))
+        .drop("__slice", "__offset", "__at")
     )
 
 

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def rows_up_to(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
+    """Number of rows, counted no further than ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count()
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return rows_up_to(df, max_rows) <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -27,3 +32,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def absent_from(rows: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose keys do not occur in ``large``.
+
+    When ``rows`` fits the bound the large table is only filtered where it lies and never
+    shuffled; a plain anti join would shuffle both sides.
+    """
+    if fits(rows):
+        large = large.join(F.broadcast(rows.select(*keys)), keys, "left_semi")
+    return rows.join(large.select(*keys), keys, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weftgraph.plans.sizing import broadcast_if_small
+from weftgraph.plans.sizing import absent_from
 
 #: What a relation name must look like once it is upper-cased.
 RELATION = r"^[A-Z_][A-Z0-9_]*$"
@@ -31,8 +31,7 @@ def split_facts(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def save_facts(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """New facts only: each ``(subject, relation, object)`` is kept once per session."""
-    good = split_facts(batch)[0].distinct()
-    return good.join(stored.select(*FACT_KEY), FACT_KEY, "left_anti")
+    return absent_from(split_facts(batch)[0].distinct(), stored, FACT_KEY)
 
 
 def fact_nodes(facts: DataFrame) -> DataFrame:
@@ -61,9 +60,7 @@ def ingest_facts(stream: DataFrame, store: str, checkpoint: str) -> StreamingQue
         good = good.distinct()
         if number > 0:
             seen = spark.read.schema(f"{FACT_SCHEMA}, batch long").parquet(f"{store}/facts").filter(F.col("batch") < number)
-            # The store is only read where a fact of this batch may already be: no shuffle of it.
-            known = seen.join(broadcast_if_small(good), FACT_KEY, "left_semi").select(*FACT_KEY)
-            good = good.join(known, FACT_KEY, "left_anti")
+            good = absent_from(good, seen, FACT_KEY)
         good.write.mode("overwrite").parquet(f"{store}/facts/batch={number}")
         bad.write.mode("overwrite").parquet(f"{store}/rejects/batch={number}")
 
