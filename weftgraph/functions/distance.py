@@ -48,8 +48,7 @@ def distance(a: Column | str, b: Column | str, metric: str = "cosine") -> Column
     if name == "dot":
         return -inner_product(a, b)
     if name == "cosine":
-        length = norm(a) * norm(b)
-        return F.when(length > 0, 1 - inner_product(a, b) / length)
+        return 1 - F.try_divide(inner_product(a, b), norm(a) * norm(b))
     gaps = F.zip_with(a, b, lambda x, y: x.cast("double") - y.cast("double"))
     if name == "l2":
         return F.sqrt(_total(F.transform(gaps, lambda x: x * x)))

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.distance import check_metric, norm
+from weftgraph.functions.distance import check_metric
 from weftgraph.functions.nearest import Nearest, to_matrix
 from weftgraph.operators.vector import BROADCAST_VALUES, HITS, collect_queries, empty_hits, usable
 from weftgraph.plans.ordering import check_limit, top_k_per_group
@@ -42,14 +42,12 @@ def build_cells(
 ) -> CellIndex:
     """Assign every vector to the nearest of ``cells`` centres (k-means over all vectors)."""
     metric = check_metric(metric)
-    rows = usable(vectors)
+    raw = usable(vectors).withColumn("__raw", array_to_vector(F.col("embedding").cast("array<double>")))
     if metric == "cosine":
         # Direction is all that counts, so the centres are found on unit vectors.
-        length = norm(F.col("embedding"))
-        unit = F.transform("embedding", lambda x: x.cast("double") / F.when(length > 0, length).otherwise(1.0))
+        featured = Normalizer(inputCol="__raw", outputCol="__features").transform(raw).drop("__raw")
     else:
-        unit = F.transform("embedding", lambda x: x.cast("double"))
-    featured = rows.withColumn("__features", array_to_vector(unit))
+        featured = raw.withColumnRenamed("__raw", "__features")
     model = KMeans(
         k=check_limit(cells, "cells"), seed=seed, maxIter=rounds, featuresCol="__features", predictionCol="cell"
     ).fit(featured)
