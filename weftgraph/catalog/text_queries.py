@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftgraph.catalog.registry import nid, query
 from weftgraph.functions.text import tokens
 from weftgraph.operators import text
+from weftgraph.plans.sizing import spread
 from weftgraph.sources.tables import read_table, table_graph
 
 DUCK_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
@@ -61,7 +62,7 @@ def documents(spark, folder) -> DataFrame:
 
 
 def document_index(spark, folder) -> text.TextIndex:
-    return text.build_text_index(documents(spark, folder), "text")
+    return text.build_text_index(spread(documents(spark, folder), "id"), "text")
 
 
 def item_terms(spark, folder) -> DataFrame:
@@ -233,9 +234,10 @@ def language_sql() -> str:
 def t8(spark, folder):
     """Short words against each language on its own, without that language's stop words."""
     clauses = text.term_clauses(item_terms(spark, folder).filter(F.length("term").between(2, 4)))
+    whole = spread(documents(spark, folder), "id")
     found = None
     for name in STOP_LISTS:
-        index = text.build_text_index(documents(spark, folder), "text", name, "lang", STOP_LISTS)
+        index = text.build_text_index(whole, "text", name, "lang", STOP_LISTS)
         hits = rounded(text.text_search(index, clauses, 3, ["term"])).withColumn("language", F.lit(name))
         found = hits if found is None else found.unionByName(hits)
     return found

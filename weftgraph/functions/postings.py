@@ -20,6 +20,17 @@ SLICE = 500
 POSTING = "id long, dl long, term string, tf long"
 
 
+def distinct_terms(batches, columns: list[str]):
+    """The terms of all batches of a task, each once."""
+    found = pa.array([], pa.string())
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            lists = [part.column(name).flatten().cast(pa.string()) for name in columns]
+            found = pa.concat_arrays([found, pa.concat_arrays(lists).unique()]).unique()
+    yield pa.RecordBatch.from_arrays([found], names=["term"])
+
+
 def form_postings(
     batch: pa.RecordBatch,
     columns: list[str],

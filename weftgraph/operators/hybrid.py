@@ -22,6 +22,8 @@ from weftgraph.plans.sizing import absent_from, broadcast_if_small
 
 #: Constant of reciprocal rank fusion (Cormack, Clarke and Buettcher, 2009).
 RRF_CONSTANT = 60
+#: Most queries fused in one pass; more are fused in parts, with one pass each.
+FUSED_QUERIES = 2_000
 
 
 def hybrid_search(
@@ -102,7 +104,7 @@ def rrf_search(
     check_limit(k, "k")
     depth = constant + 2 * k
     bounded = collect_queries(queries, max_broadcast_values)
-    if bounded is None:
+    if bounded is None or len(bounded[0]) > FUSED_QUERIES:
         hits = materialize(hits)
         return _in_parts(
             lambda part_hits, part: rrf_search(part_hits, vectors, part, k, constant, max_broadcast_values),
@@ -121,11 +123,13 @@ def rrf_search(
 
 def _in_parts(search: Callable, hits: DataFrame, queries: DataFrame, max_values: int) -> DataFrame:
     """Query sets beyond the bound: hash parts of the queries, one search each."""
-    most = max(1, max_values // max(1, queries.select(F.max(F.size("embedding"))).first()[0] or 1))
+    size = queries.select(F.max(F.size("embedding"))).first()[0] or 1
+    most = max(1, min(FUSED_QUERIES, max_values // size))
     parts = max(2, -(-2 * queries.count() // most))
     found = None
     for part in range(parts):
-        own = F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part
+        # The number of parts salts the hash: a part that is still too large is cut anew.
+        own = F.pmod(F.xxhash64("query_id", F.lit(parts)), F.lit(parts)) == part
         rows = search(hits.filter(own), queries.filter(own))
         found = rows if found is None else found.unionByName(rows)
     return found
@@ -227,7 +231,7 @@ def weighted_search(
     """
     check_limit(k, "k")
     bounded = collect_queries(queries, max_broadcast_values)
-    if bounded is None:
+    if bounded is None or len(bounded[0]) > FUSED_QUERIES:
         return _in_parts(
             lambda part_hits, part: weighted_search(
                 part_hits, vectors, part, k, text_weight, vector_weight, max_broadcast_values
@@ -237,7 +241,7 @@ def weighted_search(
     hits = materialize(hits.select("query_id", "id", "score"))
     text_span = hits.groupBy("query_id").agg(F.min("score").alias("low"), F.max("score").alias("high"))
     width = F.col("high") - F.col("low")
-    scaled = hits.join(F.broadcast(text_span), "query_id").select(
+    scaled = hits.join(broadcast_if_small(text_span), "query_id").select(
         "id", "query_id", F.when(width > 0, (F.col("score") - F.col("low")) / width).otherwise(1.0).alias("scaled")
     )
     # Queries without a vector are ranked by their text alone.

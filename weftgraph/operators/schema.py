@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.props import TYPE_NAMES, type_name, variant_type_name
+from weftgraph.plans.sizing import broadcast_if_small
 
 # Schema modes and their codes.
 MODES = {"strict": 1, "validated": 2, "flexible": 3}
@@ -127,11 +128,10 @@ def mode_violations(rows: DataFrame, declared: DataFrame, modes: Mapping[str, st
     """Undeclared properties on labels in strict mode: ``label, id, property``.
 
     ``rows`` is ``(label, id, props)``; ``validated`` and ``flexible`` labels may carry extra ones.
-    Declared properties and modes are as small as the schema.
     """
     strict = [label for label, mode in modes.items() if schema_mode(mode) == MODES["strict"]]
     names = rows.filter(F.col("label").isin(strict)).select("label", "id", F.explode(F.map_keys("props")).alias("property"))
-    return names.join(F.broadcast(declared.select("label", "property")), ["label", "property"], "left_anti")
+    return names.join(broadcast_if_small(declared.select("label", "property")), ["label", "property"], "left_anti")
 
 
 def type_violations(rows: DataFrame, declared: DataFrame, modes: Mapping[str, str | int]) -> DataFrame:
@@ -142,7 +142,7 @@ def type_violations(rows: DataFrame, declared: DataFrame, modes: Mapping[str, st
     checked = [label for label, mode in modes.items() if schema_mode(mode) != MODES["flexible"]]
     split = rows.filter(F.col("label").isin(checked)).select("label", "id", F.explode("props").alias("property", "__value"))
     typed = split.withColumn("found", variant_type_name(F.col("__value"))).drop("__value")
-    joined = typed.join(F.broadcast(declared.select("label", "property", "type")), ["label", "property"])
+    joined = typed.join(broadcast_if_small(declared.select("label", "property", "type")), ["label", "property"])
     return joined.filter(F.col("found").isNotNull() & (F.col("found") != F.col("type")))
 
 

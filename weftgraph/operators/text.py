@@ -11,19 +11,18 @@ Queries are rows ``query_id, clause, role, kind, text, boost``:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.postings import DOCUMENT_MARK, POSTING, SLICE, form_postings
+from weftgraph.functions.postings import DOCUMENT_MARK, POSTING, SLICE, distinct_terms, form_postings
 from weftgraph.functions.text import SCORE_DECIMALS, bm25, one_edit_keys, prefix_keys, snippet, tokens
 from weftgraph.operators.filters import where_in
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
-from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small, spread
+from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small
 
 # Language names and the codes found in language columns.
 LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "russian": "ru", "italian": "it"}
@@ -79,12 +78,11 @@ class TextIndex:
         return materialize(kept.unionByName(marks))
 
     def vocabulary(self) -> DataFrame:
-        """Distinct terms, reduced map-side."""
+        """Distinct terms; every task sends each of its terms once."""
         if self.stored is not None:
             return self.stored.filter(F.col("term") != DOCUMENT_MARK).select("term").distinct()
-        words = reduce(
-            DataFrame.unionByName, [self.lists.select(F.explode(c).alias("term")) for c in self._columns()]
-        ).distinct()
+        columns = self._columns()
+        words = self.lists.mapInArrow(lambda batches: distinct_terms(batches, columns), "term string").distinct()
         return where_in(words, "term", self.removed, negate=True) if self.removed else words
 
     def documents_indexed(self) -> DataFrame:
@@ -138,9 +136,7 @@ def build_text_index(
     if language_column:
         nodes = nodes.filter(F.col(language_column) == LANGUAGES.get(language or "english", language))
     arrays = [F.coalesce(tokens(name), F.array().cast("array<string>")) for name in names]
-    lists = spread(nodes.select(F.col("id").cast("long"), *names), "id").select(
-        "id", *[a.alias(f"t{i}") for i, a in enumerate(arrays)]
-    )
+    lists = nodes.select(F.col("id").cast("long"), *[a.alias(f"t{i}") for i, a in enumerate(arrays)])
     removed = stop_lists[language] if stop_lists else stop_words(language) if language else []
     return TextIndex(lists=lists, removed=removed)
 

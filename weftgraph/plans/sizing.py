@@ -27,8 +27,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Cut a table of fewer splits than cores into one part per core.
 
-    Meant for work that is heavy per row (text, vectors). A large table has more splits than the
-    cluster has cores and is returned as it is, without a shuffle.
+    Meant for a plain scan before work that is heavy per row (text, vectors). A large table has more
+    splits than the cluster has cores and is returned as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
