@@ -113,6 +113,8 @@ def rrf_search(
     hits = materialize(hits.select("query_id", "id", "score"))
     by_text = top_k_per_group(hits, ["query_id"], [F.desc("score"), F.col("id")], depth)
     by_text = by_text.select("query_id", "id", "rank")
+    if len(bounded[0]) == 0:
+        return fuse_ranks([by_text], k, constant)
     near = materialize(knn(vectors, queries, depth, "cosine", max_broadcast_values).select("query_id", "id", "rank"))
     return fuse_ranks(
         [by_text, near, _missing_text_ranks(hits, by_text, near), _missing_vector_ranks(vectors, by_text, near, bounded)],
@@ -190,7 +192,7 @@ def _missing_vector_ranks(vectors: DataFrame, by_text: DataFrame, near: DataFram
     def measure(batches):
         for batch in batches:
             own = np.array([position.get(int(q), -1) for q in np.asarray(batch.column("query_id"))], dtype=np.int64)
-            rows = to_matrix(batch.column("embedding"), matrix.shape[1] if len(matrix) else None)
+            rows = to_matrix(batch.column("embedding"), matrix.shape[1])
             value = np.full(len(own), np.inf)
             value[own >= 0] = pair_distances(rows[own >= 0], matrix[own[own >= 0]], "cosine")
             value = np.round(value, TIE_DECIMALS)
@@ -205,7 +207,7 @@ def _missing_vector_ranks(vectors: DataFrame, by_text: DataFrame, near: DataFram
         counts = {q: np.zeros(len(ids), np.int64) for q, (_, ids) in places.items()}
         for batch in batches:
             ids = np.asarray(batch.column("id"), dtype=np.int64)
-            rows = to_matrix(batch.column("embedding"), matrix.shape[1] if len(matrix) else None)
+            rows = to_matrix(batch.column("embedding"), matrix.shape[1])
             for q, place in places.items():
                 values = np.round(pair_distances(rows, matrix[position[q]][None, :], "cosine"), TIE_DECIMALS)
                 usable_rows = np.isfinite(values)
