@@ -102,20 +102,20 @@ def u2(spark, folder):
     "u3_upsert_edges",
     """WITH written AS (SELECT 'part' || l_partkey AS src_key, 'supplier' || l_suppkey AS dst_key, l_returnflag, l_orderkey,
             row_number() OVER (PARTITION BY l_partkey, l_suppkey, l_returnflag <> 'R' ORDER BY l_orderkey DESC, l_linenumber DESC) AS r
-        FROM lineitem WHERE l_suppkey * 2 IN (SELECT s_suppkey FROM supplier)),
+        FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 5000)),
     patch AS (SELECT src_key, dst_key, max(CASE WHEN l_returnflag <> 'R' AND r = 1 THEN CAST(l_orderkey AS VARCHAR) END) AS last_order
         FROM written GROUP BY src_key, dst_key),
-    stored AS (SELECT 'part' || l_partkey AS src_key, 'supplier' || l_suppkey AS dst_key FROM lineitem WHERE l_linenumber = 1),
-    edges AS (SELECT s.src_key, s.dst_key, 'first' AS status, p.last_order FROM stored s
+    stored AS (SELECT 'part' || l_partkey AS src_key, 'supplier' || l_suppkey AS dst_key FROM lineitem WHERE l_linestatus = 'O'),
+    edges AS (SELECT s.src_key, s.dst_key, 'open' AS status, p.last_order FROM stored s
         LEFT JOIN patch p ON p.src_key = s.src_key AND p.dst_key = s.dst_key
         UNION ALL SELECT p.src_key, p.dst_key, NULL, p.last_order FROM patch p
         WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.src_key = p.src_key AND s.dst_key = p.dst_key))
     SELECT src_key, 'SUPPLIED_BY' AS type, dst_key, status, last_order FROM edges""",
 )
 def u3(spark, folder):
-    """Stored parallel edges all take the new property; lines whose supplier is unknown do nothing.
+    """Stored parallel edges (open lines) all take the new property.
 
-    Known suppliers are those of half the keys: the node table maps supplier ``k`` to key ``k / 2``.
+    Only suppliers with a good balance are nodes; a line of any other one does nothing.
     """
     lines = read_table(spark, folder, "lineitem")
     ends = [F.concat(F.lit("part"), "l_partkey").alias("src_key"), F.concat(F.lit("supplier"), "l_suppkey").alias("dst_key")]
@@ -126,13 +126,12 @@ def u3(spark, folder):
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"),
     )
     parts = read_table(spark, folder, "part").select(F.lit("Part").alias("label"), F.concat(F.lit("part"), "p_partkey").alias("key"))
-    even = F.col("s_suppkey") / 2
-    suppliers = read_table(spark, folder, "supplier").filter(even == F.floor(even)).select(
-        F.lit("Supplier").alias("label"), F.concat(F.lit("supplier"), F.floor(even).cast("string")).alias("key")
+    suppliers = read_table(spark, folder, "supplier").filter("s_acctbal >= 5000").select(
+        F.lit("Supplier").alias("label"), F.concat(F.lit("supplier"), "s_suppkey").alias("key")
     )
-    stored = lines.filter("l_linenumber = 1").select(
+    stored = lines.filter("l_linestatus = 'O'").select(
         F.lit("Part").alias("src_label"), ends[0], F.lit("SUPPLIED_BY").alias("type"), F.lit("Supplier").alias("dst_label"), ends[1],
-        F.create_map(F.lit("status"), F.lit("first")).alias("props"),
+        F.create_map(F.lit("status"), F.lit("open")).alias("props"),
     )
     merged = upsert.upsert_edges(stored, parts.unionByName(suppliers), batch)
     return merged.select("src_key", "type", "dst_key", *[F.col("props")[p].alias(p) for p in ("status", "last_order")])
