@@ -180,3 +180,18 @@ def test_facts_sink(spark, graph, tmp_path):
 
 def test_count_by_type(graph):
     assert [tuple(r) for r in aggregate.count_by_type(graph.links()).collect()] == [("ROAD", 4), ("LIVES_IN", 2)]
+
+
+@pytest.mark.parametrize("bound", [match.BROADCAST_ROWS, 0])
+def test_hub_with_most_edges_on_both_join_plans(spark, monkeypatch, bound):
+    monkeypatch.setattr(match, "BROADCAST_ROWS", bound)
+    leaves = 3000
+    edges = spark.range(1, leaves + 1).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    tail = spark.createDataFrame([(leaves, leaves + 1)], "src long, dst long")
+    edges = edges.unionByName(tail)
+    nodes, walked = match.traverse(edges, starts(spark, 1), "both", 3)
+    counts = dict(rows(nodes.groupBy("depth").count()))
+    assert counts == {1: 1, 2: leaves - 1, 3: 1}
+    assert walked.count() == leaves + 1
+    found = match.paths(edges, starts(spark, 0), 1, 2)
+    assert dict(rows(found.groupBy("hops").count())) == {1: leaves, 2: 1}
