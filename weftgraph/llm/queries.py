@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, compression, exact, mixing
+from weftgraph.llm import bpe, compression, exact, minhash, mixing
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -92,6 +92,34 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents")).drop("row")
 
 
+# All pairs that share a shingle are compared: exact, and meant for the small tables of the SQL check.
+NEAR_SQL = r"""
+WITH RECURSIVE
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM d),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM p WHERE 100 * common >= 75 * (nx + ny - common)),
+ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(x, y) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.x, b.y FROM reach r JOIN ways b ON r.y = b.x),
+c AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c USING (doc_id)
+"""
+
+
+@query("op8_minhash_near_dedup", NEAR_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents")).drop("row")
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return compression.quality(table(spark, folder, "documents")).drop("row")

@@ -36,7 +36,7 @@ def _same_as_before(table: pa.Table, key: Sequence[str]) -> np.ndarray:
     return same
 
 
-def _walk(key: list[str], hash_col: str, keep: list[str], lead: str | None, kinds: pa.Schema):
+def _walk(key: list[str], hash_col: str, keep: list[str], lead: str | None, kinds: pa.Schema, only_repeated: bool):
     """The task: number the runs of a sorted slice and report those that may go on in another slice."""
 
     def row_key(table: pa.Table, i: int) -> bytes:
@@ -89,8 +89,13 @@ def _walk(key: list[str], hash_col: str, keep: list[str], lead: str | None, kind
                     to = at_first if hashes[i] == first_hash else at_last
                     to[int(run[i])] = (row_key(table, int(i)), int(leads[i]))
             repeated = ~(starts[:-1] & ~same)
-            if n > 1:
-                yield out(table.slice(0, n - 1), n - 1, run[:-1], leads[:-1], repeated, [None] * (n - 1))
+            # A single row may still be repeated in the slice before.
+            shown = repeated | (hashes[:-1] == first_hash) if only_repeated else np.ones(n - 1, bool)
+            if shown.any():
+                m = int(shown.sum())
+                yield out(
+                    table.slice(0, n - 1).filter(pa.array(shown)), m, run[:-1][shown], leads[:-1][shown], repeated[shown], [None] * m
+                )
             held, held_run, held_lead, held_opens = table.slice(n - 1), int(run[-1]), int(leads[-1]), bool(starts[-1])
         if held is not None:
             yield out(held, 1, [held_run], [held_lead], [not held_opens], [None])
@@ -105,13 +110,15 @@ def _walk(key: list[str], hash_col: str, keep: list[str], lead: str | None, kind
 
 def name_runs(
     df: DataFrame, key: Sequence[str], tie: Sequence[str], keep: Sequence[str], lead: str | None = None,
-    hash_col: str | None = None, name: str = "runs",
+    hash_col: str | None = None, name: str = "runs", only_repeated: bool = False,
 ) -> DataFrame:
     """Give rows of equal ``key`` one integer name, ``name``; different keys never share one.
 
     Also returned: ``repeated`` (the key occurs more than once) and ``lead`` (the value of the long
     column ``lead`` in the first row of the key by ``tie``). ``keep`` are the columns to carry along.
     Keys are compared themselves; their hash (``hash_col``, or one made here) only orders them.
+    With ``only_repeated`` the rows of keys that occur once are left out of the written table, as far as
+    a task can tell; filter on ``repeated`` for the rest. Then ``hash_col`` must be the key itself.
     ``df`` is evaluated twice (range bounds, then rows), so it should be a scan or a stored table.
     """
     hashed = hash_col or "__hash"
@@ -131,7 +138,7 @@ def name_runs(
     )
     kinds = to_arrow_schema(T.StructType([rows.schema[c] for c in keep]))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    named = store(ranged.mapInArrow(_walk(list(key), hashed, keep, lead, kinds), schema), name)
+    named = store(ranged.mapInArrow(_walk(list(key), hashed, keep, lead, kinds, only_repeated), schema), name)
 
     # A key that lies in several slices is an edge of each of them; two edges per slice, as a rule.
     seen: dict[bytes, list] = {}
