@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, compression, exact, minhash, mixing
+from weftgraph.llm import bpe, compression, exact, langid, lattice, minhash, mixing
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -79,6 +79,14 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.fair_mix(table(spark, folder, "documents")).drop("row")
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(langid.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    profiles = langid.fit(docs.filter(~held_out).select("lang", "text"))
+    return langid.predict(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 EXACT_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
@@ -92,6 +100,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents")).drop("row")
 
 
+@query("op7_lattice_likelihood")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.score(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model")).drop("row")
+
+
 # All pairs that share a shingle are compared: exact, and meant for the small tables of the SQL check.
 NEAR_SQL = r"""
 WITH RECURSIVE
