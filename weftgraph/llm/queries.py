@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, chat, compression, exact, langid, lattice, minhash, mixing, warc
+from weftgraph.llm import bpe, chat, compression, exact, langid, lattice, minhash, mixing, suffix, warc
 from weftgraph.llm.store import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,27 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+PASSAGES_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM p),
+r AS (SELECT doc_id, i - 1 AS pos, min(doc_id) OVER (PARTITION BY k) AS lead, count(*) OVER (PARTITION BY k) AS n FROM h),
+g AS (
+  SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) <= 50 THEN 0 ELSE 1 END AS opens FROM r WHERE n > 1),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS stretch FROM g)
+SELECT doc_id, min(pos) AS begin_word, max(pos) + 50 AS end_word, max(pos) + 50 - min(pos) AS n_words,
+       min(lead) AS first_doc_id, min(lead) <> doc_id AS copy
+FROM s GROUP BY doc_id, stretch
+"""
+
+
+@query("op4_repeated_passages", PASSAGES_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.repeated_passages(table(spark, folder, "documents")).drop("row")
+
+
 EXACT_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
