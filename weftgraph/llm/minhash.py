@@ -5,9 +5,10 @@ in all rows of a band share a bucket. Texts of equal words are one representativ
 
 Buckets are never expanded into pairs. First each member meets the smallest member of its bucket, and
 the checked links give components. Only buckets that still hold several components are compared
-further: in blocks of a bounded number of signatures, and only pairs that the signatures leave
-possible go to the check on the full shingle sets. So every candidate pair of a bucket is either linked
-already, ruled out by 250 minima, or checked.
+further, in pieces of a bounded number of members: there the pairs that the signatures leave possible
+are checked on the full shingle sets, until each is linked, by itself or over others, or ruled
+out. So every candidate pair of a bucket is either within a component, ruled out by 250 minima, or
+checked, and what the tasks give back are at most as many links as a piece has members.
 """
 
 from __future__ import annotations
@@ -163,36 +164,70 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], names=["a", "b"])
 
 
+def overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the other sets link with ``own``; all sets are sorted."""
+    sizes = np.array([len(x) for x in others])
+    flat = np.concatenate(others)
+    place = np.searchsorted(own, flat)
+    place[place == len(own)] = 0
+    common = np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= PERCENT * (len(own) + sizes - common)
+
+
+def piece_links(
+    one: np.ndarray, two: np.ndarray, label: np.ndarray, minima: np.ndarray, sets: list[np.ndarray]
+) -> Iterator[tuple[int, int]]:
+    """Links between members of different components, as many as join them (indices into the arrays).
+
+    Each of ``one`` meets each of ``two`` that is not in its component by then. The likely ones are tried
+    first, a few at a time; a link makes one component of two, so there are fewer links than members.
+    """
+    label = label.copy()
+    for i in one:
+        agree = (minima[two] == minima[i]).sum(axis=1)
+        near = two[(agree >= LEAST_AGREE) & (label[two] != label[i])]
+        near = near[np.argsort(-(minima[near] == minima[i]).sum(axis=1), kind="stable")]
+        size = 1
+        while len(near):
+            for j in near[:size][overlaps(sets[i], [sets[k] for k in near[:size]])]:
+                if label[j] != label[i]:
+                    yield int(i), int(j)
+                    label[label == label[j]] = label[i]
+            near = near[size:]
+            near = near[label[near] != label[i]]
+            size *= 8
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Possible pairs of different components inside each piece of a bucket.
+    """Checked links that join components inside each piece of a bucket.
 
     Rows come sorted by piece; a piece has at most two blocks. Columns: bucket, first block, second
-    block, own block, row, component, minima.
+    block, own block, row, component, minima, text.
     """
     held: pa.Table | None = None
 
-    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
         piece = np.stack([table[i].to_numpy() for i in range(3)])
         cut = np.flatnonzero((piece[:, 1:] != piece[:, :-1]).any(axis=0)) + 1
-        own, rows, comps = (table[i].to_numpy() for i in (3, 4, 5))
-        minima = np.frombuffer(b"".join(table[6].to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+        own, rows, label = (table[i].to_numpy() for i in (3, 4, 5))
         left, right = [], []
         for b, e in zip(np.concatenate([[0], cut]), np.concatenate([cut, [table.num_rows]])):
-            if e - b < 2 or comps[b:e].min() == comps[b:e].max():
+            if e - b < 2 or label[b:e].min() == label[b:e].max():
                 continue
-            one, two = np.arange(b, e), np.arange(b, e)
+            part = table.slice(b, e - b).combine_chunks()
+            minima = np.frombuffer(b"".join(part[6].to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+            sets: list[np.ndarray] = []
+            for _, _, words in sliced(part[7]):
+                hashes, begins = distinct_shingles(words)
+                sets += [hashes[x:y] for x, y in zip(begins[:-1], begins[1:])]
+            one = two = np.arange(e - b)
             if piece[1][b] != piece[2][b]:
                 one, two = one[own[b:e] == piece[1][b]], two[own[b:e] == piece[2][b]]
-            for i in one:
-                others = two[(rows[two] > rows[i]) & (comps[two] != comps[i])] if piece[1][b] == piece[2][b] else two[comps[two] != comps[i]]
-                if len(others):
-                    near = others[(minima[others] == minima[i]).sum(axis=1) >= LEAST_AGREE]
-                    left.append(np.minimum(rows[near], rows[i]))
-                    right.append(np.maximum(rows[near], rows[i]))
+            for i, j in piece_links(one, two, label[b:e], minima, sets):
+                left.append(min(rows[b + i], rows[b + j]))
+                right.append(max(rows[b + i], rows[b + j]))
         if left:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -202,29 +237,32 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero((piece[:, 1:] != piece[:, :-1]).any(axis=0)) + 1
         last = int(cut[-1]) if len(cut) else 0
         if last:
-            yield from pairs(table.slice(0, last))
+            yield from links(table.slice(0, last))
         held = table.slice(last).combine_chunks()
     if held is not None:
-        yield from pairs(held)
+        yield from links(held)
 
 
 PAIR = "a long, b long"
 
 
-def _checked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, possible: bool, name: str) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``, distinct) that link. ``possible``: the minima were compared already."""
-    if not possible:
-        minima = signed.select("row", "minima")
-        pairs = (
-            pairs.join(minima.toDF("a", "left"), "a")
-            .join(minima.toDF("b", "right"), "b")
-            .select("a", "b", "left", "right")
-            .mapInArrow(_agreeing, PAIR)
-        )
+def _bodies(texts: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """The texts of the rows ``wanted``, written once."""
+    wanted = store(wanted.distinct(), f"{name}-rows")
+    return store(texts.join(broadcast_if_small(wanted), "row", "left_semi"), f"{name}-texts")
+
+
+def _checked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``, distinct) that link."""
+    minima = signed.select("row", "minima")
+    pairs = (
+        pairs.join(minima.toDF("a", "left"), "a")
+        .join(minima.toDF("b", "right"), "b")
+        .select("a", "b", "left", "right")
+        .mapInArrow(_agreeing, PAIR)
+    )
     pairs = store(pairs, f"{name}-possible")
-    wanted = store(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), f"{name}-rows")
-    bodies = texts.join(broadcast_if_small(wanted), "row", "left_semi")
-    bodies = store(bodies, f"{name}-texts")
+    bodies = _bodies(texts, pairs.select(F.col("a").alias("row")).union(pairs.select("b")), name)
     with_both = pairs.join(bodies.toDF("b", "right"), "b").join(bodies.toDF("a", "left"), "a")
     return store(with_both.select("a", "b", "left", "right").mapInArrow(_linked, PAIR), f"{name}-links")
 
@@ -257,7 +295,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = rows.select("row", "text")
     stars = buckets.filter("row <> lead").select(F.col("lead").alias("a"), F.col("row").alias("b")).distinct()
     stars = store(stars, "stars")
-    links = _checked(stars, signed, texts, False, "stars")
+    links = _checked(stars, signed, texts, "stars")
     linked = store(components(links), "components")
 
     # What the stars left open: buckets of three and more with several components.
@@ -270,17 +308,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).filter("members > 2 AND low <> high")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_ = store(open_.select("bucket", blocks.alias("blocks")), "open-buckets")
+    left_open = store(labelled.join(open_, "bucket"), "open-members")
+    bodies = _bodies(texts, left_open.select("row"), "open")
     placed = (
-        labelled.join(open_, "bucket")
-        .withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+        left_open.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
         .join(signed.select("row", "minima"), "row")
+        .join(bodies, "row")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "row", "component", "minima")
+        .select(
+            "bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "row", "component",
+            "minima", "text",
+        )
         .repartition("bucket", "one", "two")
         .sortWithinPartitions("bucket", "one", "two")
     )
-    more = placed.mapInArrow(_across, PAIR).distinct().join(stars, ["a", "b"], "left_anti")
-    links = store(links.union(_checked(store(more, "across"), signed, texts, True, "across")), "links")
+    links = store(links.union(placed.mapInArrow(_across, PAIR)), "links")
     linked = store(components(links), "components")
 
     member = classes.join(linked.withColumnRenamed("node", "lead"), "lead", "left").select(
