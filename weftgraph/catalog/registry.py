@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftgraph.sources.tables import KIND_BASE, KINDS, LINK_QUANTITY, TURN_BASE
+from weftgraph.sources.tables import KIND_BASE, KINDS, TURN_BASE
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -60,22 +60,34 @@ CTES = {
     "next_turn": f"SELECT {nid('Turn', f'a.conv_id * {TURN_BASE} + a.turn')} AS src, "
     f"{nid('Turn', f'b.conv_id * {TURN_BASE} + b.turn')} AS dst "
     "FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1",
-    "bought_lines": f"SELECT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_quantity >= {LINK_QUANTITY}",
-    "bought_anchor": "SELECT o, min(p) AS a FROM bought_lines GROUP BY o",
-    "bought_with": f"SELECT DISTINCT {nid('Part', 'a')} AS src, {nid('Part', 'p')} AS dst "
-    "FROM bought_anchor JOIN bought_lines USING (o) WHERE p > a",
-    # Every edge of the trade tables with its type.
-    "trade_links": "SELECT src, 'PLACED' AS type, dst FROM placed UNION ALL SELECT src, 'CONTAINS', dst FROM contains "
+    "bought_anchor": "SELECT l_orderkey AS o, min(l_partkey) AS a FROM lineitem GROUP BY l_orderkey",
+    "bought_with": f"SELECT DISTINCT {nid('Part', 'a')} AS src, {nid('Part', 'l_partkey')} AS dst "
+    "FROM bought_anchor JOIN lineitem ON l_orderkey = o WHERE l_partkey > a",
+    # Every edge with its type, and every node with its label and name where it has one.
+    "all_links": "SELECT src, 'PLACED' AS type, dst FROM placed UNION ALL SELECT src, 'CONTAINS', dst FROM contains "
     "UNION ALL SELECT src, 'SUPPLIED_BY', dst FROM supplied_by UNION ALL SELECT src, 'IN_NATION', dst FROM in_nation "
-    "UNION ALL SELECT src, 'IN_REGION', dst FROM in_region UNION ALL SELECT src, 'BOUGHT_WITH', dst FROM bought_with",
+    "UNION ALL SELECT src, 'IN_REGION', dst FROM in_region UNION ALL SELECT src, 'BOUGHT_WITH', dst FROM bought_with "
+    "UNION ALL SELECT src, 'DID', dst FROM did UNION ALL SELECT src, 'NEXT', dst FROM next_turn",
+    "all_nodes": " UNION ALL ".join(
+        f"SELECT id, '{label}' AS label, {name} AS name FROM {table}"
+        for label, name, table in (
+            ("Region", "name", "region_n"), ("Nation", "name", "nation_n"), ("Customer", "name", "customer_n"),
+            ("Order", "CAST(NULL AS VARCHAR)", "order_n"), ("Part", "name", "part_n"), ("Supplier", "name", "supplier_n"),
+            ("User", "name", "user_n"), ("EventType", "name", "event_type_n"),
+            ("Document", "CAST(NULL AS VARCHAR)", "document_n"), ("Turn", "CAST(NULL AS VARCHAR)", "turn_n"),
+        )
+    ),
 }
 
 NEEDS = {
     "did": ["event_type_n"],
-    "bought_anchor": ["bought_lines"],
-    "bought_with": ["bought_lines", "bought_anchor"],
-    "trade_links": [
-        "placed", "contains", "supplied_by", "in_nation", "in_region", "bought_lines", "bought_anchor", "bought_with",
+    "bought_with": ["bought_anchor"],
+    "all_links": [
+        "placed", "contains", "supplied_by", "in_nation", "in_region", "bought_anchor", "bought_with", "event_type_n", "did",
+        "next_turn",
+    ],
+    "all_nodes": [
+        "region_n", "nation_n", "customer_n", "order_n", "part_n", "supplier_n", "user_n", "event_type_n", "document_n", "turn_n",
     ],
 }
 

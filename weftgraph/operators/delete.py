@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.operators.filters import where_equal, where_in
+from weftgraph.plans.materialize import materialize
+from weftgraph.plans.sizing import broadcast_if_small
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Remove the nodes whose ``id`` is in ``targets``, and every edge at either end of one."""
-    gone = targets.select("id")
+    """Remove the nodes whose ``id`` is in ``targets``, and every edge at either end of one.
+
+    Few targets go to the nodes and edges, which then stay where they are.
+    """
+    gone = broadcast_if_small(materialize(targets.select("id").distinct()))
     left = nodes.join(gone, "id", "left_anti")
     links = edges.join(gone.withColumnRenamed("id", "src"), "src", "left_anti")
     return left, links.join(gone.withColumnRenamed("id", "dst"), "dst", "left_anti")
@@ -44,10 +49,11 @@ def delete(
 def blocked_deletes(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """Targets of a plain delete that still have edges: ``id, edges``. Empty means it may go on.
 
-    Edge ends are counted map-side before they meet the targets.
+    Only the edge ends at a target are counted, map-side first.
     """
+    gone = broadcast_if_small(materialize(targets.select("id").distinct()))
     ends = edges.select(F.col("src").alias("id")).unionByName(edges.select(F.col("dst").alias("id")))
-    return ends.groupBy("id").agg(F.count("*").alias("edges")).join(targets.select("id"), "id", "left_semi")
+    return ends.join(gone, "id", "left_semi").groupBy("id").agg(F.count("*").alias("edges"))
 
 
 def purge(nodes: DataFrame, edges: DataFrame, properties: dict[str, Any]) -> tuple[DataFrame, DataFrame]:

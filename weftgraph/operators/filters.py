@@ -23,19 +23,22 @@ def where_equal(df: DataFrame, properties: Mapping[str, Any]) -> DataFrame:
 def where_in(df: DataFrame, column: str, values: Sequence[Any] | DataFrame, negate: bool = False) -> DataFrame:
     """Membership in a list or in the first column of a DataFrame.
 
-    ``NOT IN`` follows SQL for the tested side: a NULL value is never kept.
+    A NULL in the tested column is never kept; a NULL among the values matches nothing and excludes
+    nothing. Both hold for a list of any length and for a DataFrame.
     """
     if isinstance(values, DataFrame):
-        keys = values.select(F.col(values.columns[0]).alias(column))
+        # Spark splits hot keys on the left side only; repeats on the right are reduced map-side.
+        keys = values.select(F.col(values.columns[0]).alias(column)).distinct()
         if negate:
             return df.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
         return df.join(keys, column, "left_semi")
+    values = [v for v in values if v is not None]
     if len(values) > MAX_LITERALS:
         spark = df.sparkSession
         keys = spark.createDataFrame([(v,) for v in values], f"`{column}` {df.schema[column].dataType.simpleString()}")
         return where_in(df, column, keys, negate)
-    test = F.col(column).isin(list(values))
-    return df.filter(~test if negate else test)
+    test = F.col(column).isin(values)
+    return df.filter(F.col(column).isNotNull() & ~test if negate else test)
 
 
 def stable_label(labels: Column | str) -> Column:

@@ -63,7 +63,7 @@ def text_and_vector_scores(hits: DataFrame, vectors: DataFrame, queries: DataFra
 
 def text_match(nodes: DataFrame, index: TextIndex, clauses: DataFrame, kinds=("term",)) -> DataFrame:
     """Nodes that satisfy at least one of the queries."""
-    return nodes.join(score(index, clauses, kinds).select("id"), "id", "left_semi")
+    return nodes.join(score(index, clauses, kinds).select("id").distinct(), "id", "left_semi")
 
 
 def candidates(nodes: DataFrame, index: TextIndex, clauses: DataFrame, vectors: DataFrame, kinds=("term",)) -> DataFrame:
@@ -107,7 +107,7 @@ def rrf_search(
     if bounded is None or len(bounded[0]) > FUSED_QUERIES:
         hits = materialize(hits)
         return _in_parts(
-            lambda part_hits, part: rrf_search(part_hits, vectors, part, k, constant, max_broadcast_values),
+            lambda part_hits, part, bound: rrf_search(part_hits, vectors, part, k, constant, bound),
             hits, queries, max_broadcast_values,
         )
     hits = materialize(hits.select("query_id", "id", "score"))
@@ -124,15 +124,24 @@ def rrf_search(
 
 
 def _in_parts(search: Callable, hits: DataFrame, queries: DataFrame, max_values: int) -> DataFrame:
-    """Query sets beyond the bound: hash parts of the queries, one search each."""
-    size = queries.select(F.max(F.size("embedding"))).first()[0] or 1
+    """Query sets beyond the bound: hash parts of the queries, one search each.
+
+    A query has one vector; an id that repeats could not be parted and is an error. The bound is at
+    least one vector, so a part of one query always fits.
+    """
+    asked = queries.agg(F.max(F.size("embedding")).alias("size"), F.count("*").alias("n"), F.count_distinct("query_id").alias("ids"))
+    size, n, ids = asked.first()
+    if n != ids:
+        raise ValueError("each query_id must have one row")
+    size = max(1, size or 1)
+    max_values = max(max_values, size)
     most = max(1, min(FUSED_QUERIES, max_values // size))
-    parts = max(2, -(-2 * queries.count() // most))
+    parts = max(2, -(-2 * n // most))
     found = None
     for part in range(parts):
         # The number of parts salts the hash: a part that is still too large is cut anew.
         own = F.pmod(F.xxhash64("query_id", F.lit(parts)), F.lit(parts)) == part
-        rows = search(hits.filter(own), queries.filter(own))
+        rows = search(hits.filter(own), queries.filter(own), max_values)
         found = rows if found is None else found.unionByName(rows)
     return found
 

@@ -17,9 +17,12 @@ def get_nodes(
     properties: Mapping[str, Any] | None = None,
     ids: Sequence[str] | DataFrame | None = None,
     id_column: str = "name",
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Nodes by business key or by properties; ids win, neither gives no rows."""
+    """Nodes by business key or by properties; ids win, neither gives no rows.
+
+    All of them, unless the caller sets a limit; then the smallest internal ids.
+    """
     if isinstance(ids, DataFrame) or ids:
         rows = where_in(nodes, id_column, ids)
     elif properties:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from weftgraph.operators.filters import stable_label, where_in
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
-from weftgraph.plans.sizing import BROADCAST_ROWS, rows_up_to
+from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small
 
 DIRECTIONS = ("outbound", "inbound", "both")
 
@@ -28,8 +28,15 @@ def one_hop(source: DataFrame, edges: DataFrame, target: DataFrame, src: str = "
 
 
 def edge_key(edges: DataFrame) -> Column:
-    """What tells two edges apart: ``edge_id`` when there is one, else the pair of ends."""
-    return F.col("edge_id") if "edge_id" in edges.columns else F.struct("src", "dst")
+    """What tells two edges apart. Parallel edges share their ends, so an ``edge_id`` is required."""
+    if "edge_id" not in edges.columns:
+        raise ValueError("edges need an edge_id here; use edges_by_ends where no two share both ends")
+    return F.col("edge_id")
+
+
+def edges_by_ends(edges: DataFrame) -> DataFrame:
+    """Edges with their pair of ends as ``edge_id``, for a type that holds each pair once."""
+    return edges.withColumn("edge_id", F.struct("src", "dst"))
 
 
 def two_hops(first: DataFrame, second: DataFrame, same_type: bool = False) -> DataFrame:
@@ -51,6 +58,8 @@ def paths(edges: DataFrame, starts: DataFrame, min_hops: int = 1, max_hops: int
     check_limit(min_hops, "min_hops")
     check_limit(max_hops, "max_hops")
     step = edges.select(F.col("src").alias("end"), F.col("dst").alias("__next"), edge_key(edges).alias("__edge"))
+    if max_hops > 1:
+        step = materialize(step)  # derived edges are made once, not once per hop
     first = starts.select(F.col("id").alias("start"), F.col("id").alias("end")).distinct()
     level = (
         first.join(step, "end")
@@ -63,7 +72,7 @@ def paths(edges: DataFrame, starts: DataFrame, min_hops: int = 1, max_hops: int
         known = None
         if hops < max_hops:
             level = materialize(level)
-            known = rows_up_to(level)
+            known = level.count()
         if hops >= min_hops:
             kept.append(level.select("start", "end", F.lit(hops).alias("hops"), "path"))
         if known:
@@ -113,8 +122,11 @@ def reached_nodes(
     direction = check_direction(direction)
     check_limit(max_depth, "max_depth")
     steps = _directed(edges, direction).select(F.col("from_id").alias("id"), F.col("to_id").alias("__next"))
-    frontier = starts.select(F.col("id").alias("start"), F.col("id")).distinct()
-    visited = frontier
+    visited = frontier = starts.select(F.col("id").alias("start"), F.col("id")).distinct()
+    if max_depth > 1:
+        steps = materialize(steps)  # derived edges are made once, not once per round
+        visited = frontier = materialize(frontier)
+        frontier = broadcast_if_small(frontier)
     levels: list[DataFrame] = []
     for depth in range(1, max_depth + 1):
         found = (
@@ -125,7 +137,7 @@ def reached_nodes(
         )
         if depth < max_depth:
             found = materialize(found)
-            known = rows_up_to(found)
+            known = found.count()
             if known == 0:
                 break
             visited = visited.unionByName(found)
@@ -157,9 +169,8 @@ def traverse(
     return nodes, walked.distinct() if direction == "both" else walked
 
 
-def reachable(edges: DataFrame, starts: DataFrame, depth: int = 1, limit: int | None = 20) -> DataFrame:
-    """Distinct nodes reachable over any edge type; ``depth`` is clamped to 1..3."""
-    depth = max(1, min(int(depth), 3))
+def reachable(edges: DataFrame, starts: DataFrame, depth: int = 1, limit: int | None = None) -> DataFrame:
+    """Distinct nodes within ``depth`` hops over any edge type; ``limit`` keeps the smallest ids per start."""
     found = reached_nodes(edges, starts, "outbound", depth).select("start", "id")
     if limit is None:
         return found
@@ -167,9 +178,9 @@ def reachable(edges: DataFrame, starts: DataFrame, depth: int = 1, limit: int |
 
 
 def undirected(edges: DataFrame) -> DataFrame:
-    """``-[r]-``: every edge once per endpoint, as ``(node, other, type)``."""
+    """``-[r]-``: every edge once per endpoint, as ``(node, other, type)``; a loop has one."""
     out = edges.select(F.col("src").alias("node"), F.col("dst").alias("other"), "type")
-    back = edges.select(F.col("dst").alias("node"), F.col("src").alias("other"), "type")
+    back = edges.filter("src <> dst").select(F.col("dst").alias("node"), F.col("src").alias("other"), "type")
     return out.unionByName(back)
 
 
@@ -191,11 +202,12 @@ def triplets(
     relation_names: Sequence[str] | None = None,
     properties: dict | None = None,
     ids: Sequence | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """``(src, src_name, rel, dst, dst_name)``; the entity filter accepts a match at either end.
 
-    An empty list is no filter. ``limit=None`` returns all rows.
+    An empty list is no filter. Wanted names become ids first, and the edges are reduced to those that
+    touch one before any name is joined.
     """
     if properties or ids:
         raise NotImplementedError("triplets cannot be filtered by properties or ids")
@@ -203,10 +215,14 @@ def triplets(
         edges = where_in(edges, "type", list(relation_names))
     subjects = names.select(F.col("id").alias("src"), F.col("name").alias("src_name"))
     objects = names.select(F.col("id").alias("dst"), F.col("name").alias("dst_name"))
-    rows = edges.select("src", F.col("type").alias("rel"), "dst").join(subjects, "src").join(objects, "dst")
+    edges = edges.select("src", F.col("type").alias("rel"), "dst")
     if entity_names:
-        wanted = list(entity_names)
-        rows = rows.filter(F.col("src_name").isin(wanted) | F.col("dst_name").isin(wanted))
+        wanted = materialize(where_in(names, "name", list(entity_names)).select("id").distinct())
+        small = broadcast_if_small(wanted)
+        at_src = edges.join(small.withColumnRenamed("id", "src"), "src", "left_semi")
+        rest = edges.join(small.withColumnRenamed("id", "src"), "src", "left_anti")
+        edges = at_src.unionByName(rest.join(small.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "rel", "dst"))
+    rows = edges.join(subjects, "src").join(objects, "dst")
     rows = rows.select("src", "src_name", "rel", "dst", "dst_name")
     return rows if limit is None else rows.orderBy("src", "rel", "dst").limit(check_limit(limit))
 
@@ -215,7 +231,7 @@ def relation_map(
     edges: DataFrame,
     nodes: DataFrame,
     depth: int = 1,
-    limit: int | None = 30,
+    limit: int | None = None,
     ignore_rels: Sequence[str] | None = None,
     per_node: bool = False,
 ) -> DataFrame:
@@ -228,7 +244,7 @@ def relation_map(
     rows = edges.select("src", F.col("type").alias("rel"), "dst")
     if ignore_rels:
         rows = where_in(rows, "rel", sorted(set(ignore_rels)), negate=True)
-    rows = rows.join(nodes.select(F.col("id").alias("src")), "src", "left_semi")
+    rows = rows.join(nodes.select(F.col("id").alias("src")).distinct(), "src", "left_semi")
     if limit is None:
         return rows
     if per_node:

@@ -13,9 +13,10 @@ from weftgraph.plans.ordering import with_dense_ids
 def lookup_nodes(nodes: DataFrame, ids: DataFrame) -> DataFrame:
     """Nodes whose internal ``id`` is asked for. ``ids`` may hold any number of ids, with repeats.
 
-    A left-semi join needs no distinct first, and AQE broadcasts ``ids`` once it has proved small.
+    Repeats go map-side before the join: Spark splits a hot key of the left side only. AQE broadcasts
+    the ids once they have proved small.
     """
-    return nodes.join(ids.select("id"), "id", "left_semi")
+    return nodes.join(ids.select("id").distinct(), "id", "left_semi")
 
 
 def next_id(existing: DataFrame, id_col: str = "id") -> Column:

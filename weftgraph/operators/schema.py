@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -15,8 +15,9 @@ from weftgraph.plans.sizing import broadcast_if_small
 # Schema modes and their codes.
 MODES = {"strict": 1, "validated": 2, "flexible": 3}
 
-#: Columns of the model itself, never reported as properties.
-STRUCTURAL = {"id", "labels", "edge_id", "src", "dst", "type"}
+#: Columns of the model itself, never reported as properties: of node and of edge tables.
+NODE_COLUMNS = frozenset({"id", "labels"})
+EDGE_COLUMNS = frozenset({"edge_id", "src", "dst", "type"})
 
 DECLARED = "label string, property string, type string, required boolean, unique boolean"
 
@@ -54,15 +55,20 @@ def declare(spark: SparkSession, label: str, properties: Sequence[Mapping[str, A
     return spark.createDataFrame(rows, DECLARED)
 
 
-def table_properties(tables: Mapping[str, DataFrame], structural: set[str] = STRUCTURAL) -> DataFrame:
+def table_properties(tables: Mapping[str, DataFrame], structural: Collection[str] | None = None) -> DataFrame:
     """``name, property, type, present, total`` of typed tables, one pass per table.
 
+    The model's own columns are left out: those of edges for a table with both ends, else those of
+    nodes, so a node's ``type`` or ``src`` is a property like any other. ``structural`` names others.
     Every column is counted in the same map-side aggregate. Tables without rows are left out; a
     table without properties gives one row with a NULL property.
     """
     parts = []
     for name, table in tables.items():
-        columns = [f for f in table.schema.fields if f.name not in structural]
+        own = structural
+        if own is None:
+            own = EDGE_COLUMNS if {"src", "dst"} <= set(table.columns) and "id" not in table.columns else NODE_COLUMNS
+        columns = [f for f in table.schema.fields if f.name not in own]
         counted = table.agg(
             F.count("*").alias("total"), *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(columns)]
         )

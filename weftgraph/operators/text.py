@@ -281,7 +281,9 @@ def with_snippets(hits: DataFrame, nodes: DataFrame, clauses: DataFrame, text: s
         .agg(F.collect_set("term").alias("__terms"))
     )
     texts = nodes.select("id", F.col(text).alias("__text"))
-    joined = hits.join(words, "query_id").join(texts, "id")
+    # A few hits of each query go to the texts, which stay where they are.
+    wanted = broadcast_if_small(materialize(hits.join(words, "query_id")))
+    joined = wanted.join(texts, "id")
     return joined.withColumn("snippet", snippet(F.col("__text"), F.col("__terms"))).drop("__terms", "__text")
 
 

@@ -88,7 +88,7 @@ def apply_edges(stored: DataFrame, patch: DataFrame) -> DataFrame:
     if one pair of ends has very many parallel edges.
     """
     kept = stored.join(patch, EDGE_KEY, "left").select(*EDGE_KEY, merge_props("props", "__patch").alias("props"))
-    new = patch.join(stored.select(*EDGE_KEY), EDGE_KEY, "left_anti")
+    new = patch.join(stored.select(*EDGE_KEY).distinct(), EDGE_KEY, "left_anti")
     return kept.unionByName(new.select(*EDGE_KEY, merge_props(F.lit(None).cast(stored.schema["props"].dataType), "__patch").alias("props")))
 
 

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.distance import check_metric
 from weftgraph.functions.nearest import Nearest, to_matrix
+from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group, with_dense_ids
+from weftgraph.plans.sizing import broadcast_if_small
 
 #: Largest query set sent to every task: numbers in all query vectors together (32 MB).
 BROADCAST_VALUES = 4_000_000
@@ -114,8 +116,8 @@ def similarity_search(
 
     Ranking reads only id and vector; the properties of the ``k`` hits are joined afterwards.
     """
-    hits = knn(nodes.select("id", F.col(embedding).alias("embedding")), queries, k, metric)
-    return hits.join(nodes.drop(embedding), "id")
+    hits = materialize(knn(nodes.select("id", F.col(embedding).alias("embedding")), queries, k, metric))
+    return broadcast_if_small(hits).join(nodes.drop(embedding), "id")
 
 
 def append_vectors(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,21 +72,29 @@ def global_rank(
     A plain window would sort a whole group in one task. Here equal scores are counted first
     (map-side), the distinct scores are range-partitioned, and the rank is the running count
     inside a slice plus the counts of the slices before it.
+
+    A NULL group is a group and a NULL score is ranked last, as one value.
     """
     counts = df.groupBy(*group, score).agg(F.count("*").alias("__n"))
-    direction = F.col(score).asc() if ascending else F.col(score).desc()
+    direction = F.col(score).asc_nulls_last() if ascending else F.col(score).desc_nulls_last()
     sliced = _slices(counts, [*[F.col(g) for g in group], direction])
     per_slice = sliced.groupBy(*group, "__slice").agg(F.sum("__n").alias("__total"))
     before = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
         *group, "__slice", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset")
     )
+    same_groups = reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)], F.lit(True)
+    )
     inside = (
         Window.partitionBy(*group, "__slice").orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = (
         sliced.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-        .join(offsets, [*group, "__slice"])
+        .join(offsets.toDF(*[f"__g{i}" for i in range(len(group))], "__of", "__offset"), same_groups & (F.col("__slice") == F.col("__of")))
         .select(*group, score, (F.col("__offset") + F.col("__before") + 1).cast("long").alias(rank_col))
     )
-    return df.join(ranked, [*group, score])
+    keys = [*group, score]
+    ranked = ranked.toDF(*[f"__g{i}" for i in range(len(keys))], rank_col)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)])
+    return df.join(ranked, same).drop(*[f"__g{i}" for i in range(len(keys))])

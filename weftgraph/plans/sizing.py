@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def rows_up_to(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> int:
-    """Number of rows, counted no further than ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count()
-
-
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no further than that."""
-    return rows_up_to(df, max_rows) <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counted in the tasks: a limit would send up to that many rows of each task to a single one. ``df``
+    should be a scan, a stored table or cheap to evaluate.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -42,4 +41,5 @@ def absent_from(rows: DataFrame, large: DataFrame, keys: list[str]) -> DataFrame
     """
     if fits(rows):
         large = large.join(F.broadcast(rows.select(*keys)), keys, "left_semi")
-    return rows.join(large.select(*keys), keys, "left_anti")
+    # Spark splits hot keys on the left side only, so the right one is made distinct, map-side first.
+    return rows.join(large.select(*keys).distinct(), keys, "left_anti")

@@ -51,6 +51,8 @@ class PropertyGraph:
         for name in names:
             source = self._edges[name]
             frame = source() if callable(source) else source
+            if "type" in frame.columns:
+                raise ValueError(f"edges of {name} have a property called type; rename it")
             parts.append(frame.withColumn("type", F.lit(name)))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.plans.ordering import with_dense_ids
+from weftgraph.plans.sizing import broadcast_if_small
 from weftgraph.sources.graph import PropertyGraph
 
 KIND_BASE = 2**56
@@ -30,27 +31,35 @@ KINDS = {
     "Body": 11,
 }
 
-#: Both lines of an order must reach this quantity to link their parts.
-LINK_QUANTITY = 45
+#: Room for the lines of one order in an edge id.
+LINE_BASE = 2**10
 
 
 def node_id(label: str, key: Column | str) -> Column:
-    """Internal id of a node with a natural integer key."""
-    column = F.col(key) if isinstance(key, str) else key
-    return F.lit(KINDS[label] * KIND_BASE + 1) + column.cast("long")
+    """Internal id of a node with a natural integer key; a key beyond its kind's room is an error."""
+    column = (F.col(key) if isinstance(key, str) else key).cast("long")
+    outside = (column < 0) | (column >= KIND_BASE - 1)
+    failed = F.raise_error(F.concat(F.lit(f"{label} key outside the id range: "), column.cast("string"))).cast("long")
+    return F.lit(KINDS[label] * KIND_BASE + 1) + F.when(outside, failed).otherwise(column)
+
+
+def packed(major: Column, minor: Column, base: int) -> Column:
+    """``major * base + minor``; a minor number that needs more room is an error, never another id."""
+    failed = F.raise_error(F.concat(F.lit(f"number outside 0..{base - 1}: "), minor.cast("string"))).cast("long")
+    return major.cast("long") * base + F.when((minor < 0) | (minor >= base), failed).otherwise(minor.cast("long"))
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bought_with(lineitem: DataFrame, min_quantity: float = LINK_QUANTITY) -> DataFrame:
+def bought_with(lineitem: DataFrame) -> DataFrame:
     """Part pairs of one order: the smallest part key linked to each larger one.
 
     The number of pairs grows with the lines, not with their square, so an order that holds a
     third of all lines costs no more than any other. The anchor is found by a map-side minimum.
     """
-    lines = lineitem.filter(F.col("l_quantity") >= min_quantity).select("l_orderkey", "l_partkey")
+    lines = lineitem.select("l_orderkey", "l_partkey")
     anchors = lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("anchor"))
     return (
         lines.join(anchors, "l_orderkey")
@@ -82,11 +91,11 @@ def table_graph(spark: SparkSession, folder: str) -> PropertyGraph:
         )
 
     def turn_id(turn: Column) -> Column:
-        return node_id("Turn", F.col("conv_id") * TURN_BASE + turn)
+        return node_id("Turn", packed(F.col("conv_id"), turn, TURN_BASE))
 
     def did() -> DataFrame:
         kinds = event_types().select(F.col("id").alias("dst"), F.col("name").alias("event_type"))
-        return table("events").join(kinds, "event_type").select(
+        return table("events").join(broadcast_if_small(kinds), "event_type").select(
             F.col("event_id").alias("edge_id"), node_id("User", "user_id").alias("src"), "dst", "ts", "value"
         )
 
@@ -94,13 +103,16 @@ def table_graph(spark: SparkSession, folder: str) -> PropertyGraph:
         here = table("conversations").select("conv_id", "turn")
         there = here.select("conv_id", (F.col("turn") - 1).alias("turn"))
         return here.join(there, ["conv_id", "turn"]).select(
-            turn_id(F.col("turn")).alias("src"), turn_id(F.col("turn") + 1).alias("dst")
+            turn_id(F.col("turn")).alias("edge_id"),
+            turn_id(F.col("turn")).alias("src"),
+            turn_id(F.col("turn") + 1).alias("dst"),
         )
 
     def in_nation() -> DataFrame:
         customers = table("customer").select(node_id("Customer", "c_custkey").alias("src"), "c_nationkey")
         suppliers = table("supplier").select(node_id("Supplier", "s_suppkey").alias("src"), "s_nationkey")
-        return customers.union(suppliers).toDF("src", "key").select("src", node_id("Nation", "key").alias("dst"))
+        both = customers.union(suppliers).toDF("src", "key")
+        return both.select(F.col("src").alias("edge_id"), "src", node_id("Nation", "key").alias("dst"))
 
     nodes = {
         "Region": keyed("Region", "region", "r_regionkey", name="r_name"),
@@ -126,9 +138,12 @@ def table_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     }
     edges = {
         "PLACED": lambda: table("orders").select(
-            node_id("Customer", "o_custkey").alias("src"), node_id("Order", "o_orderkey").alias("dst")
+            F.col("o_orderkey").alias("edge_id"),
+            node_id("Customer", "o_custkey").alias("src"),
+            node_id("Order", "o_orderkey").alias("dst"),
         ),
         "CONTAINS": lambda: table("lineitem").select(
+            packed(F.col("l_orderkey"), F.col("l_linenumber"), LINE_BASE).alias("edge_id"),
             node_id("Order", "l_orderkey").alias("src"),
             node_id("Part", "l_partkey").alias("dst"),
             F.col("l_quantity").alias("quantity"),
@@ -139,7 +154,9 @@ def table_graph(spark: SparkSession, folder: str) -> PropertyGraph:
         .distinct(),
         "IN_NATION": in_nation,
         "IN_REGION": lambda: table("nation").select(
-            node_id("Nation", "n_nationkey").alias("src"), node_id("Region", "n_regionkey").alias("dst")
+            F.col("n_nationkey").cast("long").alias("edge_id"),
+            node_id("Nation", "n_nationkey").alias("src"),
+            node_id("Region", "n_regionkey").alias("dst"),
         ),
         "DID": did,
         "NEXT": next_turn,
