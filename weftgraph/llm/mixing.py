@@ -127,6 +127,7 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     row = free_name(docs, "row_number_")
     times = free_name(docs, "copies_")
     taken = fair_mix(docs, **options).filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(times))
-    joined = with_row(docs, row).join(taken, row)
+    # Sorted on both sides at every size: as many rows as documents are no side to broadcast.
+    joined = with_row(docs, row).join(taken.hint("merge"), row)
     again = free_name(docs, "again_")
     return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(row, times, again)
