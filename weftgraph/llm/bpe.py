@@ -29,7 +29,7 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Bytes of distinct pieces a task remembers before it starts anew.
 REMEMBERED_BYTES = 16 << 20
 #: Bytes of text tokenised together.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 18
 NONE = np.iinfo(np.int64).max
 
 

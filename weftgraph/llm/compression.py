@@ -169,7 +169,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
 
     ``base_failed``: fewer than 50 words, or over half of the words in repeated three-word windows.
     ``kept``: not ``base_failed`` and within the compression bands. A null or empty text has no words,
-    so it fails. Every whole text is read; a task holds about one MB of text in arrays at a time, or
+    so it fails. Every whole text is read; a task holds a quarter of a MB of text in arrays at a time, or
     one text if that is longer.
     """
     rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")

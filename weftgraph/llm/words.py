@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled together inside a task; bounds the temporary arrays (about 60 times as much).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,7 +30,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2**64, kept for the next batch."""
+    """``base ** 0 .. base ** (n - 1)`` modulo 2**64, kept for the next batch unless one long text asked for more."""
     known = _POWERS.get(base)
     if known is None or len(known) < n:
         size = max(1024, n)
@@ -41,7 +41,8 @@ def powers(base: int, n: int) -> np.ndarray:
             more = min(done, size - done)
             known[done : done + more] = known[:more] * step
             done += more
-        _POWERS[base] = known
+        if size <= 2 * SLICE_BYTES:
+            _POWERS[base] = known
     return known[:n]
 
 
