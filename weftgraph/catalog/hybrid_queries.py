@@ -1,4 +1,4 @@
-"""Hybrid retrieval. A query is a benchmark item: its long words and the embedding of the same id."""
+"""Hybrid retrieval. A query is a benchmark item: its words and the embedding of the same id."""
 
 from __future__ import annotations
 
@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.catalog.registry import nid, query, with_ctes
-from weftgraph.catalog.text_queries import bm25_sql, document_index, documents, long_terms, should_sql
+from weftgraph.catalog.text_queries import bm25_sql, document_index, documents, item_terms, should_sql
 from weftgraph.operators import hybrid, text
 from weftgraph.sources.tables import node_id, read_table, table_graph
 
-CLAUSES = should_sql("length(term) >= 8")
+CLAUSES = should_sql("true")
 COSINE = "1 - list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))"
 # Documents with an embedding, and the query vectors.
 VECTORS = f"""docs AS (SELECT doc_id, {nid('Document', 'doc_id')} AS id FROM documents),
@@ -20,7 +20,7 @@ VECTORS = f"""docs AS (SELECT doc_id, {nid('Document', 'doc_id')} AS id FROM doc
 
 
 def clauses(spark, folder) -> DataFrame:
-    return text.term_clauses(long_terms(spark, folder, 8))
+    return text.term_clauses(item_terms(spark, folder))
 
 
 def hits(spark, folder) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import zipfile
+from pathlib import Path
+
+import pyspark
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +17,16 @@ from weftgraph.sources.tables import read_table, table_graph
 
 DUCK_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
-# Short stop-word lists used by the language query.
-STOP_LISTS = {
-    "english": ["the", "and", "of", "in", "is", "to", "for", "that", "on", "by"],
-    "german": ["der", "die", "das", "und", "in", "ist", "den", "von", "zu", "mit"],
-    "french": ["le", "la", "les", "de", "et", "un", "une", "en", "par", "pas"],
-    "spanish": ["el", "la", "los", "de", "y", "un", "una", "en", "por", "que"],
-}
+LISTED_LANGUAGES = ("english", "german", "french", "spanish")
+
+
+def stop_word_file(language: str) -> list[str]:
+    """Spark's own list of a language, read from its jar, so that the SQL can be built without a session."""
+    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
+    with zipfile.ZipFile(jar) as packed:
+        text_file = packed.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
+    return text_file.decode("utf-8").split()
+
 
 CORPUS = rf"""doc_tokens AS (SELECT {nid('Document', 'doc_id')} AS id, lang, {DUCK_TOKENS} AS t FROM documents),
     tok AS (SELECT id, lang, len(t) AS dl, unnest(t) AS term, unnest(range(len(t))) AS pos FROM doc_tokens),
@@ -71,10 +78,6 @@ def item_terms(spark, folder) -> DataFrame:
     return items.select(F.col("item_id").alias("query_id"), F.explode(F.array_distinct(tokens("text"))).alias("term"))
 
 
-def long_terms(spark, folder, length: int = 6) -> DataFrame:
-    return item_terms(spark, folder).filter(F.length("term") >= length)
-
-
 def longest_terms(spark, folder) -> DataFrame:
     """The longest term or terms of every item."""
     items = read_table(spark, folder, "benchmark").withColumn("__terms", F.array_distinct(tokens("text")))
@@ -120,7 +123,8 @@ def t2(spark, folder):
 
 BOOLEAN = """SELECT t.query_id, 'term:' || term AS clause, 'must' AS role, term, 1.0 AS boost FROM item_terms t
     JOIN longest g ON g.query_id = t.query_id WHERE length(term) = l
-    UNION ALL SELECT query_id, 'term:' || term, 'should', term, 1.0 FROM item_terms WHERE length(term) BETWEEN 6 AND 7
+    UNION ALL SELECT t.query_id, 'term:' || term, 'should', term, 1.0 FROM item_terms t JOIN longest g ON g.query_id = t.query_id
+        WHERE length(term) < l AND NOT (length(term) = 5 AND term < 'h')
     UNION ALL SELECT query_id, 'term:' || term, 'must_not', term, 1.0 FROM item_terms WHERE length(term) = 5 AND term < 'h'"""
 
 
@@ -128,8 +132,10 @@ BOOLEAN = """SELECT t.query_id, 'term:' || term AS clause, 'must' AS role, term,
 def t3(spark, folder):
     terms = item_terms(spark, folder)
     must = text.term_clauses(longest_terms(spark, folder), "must")
-    should = text.term_clauses(terms.filter(F.length("term").between(6, 7)), "should")
-    banned = text.term_clauses(terms.filter((F.length("term") == 5) & (F.col("term") < "h")), "must_not")
+    barred = (F.length("term") == 5) & (F.col("term") < "h")
+    others = terms.join(longest_terms(spark, folder), ["query_id", "term"], "left_anti")
+    should = text.term_clauses(others.filter(~barred), "should")
+    banned = text.term_clauses(terms.filter(barred), "must_not")
     clauses = must.unionByName(should).unionByName(banned)
     return rounded(text.text_search(document_index(spark, folder), clauses, 10, ["term"]))
 
@@ -185,9 +191,9 @@ def t5(spark, folder):
     return rounded(text.text_search(document_index(spark, folder), clauses, 10, ["prefix"]))
 
 
-@query("t6_boost", bm25_sql(should_sql("length(term) >= 6", "CASE WHEN length(term) >= 8 THEN 3.0 ELSE 0.5 END"), 10))
+@query("t6_boost", bm25_sql(should_sql("true", "CASE WHEN length(term) >= 8 THEN 3.0 ELSE 0.5 END"), 10))
 def t6(spark, folder):
-    terms = long_terms(spark, folder).withColumn("boost", F.when(F.length("term") >= 8, 3.0).otherwise(0.5))
+    terms = item_terms(spark, folder).withColumn("boost", F.when(F.length("term") >= 8, 3.0).otherwise(0.5))
     return rounded(text.text_search(document_index(spark, folder), text.term_clauses(terms), 10, ["term"]))
 
 
@@ -215,9 +221,9 @@ def t7(spark, folder):
 
 def language_sql() -> str:
     parts = []
-    for name, words in STOP_LISTS.items():
+    for name in LISTED_LANGUAGES:
         code = text.LANGUAGES[name]
-        listed = ", ".join(f"'{w}'" for w in words)
+        listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_word_file(name))
         parts.append(
             f"""SELECT '{name}' AS language, query_id, id, round(score, 6) AS score, rank FROM (
             SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (
@@ -226,19 +232,19 @@ def language_sql() -> str:
                 GROUP BY id, term) p ON p.term = c.term
             JOIN (SELECT term, count(DISTINCT id) AS df FROM tok WHERE lang = '{code}' GROUP BY term) d ON d.term = c.term,
             (SELECT count(*) AS n, sum(len(t)) / count(*) AS avgdl FROM doc_tokens WHERE lang = '{code}') stats,
-            (SELECT 1.0 AS boost) b WHERE length(c.term) BETWEEN 2 AND 4 GROUP BY c.query_id, p.id)) WHERE rank <= 3"""
+            (SELECT 1.0 AS boost) b GROUP BY c.query_id, p.id)) WHERE rank <= 3"""
         )
     return f"WITH {CORPUS} " + " UNION ALL ".join(parts)
 
 
 @query("t8_language", language_sql())
 def t8(spark, folder):
-    """Short words against each language on its own, without that language's stop words."""
-    clauses = text.term_clauses(item_terms(spark, folder).filter(F.length("term").between(2, 4)))
+    """Whole items against each language on its own, without that language's stop words."""
+    clauses = text.term_clauses(item_terms(spark, folder))
     whole = spread(documents(spark, folder), "id")
     found = None
-    for name in STOP_LISTS:
-        index = text.build_text_index(whole, "text", name, "lang", STOP_LISTS)
+    for name in LISTED_LANGUAGES:
+        index = text.build_text_index(whole, "text", name, "lang")
         hits = rounded(text.text_search(index, clauses, 3, ["term"])).withColumn("language", F.lit(name))
         found = hits if found is None else found.unionByName(hits)
     return found
@@ -258,18 +264,18 @@ SNIPPET = r"""first_hit AS (SELECT h.query_id, h.id, h.score, h.rank, min(k.pos)
 
 def snippet_sql(k: int, rank: bool) -> str:
     final = SNIPPET.format(k=k, doc=nid("Document", "doc_id"), rank="any_value(rank) AS rank," if rank else "")
-    return bm25_sql(should_sql("length(term) >= 8"), k, final=", " + final)
+    return bm25_sql(should_sql("true"), k, final=", " + final)
 
 
 @query("t9_snippet", snippet_sql(3, True))
 def t9(spark, folder):
-    clauses = text.term_clauses(long_terms(spark, folder, 8))
+    clauses = text.term_clauses(item_terms(spark, folder))
     hits = text.text_search(document_index(spark, folder), clauses, 3, ["term"])
     return rounded(text.with_snippets(hits, documents(spark, folder), clauses))
 
 
 @query("t10_keyword_search", snippet_sql(5, False))
 def t10(spark, folder):
-    clauses = text.term_clauses(long_terms(spark, folder, 8))
+    clauses = text.term_clauses(item_terms(spark, folder))
     index = document_index(spark, folder)
     return rounded(text.keyword_search(index, documents(spark, folder), clauses, k=5, kinds=["term"]))

@@ -11,7 +11,7 @@ from weftgraph.catalog.registry import nid, query, with_ctes
 from weftgraph.functions.props import document_hash, merge_props
 from weftgraph.operators import delete, match, restructure, schema, upsert
 from weftgraph.plans.materialize import ensure_checkpoint_dir
-from weftgraph.sources.tables import read_table, table_graph
+from weftgraph.sources.tables import node_id, read_table, table_graph
 from weftgraph.streaming import facts
 
 TEXT_MAP = "map<string,string>"
@@ -417,46 +417,87 @@ def r2(spark, folder):
 # -- schema ------------------------------------------------------------------------------
 
 
+def document_table(spark, folder) -> DataFrame:
+    """Documents with their embedding where they have one."""
+    vectors = read_table(spark, folder, "embeddings").select(node_id("Document", "vec_id").alias("id"), "embedding")
+    return table_graph(spark, folder).nodes("Document").join(vectors, "id", "left")
+
+
 def node_tables(spark, folder) -> dict[str, DataFrame]:
     graph = table_graph(spark, folder)
-    tables = {name: graph.nodes(name) for name in ("Customer", "Nation", "Part")}
-    vectors = read_table(spark, folder, "embeddings")
-    docs = graph.nodes("Document").select("id", "text", (F.col("id") - F.lit(nid_offset("Document"))).alias("__key"))
-    tables["Document"] = docs.join(vectors, F.col("vec_id") == F.col("__key"), "left").select("id", "text", "embedding")
+    tables = {name: graph.nodes(name) for name in graph.labels}
+    tables["Document"] = document_table(spark, folder)
     # A label nobody uses must not show up.
     tables["Ghost"] = graph.nodes("Region").filter(F.col("name") == "NOWHERE")
     return tables
 
 
-def nid_offset(label: str) -> int:
-    from weftgraph.sources.tables import KIND_BASE, KINDS
-
-    return KINDS[label] * KIND_BASE + 1
-
-
 def edge_tables(spark, folder) -> dict[str, DataFrame]:
     graph = table_graph(spark, folder)
-    return {name: graph.edges(name) for name in ("CONTAINS", "PLACED")}
+    return {name: graph.edges(name) for name in graph.edge_types}
 
 
 def label_properties(spark, folder) -> DataFrame:
-    return schema.table_properties(node_tables(spark, folder), {"id", "labels"})
+    return schema.table_properties(node_tables(spark, folder))
 
 
 def edge_properties(spark, folder) -> DataFrame:
-    return schema.table_properties(edge_tables(spark, folder), {"edge_id", "src", "dst", "type"})
-
-
-NODE_SCHEMA = """SELECT 'Customer' AS name, unnest(['name', 'segment', 'acctbal']) AS property, unnest(['STRING', 'STRING', 'FLOAT64']) AS type,
-        unnest([count(c_name), count(c_mktsegment), count(c_acctbal)]) AS present, count(*) AS total FROM customer
-    UNION ALL SELECT 'Nation', 'name', 'STRING', count(n_name), count(*) FROM nation
-    UNION ALL SELECT 'Part', unnest(['name', 'brand', 'type', 'size', 'retailprice']), unnest(['STRING', 'STRING', 'STRING', 'INT64', 'FLOAT64']),
-        unnest([count(p_name), count(p_brand), count(p_type), count(p_size), count(p_retailprice)]), count(*) FROM part
-    UNION ALL SELECT 'Document', unnest(['text', 'embedding']), unnest(['STRING', 'VECTOR']), unnest([count(text), count(embedding)]), count(*)
-        FROM documents LEFT JOIN embeddings ON vec_id = doc_id"""
-EDGE_SCHEMA = """SELECT 'CONTAINS' AS name, unnest(['quantity', 'price']) AS property, unnest(['FLOAT64', 'FLOAT64']) AS type,
-        unnest([count(l_quantity), count(l_extendedprice)]) AS present, count(*) AS total FROM lineitem
-    UNION ALL SELECT 'PLACED', NULL, NULL, 0, count(*) FROM orders"""
+    return schema.table_properties(edge_tables(spark, folder))
+
+
+def schema_sql(tables: dict[str, tuple[str, dict[str, tuple[str, str]]]]) -> str:
+    """``name, property, type, present, total`` from ``name -> (source, property -> (column, type))``."""
+    parts = []
+    for name, (source, columns) in tables.items():
+        for prop, (column, kind) in (columns or {None: (None, None)}).items():
+            shown = f"'{prop}', '{kind}', count({column})" if prop else "NULL, NULL, 0"
+            parts.append(f"SELECT '{name}' AS name, {shown}, count(*) FROM {source}")
+    return f"SELECT name, property, type, present, total FROM ({' UNION ALL '.join(parts)}) t(name, property, type, present, total)"
+
+
+NODE_SCHEMA = schema_sql(
+    {
+        "Region": ("region", {"name": ("r_name", "STRING")}),
+        "Nation": ("nation", {"name": ("n_name", "STRING")}),
+        "Customer": (
+            "customer", {"name": ("c_name", "STRING"), "segment": ("c_mktsegment", "STRING"), "acctbal": ("c_acctbal", "FLOAT64")},
+        ),
+        "Order": (
+            "orders",
+            {"status": ("o_orderstatus", "STRING"), "totalprice": ("o_totalprice", "FLOAT64"),
+             "priority": ("o_orderpriority", "STRING"), "placed": ("o_orderdate", "TIMESTAMP")},
+        ),
+        "Part": (
+            "part",
+            {"name": ("p_name", "STRING"), "brand": ("p_brand", "STRING"), "type": ("p_type", "STRING"),
+             "size": ("p_size", "INT64"), "retailprice": ("p_retailprice", "FLOAT64")},
+        ),
+        "Supplier": ("supplier", {"name": ("s_name", "STRING"), "acctbal": ("s_acctbal", "FLOAT64")}),
+        "User": ("(SELECT DISTINCT user_id FROM events)", {"name": ("*", "STRING")}),
+        "EventType": ("(SELECT DISTINCT event_type FROM events)", {"name": ("event_type", "STRING")}),
+        "Document": (
+            "documents LEFT JOIN embeddings ON vec_id = doc_id",
+            {"text": ("text", "STRING"), "lang": ("lang", "STRING"), "source": ("source", "STRING"),
+             "n_chars": ("n_chars", "INT64"), "embedding": ("embedding", "VECTOR")},
+        ),
+        "Turn": ("conversations", {"role": ("role", "STRING"), "text": ("text", "STRING")}),
+    }
+)
+EDGE_SCHEMA = schema_sql(
+    {
+        "PLACED": ("orders", {}),
+        "CONTAINS": ("lineitem", {"quantity": ("l_quantity", "FLOAT64"), "price": ("l_extendedprice", "FLOAT64")}),
+        "SUPPLIED_BY": ("(SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)", {}),
+        "IN_NATION": ("(SELECT c_custkey FROM customer UNION ALL SELECT s_suppkey FROM supplier)", {}),
+        "IN_REGION": ("nation", {}),
+        "BOUGHT_WITH": (
+            "(SELECT DISTINCT a, l_partkey FROM (SELECT l_orderkey AS o, min(l_partkey) AS a FROM lineitem GROUP BY 1) "
+            "JOIN lineitem ON l_orderkey = o WHERE l_partkey > a)", {},
+        ),
+        "DID": ("events", {"ts": ("ts", "TIMESTAMP"), "value": ("value", "FLOAT64")}),
+        "NEXT": ("conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1", {}),
+    }
+)
 
 
 @query("s1_infer_labels", NODE_SCHEMA)
@@ -488,15 +529,17 @@ def s2(spark, folder):
 
 @query(
     "s3_structured_schema",
-    f"""SELECT 'node_props' AS section, name, property AS detail, type AS kind FROM ({NODE_SCHEMA})
-    UNION ALL SELECT 'rel_props', name, property, type FROM ({EDGE_SCHEMA})
-    UNION ALL SELECT * FROM (SELECT 'relationships', 'Order', 'CONTAINS', 'Part' FROM lineitem LIMIT 1)
-    UNION ALL SELECT * FROM (SELECT 'relationships', 'Customer', 'PLACED', 'Order' FROM orders LIMIT 1)""",
+    with_ctes(
+        "all_links all_nodes",
+        f"""SELECT 'node_props' AS section, name, property AS detail, type AS kind FROM ({NODE_SCHEMA})
+        UNION ALL SELECT 'rel_props', name, property, type FROM ({EDGE_SCHEMA})
+        UNION ALL SELECT DISTINCT 'relationships', a.label, e.type, b.label FROM all_links e
+        JOIN all_nodes a ON a.id = e.src JOIN all_nodes b ON b.id = e.dst""",
+    ),
 )
 def s3(spark, folder):
     graph = table_graph(spark, folder)
-    labelled = graph.all_nodes("Customer", "Order", "Part").select("id", "labels")
-    triples = match.relationship_triples(graph.links("CONTAINS", "PLACED"), labelled)
+    triples = match.relationship_triples(graph.links(), graph.all_nodes().select("id", "labels"))
     return schema.structured_schema(label_properties(spark, folder), edge_properties(spark, folder), triples)
 
 
@@ -530,7 +573,7 @@ def s4(spark, folder):
     with_ctes("document_n", "SELECT id, 'embedding' AS property FROM document_n LEFT JOIN embeddings ON vec_id = doc_id WHERE embedding IS NULL"),
 )
 def s5_required(spark, folder):
-    return schema.required_violations(node_tables(spark, folder)["Document"], ["text", "embedding"])
+    return schema.required_violations(document_table(spark, folder), ["text", "embedding"])
 
 
 @query(
