@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weftgraph.catalog import all_queries
+from weftgraph.operators import text
 from weftgraph.plans.materialize import ensure_checkpoint_dir
 from weftgraph.plans.ordering import check_limit, global_rank, top_k_per_group, with_dense_ids
 from weftgraph.plans.sizing import broadcast_if_small, fits
@@ -69,6 +70,16 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string>" in plan
 
 
+def test_stored_text_index_is_pruned_by_term(spark, small, tmp_path):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    index = text.build_text_index(docs, "text").write(str(tmp_path / "index"))
+    term = index.vocabulary().orderBy("term").first().term
+    found = index.matching(spark.createDataFrame([(term,)], "term string"))
+    plan = plan_of(found.postings)
+    assert "PartitionFilters: [isnotnull(part#" in plan and f"GreaterThanOrEqual(term,{term})" in plan
+    assert "ReadSchema: struct<id:bigint,dl:bigint,term:string,tf:bigint>" in plan
+
+
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_cross_join(spark, small, name):
     if name == "u8_fact_stream":

@@ -11,10 +11,11 @@ Queries are rows ``query_id, clause, role, kind, text, boost``:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.postings import DOCUMENT_MARK, POSTING, SLICE, distinct_terms, form_postings
@@ -28,18 +29,32 @@ from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small
 LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "russian": "ru", "italian": "it"}
 
 
+#: Parts of a stored index, by a hash of the term; a search opens only the parts of its terms.
+PARTS = 64
+#: The part that holds one row per document instead of postings.
+DOCUMENT_PART = -1
+
+
+class Matched(NamedTuple):
+    """What a search reads: postings, one row with the collection's size, and ``(term, df)``."""
+
+    postings: DataFrame
+    size: DataFrame
+    frequencies: DataFrame
+
+
 class TextIndex:
-    """Postings ``(id, dl, term, tf, positions)``, still to be formed from text or stored.
+    """Postings ``(id, dl, term, tf, positions)``, still to be formed from text or stored at ``path``.
 
     ``lists`` holds the tokens of every document, one array column per indexed property.
     """
 
-    def __init__(
-        self, lists: DataFrame | None = None, stored: DataFrame | None = None, removed: Sequence[str] = ()
-    ):
+    def __init__(self, lists: DataFrame | None = None, removed: Sequence[str] = (), path: str | None = None,
+                 spark: SparkSession | None = None):
         self.lists = lists
-        self.stored = stored
         self.removed = sorted(set(removed))
+        self.path = path
+        self.spark = spark or lists.sparkSession
 
     def _columns(self) -> list[str]:
         return [c for c in self.lists.columns if c != "id"]
@@ -55,58 +70,84 @@ class TextIndex:
 
         return self.lists.mapInArrow(run, POSTING + (", positions array<int>" if positions else ""))
 
-    def postings(self) -> DataFrame:
-        """All postings, document marks included."""
-        return self.stored if self.stored is not None else self._formed()
-
-    def matching(self, terms: DataFrame, positions: bool = False) -> DataFrame:
-        """Postings of the given terms and all document marks, with positions only if asked.
+    def _stored(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
 
-        Read from text this is one pass without a shuffle: a bounded set of terms goes to the
-        tasks, which form the postings of these only. The outcome is written once because counts
-        and scores both need it.
+    def postings(self) -> DataFrame:
+        """All postings."""
+        if self.path:
+            return self._stored("postings").filter(F.col("part") != DOCUMENT_PART).drop("part")
+        return self._formed().filter(F.col("term") != DOCUMENT_MARK)
+
+    def matching(self, terms: DataFrame, positions: bool = False) -> Matched:
+        """Postings of the given terms, with positions only if asked.
+
+        A stored index is filtered with literals: the parts the terms fall in and the range they span,
+        so other folders and row groups are not read. What is left over is dropped by the join on the
+        term that follows every use. Read from text this is one pass without a shuffle: a bounded set
+        of terms goes to the tasks, which form the postings of these only; it is written once because
+        counts and scores both need it.
         """
         wanted = terms.select("term").distinct()
-        if self.stored is not None:
-            mark = wanted.sparkSession.range(1).select(F.lit(DOCUMENT_MARK).alias("term"))
-            return self.stored.join(broadcast_if_small(wanted.union(mark)), "term", "left_semi")
+        columns = ["id", "dl", "term", "tf", *(["positions"] if positions else [])]
+        if self.path:
+            # At most one row per part reaches the driver.
+            spans = wanted.groupBy(term_part().alias("part")).agg(F.min("term").alias("low"), F.max("term").alias("high"))
+            found = spans.collect()
+            low, high = min((r["low"] for r in found), default=""), max((r["high"] for r in found), default="")
+            inside = F.col("part").isin([r["part"] for r in found]) & F.col("term").between(low, high)
+            df = self._stored("terms").filter(F.col("term").between(low, high))
+            return Matched(self._stored("postings").filter(inside).select(columns), self.documents_indexed(), df)
         listed = wanted.limit(BROADCAST_ROWS + 1).toArrow()["term"].combine_chunks()
         if len(listed) <= BROADCAST_ROWS:
-            return materialize(self._formed(listed, positions))
-        kept = self._formed(None, positions).join(wanted, "term", "left_semi")
-        marks = self._formed(pa.array([], pa.string()), positions)
-        return materialize(kept.unionByName(marks))
+            rows = self._formed(listed, positions)
+        else:
+            rows = self._formed(None, positions).join(wanted, "term", "left_semi")
+            rows = rows.unionByName(self._formed(pa.array([], pa.string()), positions))
+        rows = materialize(rows)
+        postings = rows.filter(F.col("term") != DOCUMENT_MARK)
+        df = postings.groupBy("term").agg(F.count("*").alias("df"))
+        return Matched(postings, _totals(rows.filter(F.col("term") == DOCUMENT_MARK)), df)
 
     def vocabulary(self) -> DataFrame:
         """Distinct terms; every task sends each of its terms once."""
-        if self.stored is not None:
-            return self.stored.filter(F.col("term") != DOCUMENT_MARK).select("term").distinct()
+        if self.path:
+            return self._stored("terms").select("term")
         columns = self._columns()
         words = self.lists.mapInArrow(lambda batches: distinct_terms(batches, columns), "term string").distinct()
         return where_in(words, "term", self.removed, negate=True) if self.removed else words
 
     def documents_indexed(self) -> DataFrame:
         """One row: number of documents and of tokens."""
-        if self.stored is not None:
-            return collection_size(self.stored)
+        if self.path:
+            return self._stored("totals")
         sizes = [F.size(c) for c in self._columns()]
         return _totals(self.lists.select(sum(sizes[1:], sizes[0]).cast("long").alias("dl")))
 
     def write(self, path: str) -> "TextIndex":
-        """Store the postings sorted by term; ranges are cut on ``(term, id)``.
+        """Store postings, document lengths, term counts and totals under ``path``.
 
-        A search then skips the row groups of other terms, and a term found in every document
-        is spread over many files.
+        Postings lie in one folder per part, sorted by term; ranges are cut on ``(part, term, id)``, so
+        a term found in every document is spread over many files. Document lengths are a folder of
+        their own.
         """
-        self.postings().repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode(
-            "overwrite"
-        ).parquet(path)
-        spark = self.postings().sparkSession
-        return TextIndex(stored=spark.read.parquet(path))
+        part = F.when(F.col("term") == DOCUMENT_MARK, F.lit(DOCUMENT_PART)).otherwise(term_part())
+        order = ["part", "term", "id"]
+        rows = self._formed().withColumn("part", part)
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{path}/postings")
+        stored = TextIndex(path=path, spark=self.spark)
+        entries = self.spark.read.schema(f"{POSTING}, positions array<int>, part int").parquet(f"{path}/postings")
+        marks = entries.filter(F.col("part") == DOCUMENT_PART)
+        counted = entries.filter(F.col("part") != DOCUMENT_PART).groupBy("term").agg(F.count("*").alias("df"))
+        counted.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+        _totals(marks).write.mode("overwrite").parquet(f"{path}/totals")
+        return stored
 
 
-def collection_size(postings: DataFrame) -> DataFrame:
-    return _totals(postings.filter(F.col("term") == DOCUMENT_MARK))
+def term_part() -> Column:
+    """The part of a stored index that holds a term."""
+    return F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
 
 
 def _totals(marks: DataFrame) -> DataFrame:
@@ -198,13 +239,10 @@ def score(
     are summed per query and document before the one shuffle.
     """
     terms = expand(clauses, index, kinds)
-    if "prefix" in kinds or "fuzzy" in kinds:
-        terms = materialize(terms)
-    postings = index.matching(terms, positions="phrase" in kinds)
-    size = collection_size(postings)
+    terms = materialize(terms)
+    postings, size, df = index.matching(terms, positions="phrase" in kinds)
     needed = clauses.groupBy("query_id").agg(F.count_distinct(F.when(F.col("role") == "must", F.col("clause"))).alias("musts"))
-    df = postings.filter(F.col("term") != DOCUMENT_MARK).groupBy("term").agg(F.count("*").alias("df"))
-    weighted = broadcast_if_small(terms.join(df, "term").join(needed, "query_id"))
+    weighted = broadcast_if_small(materialize(terms.join(df, "term").join(needed, "query_id")))
     found = postings.join(weighted, "term").withColumn(
         "__score",
         F.col("boost")
