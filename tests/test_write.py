@@ -261,4 +261,23 @@ def test_fact_stream_over_several_batches(spark, tmp_path):
         facts.ingest_facts(stream, store, str(tmp_path / "progress")).awaitTermination()
     found = sorted(tuple(r) for r in facts.read_facts(spark, store).collect())
     assert found == [("s", "Ann", "WORKS_AT", "Acme"), ("s", "Bob", "LIKES", "Ann")]
+    nodes = sorted((r.session, r.name) for r in facts.read_fact_nodes(spark, store).collect())
+    assert nodes == [("s", "Acme"), ("s", "Ann"), ("s", "Bob")]
     assert spark.read.parquet(f"{store}/rejects").count() == 3
+
+
+def test_registry_flags_modes_and_declared_properties(spark):
+    registry = schema.register(spark, "A", [{"name": "x", "required": True}, {"name": "y", "unique": True}], "validated", 3)
+    registry = registry.unionByName(schema.register(spark, "B", mode="flexible"))
+    assert schema.modes_of(registry) == {"A": 2, "B": 3}
+    assert schema.flagged(registry, "A", "required") == ["x"] and schema.flagged(registry, "A", "unique") == ["y"]
+    assert schema.flagged(registry, "B", "required") == []
+    inferred = spark.createDataFrame([("A", "x", "STRING", 4, 5), ("C", "z", "INT64", 1, 1)], "name string, property string, type string, present long, total long")
+    rows = {(r.name, r.property): (r.version, r.mode, r.type, r.declared, r.present) for r in schema.with_registry(inferred, registry).collect()}
+    assert rows == {
+        ("A", "x"): (3, 2, "STRING", "STRING", 4), ("A", "y"): (3, 2, None, "STRING", 0), ("C", "z"): (None, 0, "INT64", None, 1),
+    }
+    table = spark.createDataFrame([(1, None)], "id long, x string")
+    assert schema.required_violations(table, []).count() == 0 and schema.unique_violations(table, []).count() == 0
+    with pytest.raises(ValueError):
+        schema.register(spark, "A", version=0)

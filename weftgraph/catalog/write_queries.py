@@ -309,14 +309,40 @@ def u8_rejects(spark, folder):
     return facts.split_facts(event_facts(read_table(spark, folder, "events")))[1]
 
 
-@query("u8_fact_stream", NEW_FACTS)
-def u8_stream(spark, folder):
-    """The events read as a stream, facts written by micro-batch and read back."""
+def fact_stream(spark, folder) -> str:
+    """The events read as a stream and merged into a new store, whose folder is returned."""
     store = f"{ensure_checkpoint_dir(spark)}/facts-{uuid.uuid4().hex}"
     columns = read_table(spark, folder, "events").schema
     stream = spark.readStream.schema(columns).option("pathGlobFilter", "events.parquet").parquet(folder)
     facts.ingest_facts(event_facts(stream), store, f"{store}/progress").awaitTermination()
-    return facts.read_facts(spark, store)
+    return store
+
+
+@query("u8_fact_stream", NEW_FACTS)
+def u8_stream(spark, folder):
+    """The events read as a stream, facts written by micro-batch and read back."""
+    return facts.read_facts(spark, fact_stream(spark, folder))
+
+
+FACT_NODES = f"""SELECT session, subject AS name, 'Entity' AS label FROM ({NEW_FACTS})
+    UNION SELECT session, object, 'Entity' FROM ({NEW_FACTS})"""
+
+
+@query("u8_fact_stream_nodes", FACT_NODES)
+def u8_stream_nodes(spark, folder):
+    return facts.read_fact_nodes(spark, fact_stream(spark, folder))
+
+
+@query(
+    "u8_fact_nodes",
+    f"""SELECT * FROM ({FACT_NODES}) WHERE (session, name) NOT IN (SELECT ('s' || s_suppkey, 'user' || s_suppkey) FROM supplier)""",
+)
+def u8_nodes(spark, folder):
+    """Entities of the facts; those of some users are stored already."""
+    stored = read_table(spark, folder, "supplier").select(
+        F.concat(F.lit("s"), text("s_suppkey")).alias("session"), F.concat(F.lit("user"), text("s_suppkey")).alias("name")
+    )
+    return facts.save_fact_nodes(stored, event_facts(read_table(spark, folder, "events")))
 
 
 # -- deletes and restructuring -----------------------------------------------------------
@@ -568,21 +594,48 @@ def s4(spark, folder):
     return found.select("label", "id", "property")
 
 
+def shop_registry(spark) -> DataFrame:
+    """Declared schema of two labels and an edge type, with versions, modes and flags."""
+    documents = [{"name": "text", "required": True}, {"name": "embedding", "type": "vector", "required": True}, {"name": "license"}]
+    parts = [{"name": "name", "unique": True}, {"name": "p_partkey", "type": "int64", "unique": True}]
+    rows = schema.register(spark, "Document", documents, "validated", 2)
+    rows = rows.unionByName(schema.register(spark, "Part", parts))
+    return rows.unionByName(schema.register(spark, "Ghost", None, "flexible"))
+
+
+@query(
+    "s1_declared_labels",
+    f"""WITH declared AS (SELECT * FROM (VALUES ('Document', 'text', 'STRING', true, false), ('Document', 'embedding', 'VECTOR', true, false),
+        ('Document', 'license', 'STRING', false, false), ('Part', 'name', 'STRING', false, true), ('Part', 'p_partkey', 'INT64', false, true))
+        t(name, property, declared, required, "unique")),
+    heads AS (SELECT * FROM (VALUES ('Document', 2, 2), ('Part', 1, 1), ('Ghost', 1, 3)) t(name, version, mode)),
+    n AS (SELECT * FROM ({NODE_SCHEMA}) WHERE property IS NOT NULL)
+    SELECT coalesce(n.name, d.name) AS name, h.version, coalesce(h.mode, 0) AS mode, coalesce(n.property, d.property) AS property,
+        n.type, d.declared, coalesce(d.required, false) AS required, coalesce(d."unique", false) AS "unique", coalesce(n.present, 0) AS present
+    FROM n FULL JOIN declared d ON d.name = n.name AND d.property = n.property LEFT JOIN heads h ON h.name = coalesce(n.name, d.name)""",
+)
+def s1_declared(spark, folder):
+    """What is in the tables next to what was declared, with version and mode of each label."""
+    return schema.with_registry(label_properties(spark, folder), shop_registry(spark))
+
+
 @query(
     "s5_required",
     with_ctes("document_n", "SELECT id, 'embedding' AS property FROM document_n LEFT JOIN embeddings ON vec_id = doc_id WHERE embedding IS NULL"),
 )
 def s5_required(spark, folder):
-    return schema.required_violations(document_table(spark, folder), ["text", "embedding"])
+    required = schema.flagged(shop_registry(spark), "Document", "required")
+    return schema.required_violations(document_table(spark, folder), required)
 
 
 @query(
     "s5_unique",
-    """SELECT 'p_name' AS property, p_name AS value, count(*) AS count FROM part GROUP BY p_name HAVING count(*) > 1
+    """SELECT 'name' AS property, p_name AS value, count(*) AS count FROM part GROUP BY p_name HAVING count(*) > 1
     UNION ALL SELECT 'p_partkey', CAST(p_partkey AS VARCHAR), count(*) FROM part GROUP BY p_partkey HAVING count(*) > 1""",
 )
 def s5_unique(spark, folder):
-    return schema.unique_violations(read_table(spark, folder, "part"), ["p_name", "p_partkey"])
+    parts = read_table(spark, folder, "part").select(F.col("p_name").alias("name"), "p_partkey")
+    return schema.unique_violations(parts, schema.flagged(shop_registry(spark), "Part", "unique"))
 
 
 @query(

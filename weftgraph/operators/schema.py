@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.props import TYPE_NAMES, type_name, variant_type_name
+from weftgraph.plans.ordering import check_limit
 from weftgraph.plans.sizing import broadcast_if_small
 
 # Schema modes and their codes.
@@ -19,6 +20,9 @@ MODES = {"strict": 1, "validated": 2, "flexible": 3}
 NODE_COLUMNS = frozenset({"id", "labels"})
 EDGE_COLUMNS = frozenset({"edge_id", "src", "dst", "type"})
 
+#: Mode of a label or edge type that nobody declared.
+UNDECLARED = 0
+
 DECLARED = "label string, property string, type string, required boolean, unique boolean"
 
 
@@ -55,6 +59,56 @@ def declare(spark: SparkSession, label: str, properties: Sequence[Mapping[str, A
     return spark.createDataFrame(rows, DECLARED)
 
 
+def register(
+    spark: SparkSession,
+    label: str,
+    properties: Sequence[Mapping[str, Any]] | None = None,
+    mode: str | int = "strict",
+    version: int = 1,
+) -> DataFrame:
+    """Registry rows of a label or edge type: ``label, version, mode`` and its declared properties.
+
+    Without properties it is one row with a NULL property. Registries of several labels are unions.
+    """
+    check_limit(version, "version")
+    head = spark.range(1).select(
+        F.lit(label).alias("label"), F.lit(version).alias("version"), F.lit(schema_mode(mode)).alias("mode")
+    )
+    return head.join(F.broadcast(declare(spark, label, properties)), "label", "left")
+
+
+def modes_of(registry: DataFrame) -> dict[str, int]:
+    """Mode code of every registered label; as small as the schema."""
+    return {r["label"]: r["mode"] for r in registry.select("label", "mode").distinct().collect()}
+
+
+def flagged(registry: DataFrame, label: str, flag: str) -> list[str]:
+    """Properties of ``label`` declared with ``flag`` (``required`` or ``unique``)."""
+    rows = registry.filter((F.col("label") == label) & F.col(flag)).select("property").distinct().collect()
+    return sorted(r["property"] for r in rows)
+
+
+def with_registry(inferred: DataFrame, registry: DataFrame) -> DataFrame:
+    """Inferred properties with what was declared for them.
+
+    Adds ``version, mode`` of the label (NULL and 0 if nobody declared it), and ``declared, required,
+    unique`` of the property. A declared property or label that no row has comes with a NULL ``type``
+    and 0 present.
+    """
+    heads = broadcast_if_small(registry.select(F.col("label").alias("name"), "version", "mode").distinct())
+    entries = registry.filter("property IS NOT NULL").select(
+        F.col("label").alias("name"), "property", F.col("type").alias("declared"), "required", "unique"
+    )
+    # Both sides hold one row per property: a full join of two tables as small as the schema.
+    known = inferred.filter("property IS NOT NULL").select("name", "property", "type", "present")
+    both = known.join(entries, ["name", "property"], "full_outer").join(heads, "name", "left")
+    return both.select(
+        "name", "version", F.coalesce("mode", F.lit(UNDECLARED)).alias("mode"), "property", "type", "declared",
+        F.coalesce("required", F.lit(False)).alias("required"), F.coalesce("unique", F.lit(False)).alias("unique"),
+        F.coalesce("present", F.lit(0)).alias("present"),
+    )
+
+
 def table_properties(tables: Mapping[str, DataFrame], structural: Collection[str] | None = None) -> DataFrame:
     """``name, property, type, present, total`` of typed tables, one pass per table.
 
@@ -154,6 +208,8 @@ def type_violations(rows: DataFrame, declared: DataFrame, modes: Mapping[str, st
 
 def required_violations(table: DataFrame, required: Sequence[str]) -> DataFrame:
     """``id, property`` of every missing required value."""
+    if not required:
+        return table.select("id", F.lit("").alias("property")).filter(F.lit(False))
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
     return table.select("id", F.explode(missing).alias("property"))
 
@@ -167,6 +223,8 @@ def unique_violations(table: DataFrame, unique: Sequence[str]) -> DataFrame:
         .filter("count > 1")
         for c in unique
     ]
+    if not parts:
+        return table.sparkSession.createDataFrame([], "property string, value string, count long")
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from weftgraph.plans.materialize import materialize
 from weftgraph.plans.sizing import absent_from
 
 #: What a relation name must look like once it is upper-cased.
@@ -13,6 +14,10 @@ RELATION = r"^[A-Z_][A-Z0-9_]*$"
 FACT_KEY = ["session", "subject", "relation", "object"]
 FACT_SCHEMA = "session string, subject string, relation string, object string"
 ENTITY = "Entity"
+NODE_KEY = ["session", "name"]
+NODE_SCHEMA = "session string, name string, label string"
+#: Parts of a store, by a hash of the key; a micro-batch reads only the parts its own keys fall in.
+PARTS = 256
 
 
 def relation_name(relation: Column | str) -> Column:
@@ -42,26 +47,51 @@ def fact_nodes(facts: DataFrame) -> DataFrame:
     return ends.distinct().withColumn("label", F.lit(ENTITY))
 
 
+def save_fact_nodes(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Entities of the valid facts that ``stored`` does not have yet, one per session and name."""
+    return absent_from(fact_nodes(split_facts(batch)[0]), stored, NODE_KEY)
+
+
+def _read(spark: SparkSession, folder: str, columns: str) -> DataFrame:
+    return spark.read.schema(f"{columns}, batch long, part int").parquet(folder)
+
+
 def read_facts(spark: SparkSession, store: str) -> DataFrame:
     """All facts of a store written by :func:`ingest_facts`."""
-    return spark.read.schema(f"{FACT_SCHEMA}, batch long").parquet(f"{store}/facts").select(*FACT_KEY)
+    return _read(spark, f"{store}/facts", FACT_SCHEMA).select(*FACT_KEY)
+
+
+def read_fact_nodes(spark: SparkSession, store: str) -> DataFrame:
+    """All entities of a store written by :func:`ingest_facts`."""
+    return _read(spark, f"{store}/nodes", NODE_SCHEMA).drop("batch", "part")
+
+
+def _merge(rows: DataFrame, key: list[str], columns: str, folder: str, number: int) -> None:
+    """Write the rows whose key no earlier batch has as the folder of this batch.
+
+    The parts touched, at most ``PARTS`` numbers, become a literal partition filter on the store.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int"))
+    if number > 0:
+        rows = materialize(rows)
+        parts = [r["part"] for r in rows.select("part").distinct().collect()]
+        earlier = (F.col("batch") < number) & F.col("part").isin(parts)
+        rows = absent_from(rows, _read(spark, folder, columns).filter(earlier), key)
+    rows.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{folder}/batch={number}")
 
 
 def ingest_facts(stream: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Write the facts of a stream to ``store`` and stop when the input is used up.
+    """Merge the facts of a stream and their entities into ``store`` and stop when the input is used up.
 
-    A micro-batch writes its own folder and compares only with the folders before it, so one that
-    is run again after a failure gives the same files. Rows with a bad relation go to ``rejects``.
+    A micro-batch writes its own folders and compares only with the folders before it, so one that
+    is run again after a failure gives the same rows. Rows with a bad relation go to ``rejects``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         good, bad = split_facts(batch)
-        good = good.distinct()
-        if number > 0:
-            seen = spark.read.schema(f"{FACT_SCHEMA}, batch long").parquet(f"{store}/facts").filter(F.col("batch") < number)
-            good = absent_from(good, seen, FACT_KEY)
-        good.write.mode("overwrite").parquet(f"{store}/facts/batch={number}")
+        _merge(fact_nodes(good), NODE_KEY, NODE_SCHEMA, f"{store}/nodes", number)
+        _merge(good.distinct(), FACT_KEY, FACT_SCHEMA, f"{store}/facts", number)
         bad.write.mode("overwrite").parquet(f"{store}/rejects/batch={number}")
 
     return (
