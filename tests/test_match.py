@@ -77,13 +77,21 @@ def test_traversed_edges(spark, graph):
 def test_depth_is_the_shortest_path(spark, small):
     from weftgraph.sources.tables import table_graph
 
-    edges = table_graph(spark, small).edges("BOUGHT_WITH")
+    edges = match.edges_by_ends(table_graph(spark, small).edges("BOUGHT_WITH"))
     begin = edges.select(F.col("src").alias("id")).distinct()
     nodes, _ = match.traverse(edges, begin, "outbound", 3)
     shortest = match.paths(edges, begin, 1, 3).groupBy("start", F.col("end").alias("id")).agg(F.min("hops").alias("depth"))
     assert rows(nodes) == rows(shortest) != []
 
 
+def test_edges_without_ids_have_no_paths(spark):
+    edges = spark.createDataFrame([(1, 2)], "src long, dst long")
+    with pytest.raises(ValueError, match="edge_id"):
+        match.paths(edges, starts(spark, 1))
+    with pytest.raises(ValueError, match="edge_id"):
+        match.two_hops(edges, edges, same_type=True)
+
+
 def test_start_without_edges(spark, graph):
     nodes, edges = match.traverse(graph.edges("ROAD"), starts(spark, 5), "outbound", 3)
     assert nodes.count() == 0 and edges.count() == 0
@@ -102,9 +110,21 @@ def test_bad_depth(spark, graph, depth):
 
 
 def test_reachable_clamps_depth_and_limits(spark, graph):
-    assert rows(match.reachable(graph.links(), starts(spark, 6), depth=9)) == [(6, 1), (6, 2), (6, 3)]
-    assert rows(match.reachable(graph.links(), starts(spark, 6), depth=0)) == [(6, 1)]
-    assert rows(match.reachable(graph.links(), starts(spark, 6), depth=3, limit=2)) == [(6, 1), (6, 2)]
+    def reach(depth, **how):
+        return rows(match.reachable(graph.links(), starts(spark, 6), depth=depth, **how))
+
+    assert reach(9, least=1, most=3) == [(6, 1), (6, 2), (6, 3)]
+    assert reach(0, least=1, most=3) == [(6, 1)]
+    assert reach(9) == [(6, 1), (6, 2), (6, 3), (6, 4)]
+    assert reach(3, limit=2) == [(6, 1), (6, 2)]
+    with pytest.raises(ValueError):
+        reach(0)
+
+
+def test_reachable_inside_a_scope(spark, graph):
+    inside = starts(spark, 1, 2, 4, 6)
+    # 3 is outside, so neither it nor 4 behind it is reached, and the outside start 7 reaches nothing.
+    assert rows(match.reachable(graph.links(), starts(spark, 6, 7), depth=4, scope=inside)) == [(6, 1), (6, 2)]
 
 
 def test_undirected(graph):
@@ -188,7 +208,7 @@ def test_hub_with_most_edges_on_both_join_plans(spark, monkeypatch, bound):
     leaves = 3000
     edges = spark.range(1, leaves + 1).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
     tail = spark.createDataFrame([(leaves, leaves + 1)], "src long, dst long")
-    edges = edges.unionByName(tail)
+    edges = match.edges_by_ends(edges.unionByName(tail))
     nodes, walked = match.traverse(edges, starts(spark, 1), "both", 3)
     counts = dict(rows(nodes.groupBy("depth").count()))
     assert counts == {1: 1, 2: leaves - 1, 3: 1}

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import uuid
-import zipfile
-from pathlib import Path
 
-import pyspark
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +16,18 @@ from weftgraph.sources.tables import read_table, table_graph
 
 DUCK_TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 
-LISTED_LANGUAGES = ("english", "german", "french", "spanish")
-
-
-def stop_word_file(language: str) -> list[str]:
-    """Spark's own list of a language, read from its jar, so that the SQL can be built without a session."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as packed:
-        text_file = packed.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    return text_file.decode("utf-8").split()
+# Function words that the queries by language leave out, the same for Spark and for the SQL.
+FUNCTION_WORDS = {
+    "english": "a an and are as at be but by for from has have he her his i in is it its not of on or she that the their they "
+    "this to was we were which will with you",
+    "german": "aber als am an auch auf aus bei das dass dem den der des die doch ein eine einem einen einer er es für hat ich im in "
+    "ist mit nicht noch nur oder sich sie sind so und von war wie wir zu zum zur",
+    "french": "au aux avec ce ces dans de des du elle en est et eux il ils je la le les leur lui mais me ne nous on ou par pas "
+    "pour qu que qui sa se ses son sur un une vous",
+    "spanish": "a al como con de del el ella en entre es esta este fue ha la las le lo los más me mi no nos o para pero por que se "
+    "ser si sin sobre su sus un una y ya",
+}
+STOP_LISTS = {language: words.split() for language, words in FUNCTION_WORDS.items()}
 
 
 CORPUS = rf"""doc_tokens AS (SELECT {nid('Document', 'doc_id')} AS id, lang, {DUCK_TOKENS} AS t FROM documents),
@@ -70,13 +70,19 @@ def documents(spark, folder) -> DataFrame:
     return table_graph(spark, folder).nodes("Document")
 
 
-#: Indexes written by this process, by session, folder and name.
-WRITTEN: dict[tuple[str, str, str], text.TextIndex] = {}
+#: Indexes written by this process, by session, name and the state of the files they were made from.
+WRITTEN: dict[tuple, text.TextIndex] = {}
+
+
+def files_state(df: DataFrame) -> tuple:
+    """Number and a digest of the files of a scan, with their sizes and times; no column of the table is read."""
+    files = df.select(*[F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size", "file_modification_time")]).distinct()
+    return tuple(files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first())
 
 
 def stored_index(spark, folder: str, name: str, properties, **how) -> text.TextIndex:
-    """The index ``name`` over the documents, written once per session to the shared folder and then read."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    """The index ``name`` over the documents, written to the shared folder once per session and state of the table."""
+    key = (spark.sparkContext.applicationId, folder, name, files_state(read_table(spark, folder, "documents")))
     if key not in WRITTEN:
         built = text.build_text_index(spread(documents(spark, folder), "id"), properties, **how)
         WRITTEN[key] = built.write(f"{ensure_checkpoint_dir(spark)}/text-{name}-{uuid.uuid4().hex}")
@@ -236,9 +242,9 @@ def t7(spark, folder):
 
 def language_sql() -> str:
     parts = []
-    for name in LISTED_LANGUAGES:
+    for name, stop_words in STOP_LISTS.items():
         code = text.LANGUAGES[name]
-        listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_word_file(name))
+        listed = ", ".join(f"'{w}'" for w in stop_words)
         parts.append(
             f"""SELECT '{name}' AS language, query_id, id, round(score, 6) AS score, rank FROM (
             SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (
@@ -254,11 +260,13 @@ def language_sql() -> str:
 
 @query("t8_language", language_sql())
 def t8(spark, folder):
-    """Whole items against each language on its own, without that language's stop words."""
+    """Whole items against each language on its own, without that language's function words."""
     clauses = text.term_clauses(item_terms(spark, folder))
     found = None
-    for name in LISTED_LANGUAGES:
-        index = stored_index(spark, folder, f"text-{name}", "text", language=name, language_column="lang")
+    for name in STOP_LISTS:
+        index = stored_index(
+            spark, folder, f"text-{name}", "text", language=name, language_column="lang", stop_lists=STOP_LISTS
+        )
         hits = rounded(text.text_search(index, clauses, 3, ["term"])).withColumn("language", F.lit(name))
         found = hits if found is None else found.unionByName(hits)
     return found

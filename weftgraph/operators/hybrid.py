@@ -244,9 +244,7 @@ def weighted_search(
     bounded = collect_queries(queries, max_broadcast_values)
     if bounded is None or len(bounded[0]) > FUSED_QUERIES:
         return _in_parts(
-            lambda part_hits, part: weighted_search(
-                part_hits, vectors, part, k, text_weight, vector_weight, max_broadcast_values
-            ),
+            lambda part_hits, part, bound: weighted_search(part_hits, vectors, part, k, text_weight, vector_weight, bound),
             materialize(hits), queries, max_broadcast_values,
         )
     hits = materialize(hits.select("query_id", "id", "score"))

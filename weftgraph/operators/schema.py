@@ -23,7 +23,9 @@ EDGE_COLUMNS = frozenset({"edge_id", "src", "dst", "type"})
 #: Mode of a label or edge type that nobody declared.
 UNDECLARED = 0
 
-DECLARED = "label string, property string, type string, required boolean, unique boolean"
+PROPERTY = "property string, type string, required boolean, unique boolean"
+DECLARED = f"label string, {PROPERTY}"
+REGISTERED = f"label string, version int, mode int, {PROPERTY}"
 
 
 def schema_mode(mode: str | int) -> int:
@@ -39,8 +41,8 @@ def schema_mode(mode: str | int) -> int:
     return code
 
 
-def declare(spark: SparkSession, label: str, properties: Sequence[Mapping[str, Any]] | None = None) -> DataFrame:
-    """Declared properties of a label or edge type as rows; the type defaults to string."""
+def _entries(properties: Sequence[Mapping[str, Any]] | None) -> list[tuple]:
+    """``property, type, required, unique`` of each declared property; the type defaults to string."""
     if properties is not None and not isinstance(properties, (list, tuple)):
         raise ValueError(f"properties must be a list or tuple, got {type(properties).__name__}")
     rows = []
@@ -55,8 +57,13 @@ def declare(spark: SparkSession, label: str, properties: Sequence[Mapping[str, A
             raise ValueError(f"property {name!r} has unknown type {kind!r}")
         if not all(isinstance(flag, bool) for flag in flags):
             raise ValueError(f"property {name!r}: required and unique must be booleans")
-        rows.append((label, name, kind.strip().upper(), *flags))
-    return spark.createDataFrame(rows, DECLARED)
+        rows.append((name, kind.strip().upper(), *flags))
+    return rows
+
+
+def declare(spark: SparkSession, label: str, properties: Sequence[Mapping[str, Any]] | None = None) -> DataFrame:
+    """Declared properties of a label or edge type as rows."""
+    return spark.createDataFrame([(label, *entry) for entry in _entries(properties)], DECLARED)
 
 
 def register(
@@ -70,11 +77,9 @@ def register(
 
     Without properties it is one row with a NULL property. Registries of several labels are unions.
     """
-    check_limit(version, "version")
-    head = spark.range(1).select(
-        F.lit(label).alias("label"), F.lit(version).alias("version"), F.lit(schema_mode(mode)).alias("mode")
-    )
-    return head.join(F.broadcast(declare(spark, label, properties)), "label", "left")
+    head = (label, check_limit(version, "version"), schema_mode(mode))
+    entries = _entries(properties) or [(None, None, None, None)]
+    return spark.createDataFrame([(*head, *entry) for entry in entries], REGISTERED)
 
 
 def modes_of(registry: DataFrame) -> dict[str, int]:
