@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import bpe, chat, compression, exact, langid, lattice, minhash, mixing, suffix, warc
+from weftgraph.llm import bpe, chat, compression, exact, fill, langid, lattice, minhash, mixing, suffix, tokencount, trie, warc
 from weftgraph.llm.store import new_folder
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,90 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+# CRC-32 bit by bit, as the function is not there: 8 steps for each byte of the decimal id.
+CRC = """xor(4294967295, list_reduce(list_transform(range(1, len(CAST(conv_id AS VARCHAR)) + 1),
+    lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+    lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+    CAST(4294967295 AS BIGINT)))"""
+
+TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         md5(coalesce(role, '') || chr(10) || coalesce(text, '')) AS turn, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {CRC} % 6 AS h, conv_id - conv_id % 100 AS base FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (
+  SELECT c.conv_id, t.pos AS depth, turn, chars FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h),
+taken AS (SELECT c.conv_id, c.h, count(b.depth) AS taken FROM c LEFT JOIN b USING (conv_id) GROUP BY ALL),
+r AS (
+  SELECT * FROM b UNION ALL
+  SELECT t.conv_id, taken + pos - h, turn, chars FROM t JOIN taken USING (conv_id) WHERE pos > h),
+p AS (
+  SELECT conv_id, depth, chars, md5(string_agg(turn, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS last
+  FROM r UNION ALL
+  SELECT conv_id, 0, 0, 'root', conv_id NOT IN (SELECT conv_id FROM r) FROM c),
+n AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM p GROUP BY node),
+up AS (SELECT n.*, q.node AS parent FROM n LEFT JOIN p q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1),
+k AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent),
+below AS (  -- every node under each node of its smallest member's path
+  SELECT q.node, sum((n.n_convs - 1) * n.chars) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+  FROM n JOIN p q ON q.conv_id = n.conv_id AND q.depth <= n.depth LEFT JOIN k ON k.node = n.node GROUP BY q.node)
+SELECT up.conv_id, CAST(up.depth AS BIGINT) AS depth, f.conv_id AS parent_conv_id, CAST(up.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, up.ends_sha256
+FROM up JOIN below ON below.node = up.node LEFT JOIN k ON k.node = up.node LEFT JOIN n f ON f.node = up.parent
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt(trie.named_turns(table(spark, folder, "conversations"))))
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The cache is new, so all distinct texts are misses: the whole work is done at each call."""
+    counts = tokencount.count_tokens(
+        table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"), new_folder(spark, "token-counts")
+    )
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+FILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s,
+         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u FROM documents),
+h AS (
+  SELECT *, len(u) AS n, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2,
+         CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix
+  FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op13_fill_in_middle", FILL_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    filled = fill.restore(fill.fill_in_middle(table(spark, folder, "documents")))
+    return filled.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )

@@ -141,21 +141,13 @@ def name_runs(
     named = store(ranged.mapInArrow(_walk(list(key), hashed, keep, lead, kinds, only_repeated), schema), name)
 
     # A key that lies in several slices is an edge of each of them; two edges per slice, as a rule.
-    seen: dict[bytes, list] = {}
-    for r in named.filter("edge IS NOT NULL").select("edge", "slice", "run", "lead").orderBy("slice", "run").collect():
-        seen.setdefault(bytes(r.edge), []).append(r)
-    fixes = [
-        (r.slice, r.run, (same[0].slice << SLICE_SHIFT) + same[0].run, same[0].lead)
-        for same in seen.values()
-        if len(same) > 1
-        for r in same
-    ]
-    rows = named.filter("edge IS NULL").drop("edge")
     own = F.shiftleft(F.col("slice"), SLICE_SHIFT) + F.col("run")
-    if not fixes:
-        return rows.select(*keep, own.alias("name"), "repeated", "lead")
-    fix = df.sparkSession.createDataFrame(fixes, "slice long, run long, fix_name long, fix_lead long")
-    return rows.join(F.broadcast(fix), ["slice", "run"], "left").select(
+    edges = named.filter("edge IS NOT NULL").select("edge", "slice", "run", "lead")
+    firsts = edges.groupBy("edge").agg(F.min(F.struct("slice", "run", own.alias("name"), "lead")).alias("first"), F.count("*").alias("n"))
+    fix = edges.drop("lead").join(firsts.filter("n > 1").drop("n"), "edge")
+    fix = store(fix.select("slice", "run", F.col("first.name").alias("fix_name"), F.col("first.lead").alias("fix_lead")), f"{name}-edges")
+    rows = named.filter("edge IS NULL").drop("edge")
+    return rows.join(broadcast_if_small(fix), ["slice", "run"], "left").select(
         *keep,
         F.coalesce("fix_name", own).alias("name"),
         (F.col("repeated") | F.col("fix_name").isNotNull()).alias("repeated"),

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.plans.sizing import broadcast_if_small
+
 _FALLBACK: dict[str, str] = {}
 
 
@@ -52,10 +54,43 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Numbers of the rows of one file lie below this; the file's place in the sorted list of files lies above.
+FILE_ROWS = 2**40
+#: Plan nodes that keep the rows of a scan apart, one output row for each that stays.
+_KEEPS_ROWS = {"Project", "Filter", "SubqueryAlias"}
+
+
+def is_scan(df: DataFrame) -> bool:
+    """``df`` is the scan of Parquet files, with columns chosen or rows filtered at most."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in _KEEPS_ROWS:
+        plan = plan.children().apply(0)
+    if plan.nodeName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    return plan.relation().fileFormat().toString() == "Parquet"
+
+
 def with_row(df: DataFrame, column: str) -> DataFrame:
-    """Number the rows of a stored table (place of the split, place in the split).
+    """``df`` with a number in ``column`` that stays a row's own however often and on whatever cores it is evaluated.
 
-    The same scan gives the same numbers again, so decisions made from some of its columns can be
-    joined back to the others, whether or not an id repeats or is null.
+    The rows of Parquet files are told apart by file and by place in the file, so nothing is copied; the numbers
+    follow the order of the file names. What is no plain scan is written once with its numbers.
     """
-    return df.withColumn(column, F.monotonically_increasing_id())
+    spark = df.sparkSession
+    if not is_scan(df):
+        return store(df.withColumn(column, F.monotonically_increasing_id()), "numbered")
+    path, place = free_name(df, "file_path_"), free_name(df, "file_place_")
+    # One path per file of the table, as many as the driver lists to plan the scan.
+    paths = sorted(r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect())
+    files = spark.createDataFrame([(p, i * FILE_ROWS) for i, p in enumerate(paths)], f"{path} string, {place} long")
+    found = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(column))
+    found = found.join(broadcast_if_small(files), path)
+    return found.select(*df.columns, (F.col(place) + F.col(column)).alias(column))
+
+
+def numbered(df: DataFrame, row_col: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` with row numbers and the name of their column; ``row_col`` names one that is there already."""
+    if row_col:
+        return df, row_col
+    column = free_name(df, "row_number_")
+    return with_row(df, column), column
