@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -132,6 +133,28 @@ def test_near_chain_and_shared_passages(spark):
     same([(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_groups(df).collect()], brute_near(data))
 
 
+def test_pairs_close_to_the_threshold_are_found(spark):
+    """300 pairs at 75 to 80%: the bands and the count of agreeing minima let every one through to the full check."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for pair in range(300):
+        base = [f"p{pair}w{rng.integers(10**6)}" for _ in range(304)]
+        kept = int(rng.integers(261, 268))  # of 300 shingles 257 to 263 are shared: 74.9% is below, 78% above
+        rows += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(base[:kept] + [f"o{pair}x{i}" for i in range(304 - kept)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same([(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_groups(df).collect()], brute_near(rows))
+    assert sum(r.doc_id != r.component_id for r in minhash.near_groups(df).collect()) > 250
+
+
+def test_hub_of_components(spark):
+    from weftgraph.llm.graph import components
+
+    n = 4000
+    edges = [(0, i) for i in range(1, n)] + [(n + 1, i) for i in range(n // 2, n)] + [(n + 5, n + 6), (n + 6, n + 7), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
+    assert got == {**{i: 0 for i in range(n)}, n + 1: 0, n + 5: n + 5, n + 6: n + 5, n + 7: n + 5}
+
+
 def test_drop_near_copies(docs, none):
     left = minhash.drop_near_copies(docs)
     assert left.columns == docs.columns
@@ -211,6 +234,59 @@ def test_rank_order_distance():
     assert (a << 42 | 32 << 21 | a) not in found and (b << 42 | 32 << 21 | a) not in found
 
 
+def brute_profile(texts):
+    """The 300 most frequent n-grams of padded words, the most frequent first, equal ones by packed code points."""
+    count = Counter()
+    for text in texts:
+        for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+            count.update(word)
+            padded = f" {word} "
+            for size in (2, 3):
+                count.update(padded[i : i + size] for i in range(len(padded) - size + 1))
+
+    def packed(gram):
+        value = 0
+        for c in gram:
+            value = value << 21 | ord(c)
+        return value
+
+    return [g for g, _ in sorted(count.items(), key=lambda x: (-x[1], packed(x[0])))[:300]]
+
+
+def brute_language(profiles, text):
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    own = brute_profile([text])
+    places = {lang: {g: i for i, g in enumerate(p)} for lang, p in profiles.items()}
+    far, lang = min((sum(abs(at[g] - i) if g in at else 300 for i, g in enumerate(own)), lang) for lang, at in places.items())
+    return lang, 1 - far / (300 * len(own))
+
+
+def test_language_against_brute_force(spark, small, docs, data, monkeypatch):
+    table = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in table.collect()]
+    texts = {}
+    for i, t, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang is not None and t is not None:
+            texts.setdefault(lang, []).append(t)
+    profiles = {lang: brute_profile(t) for lang, t in texts.items()}
+    from weftgraph.llm.queries import QUERIES
+
+    want = {i: brute_language(profiles, t) for i, t, _ in rows}
+    for r in QUERIES["op3_language_id"](spark, small).collect():
+        assert r.lang_pred == want[r.doc_id][0] and r.score == pytest.approx(want[r.doc_id][1])
+    learned = langid.fit(table.select("lang", "text"))
+    whole = langid.predict(docs, learned).select("doc_id", "lang_pred", "score").collect()
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 1)  # one block for each language
+    same(langid.predict(docs, learned).select("doc_id", "lang_pred", "score").collect(), whole)
+
+
+def test_equal_distances_go_to_the_first_name(docs):
+    one = langid.fit(docs.filter("lang = 'en'").select("lang", "text"))["en"]
+    found = {r.lang_pred for r in langid.predict(docs, {"zz": one, "b": one, "c": one[:1]}).collect()}
+    assert found == {"b", "und"}
+
+
 # passages
 
 
@@ -396,8 +472,56 @@ def test_bpe_agrees_with_the_library(docs, data, none, library):
     same([(r.doc_id, r.list) for r in got], want)
     same([(r.doc_id, r.decoded) for r in got], [(i, library.decode(ids, skip_special_tokens=False)) for i, ids in want])
     assert bpe.encode(none, path).count() == 0
-    with pytest.raises(ValueError):
-        bpe.encode(docs, path, ids_col="kept")
+    # A name that is taken gives way.
+    assert bpe.encode(docs, path, ids_col="kept").columns == [*docs.columns, "kept_"]
+    twice = bpe.encode(bpe.encode(docs, path), path)
+    assert twice.columns[-2:] == ["ids", "ids_"] and twice.filter("ids <> ids_").count() == 0
+    assert bpe.decode(twice.withColumn("decoded", F.lit(1)), path).columns[-1] == "decoded_"
+
+
+def thue_morse(n):
+    """Two texts of ``n`` letters that every polynomial hash modulo 2**64 takes for one."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 8192])
+def test_texts_with_one_polynomial_hash(library, n, spark):
+    pair = thue_morse(n)
+    encoder = bpe.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    for texts in (pair, (pair[0],), (pair[1],), (pair[1] + " " + pair[0],)):
+        ids, begins = encoder.encode(*flat(texts))
+        for b, e, w in zip(begins[:-1], begins[1:], library.encode_batch(list(texts), add_special_tokens=False)):
+            assert ids[b:e].tolist() == w.ids
+    x, y = Words(*flat(pair)).hashes()
+    assert x != y
+    lines = Words(*flat([f"{pair[0]}\n{pair[1]}\n{pair[0]}"]), lower=False)
+    assert compression.repeated_lines(lines).tolist() == [1]
+
+
+def test_pieces_under_one_hash_are_told_apart(library, monkeypatch):
+    """With a hash that knows lengths only, every answer must come from the comparison of bytes."""
+    monkeypatch.setattr(bpe, "byte_spans", lambda data, sums, starts, ends: (ends - starts).astype(np.uint64))
+    encoder = bpe.Encoder(tokenizer_file("byte_bpe_50k.json"))
+    texts = ["the cat sat", "tha cut sit <|endoftext|>", "the", "", "xyz the tho"]
+    for _ in range(2):
+        ids, begins = encoder.encode(*flat(texts))
+        for b, e, w in zip(begins[:-1], begins[1:], library.encode_batch(texts, add_special_tokens=False)):
+            assert ids[b:e].tolist() == w.ids
+
+
+def test_long_words_merge_alike(library, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("etaoinsh"), n)) for n in (1, 2, 3, 50, 700, 3000)] + ["ab" * 500, "aaa", "日本語" * 40]
+    want = library.encode_batch(texts, add_special_tokens=False)
+    for least in (1, 2048):
+        monkeypatch.setattr(bpe, "LONG_PIECE", least)
+        ids, begins = bpe.Encoder(tokenizer_file("byte_bpe_50k.json")).encode(*flat(texts))
+        for b, e, w in zip(begins[:-1], begins[1:], want):
+            assert ids[b:e].tolist() == w.ids
+    began = time.perf_counter()
+    bpe.Encoder(tokenizer_file("byte_bpe_50k.json")).encode(*flat(["".join(rng.choice(list("etaoinsh"), 200_000))]))
+    assert time.perf_counter() - began < 8
 
 
 def test_bpe_on_random_texts(library):

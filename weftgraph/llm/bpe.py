@@ -2,14 +2,17 @@
 
 The text is cut into pieces at changes of character class. The distinct pieces a task has not met yet
 go through the merges together: all their symbols lie in one flat array, every adjacent pair is looked up by
-binary search in the sorted pair keys, and in each round every piece merges its pair of lowest rank.
+binary search in the sorted pair keys, and in each round every piece merges its pair of lowest rank. A piece of
+thousands of bytes would need as many rounds; it takes its pairs from a heap instead.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.store import free_name
-from weftgraph.llm.words import BYTE_BASE, BYTE_WEIGHT, buffers, cuts, running, spans
+from weftgraph.llm.words import BYTE_BASE, BYTE_WEIGHT, buffers, byte_spans, cuts, running
 
 # Classes of code points, and the apostrophe endings that are pieces of their own.
 WHITE, LETTER, NUMBER, OTHER = range(4)
@@ -30,6 +33,8 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 REMEMBERED_BYTES = 16 << 20
 #: Bytes of text tokenised together.
 TEXT_BYTES = 1 << 18
+#: Bytes from which a piece is merged alone, by a heap.
+LONG_PIECE = 2048
 NONE = np.iinfo(np.int64).max
 
 
@@ -126,6 +131,57 @@ class Vocabulary:
         order = np.argsort(owner, kind="stable")
         return symbols[order], owner[order]
 
+    def merge_long(self, symbols: np.ndarray) -> list[int]:
+        """The same merges for one piece: always the pair of lowest rank, of equal ones the first, in n log n steps."""
+        sym = symbols.tolist()
+        n = len(sym)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        found = self.look_up(symbols[:-1], symbols[1:])
+        known = np.flatnonzero(found >= 0)
+        heap = list(zip(self.ranks[found[known]].tolist(), known.tolist()))
+        heapq.heapify(heap)
+
+        def push(i: int) -> None:
+            pair = self.pair.get(sym[i] * self.size + sym[right[i]])
+            if pair is not None:
+                heapq.heappush(heap, (pair[0], i))
+
+        while heap:
+            rank, i = heapq.heappop(heap)
+            j = right[i]
+            if sym[i] < 0 or j >= n:
+                continue
+            pair = self.pair.get(sym[i] * self.size + sym[j])
+            if pair is None or pair[0] != rank:
+                continue  # a neighbour was merged since
+            sym[i], sym[j], right[i] = pair[1], -1, right[j]
+            if right[j] < n:
+                left[right[j]] = i
+                push(i)
+            if left[i] >= 0:
+                push(left[i])
+        return [s for s in sym if s >= 0]
+
+    @cached_property
+    def pair(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged id by pair key."""
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist())))
+
+    def merge_all(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of the pieces ``data[begin:end]`` after all merges, and the piece of each, ascending."""
+        short = np.flatnonzero(ends - begins < LONG_PIECE)
+        symbols = self.byte_id[gather(data, begins[short], ends[short])]
+        symbols, owner = self.merge(symbols, np.repeat(short, ends[short] - begins[short]))
+        if len(short) == len(begins):
+            return symbols, owner
+        parts, owners = [symbols], [owner]
+        for i in np.flatnonzero(ends - begins >= LONG_PIECE):
+            parts.append(np.array(self.merge_long(self.byte_id[data[begins[i] : ends[i]]]), np.int64))
+            owners.append(np.full(len(parts[-1]), i))
+        symbols, owner = np.concatenate(parts), np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return symbols[order], owner[order]
+
     def _pairs(self, symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
         return self._pairs_at(symbols, owner, np.arange(len(symbols)))
 
@@ -198,7 +254,8 @@ def piece_starts(points: np.ndarray, edge: np.ndarray) -> np.ndarray:
 class Encoder:
     """Encodes texts with one vocabulary and remembers the pieces it has merged.
 
-    Pieces are told apart by 64-bit hash and never become Python objects.
+    Pieces are found by 64-bit hash and then compared byte by byte with the remembered ones; they never become
+    Python objects.
     """
 
     def __init__(self, path: str):
@@ -211,21 +268,21 @@ class Encoder:
         self.n = self.held = 0
         self.flat = np.zeros(1024, np.uint32)
         self.ends = np.zeros(1025, np.int64)  # the ids of piece i lie at ends[i]:ends[i + 1] of flat
+        self.bytes = np.zeros(1024, np.uint8)
+        self.byte_ends = np.zeros(1025, np.int64)  # its bytes at byte_ends[i]:byte_ends[i + 1] of bytes
         for text, i in self.vocabulary.special.items():
             raw = np.frombuffer(text.encode(), np.uint8)
-            hashes = spans(running(BYTE_WEIGHT[raw], BYTE_BASE), BYTE_BASE, np.array([0]), np.array([len(raw)]))
-            self._learn(hashes, np.array([i], np.int64), np.array([0], np.int64))
+            begin, end = np.array([0]), np.array([len(raw)])
+            hashes = byte_spans(raw, running(BYTE_WEIGHT[raw], BYTE_BASE), begin, end)
+            self._learn(hashes, np.array([i], np.int64), np.array([0], np.int64), raw, end)
 
-    def _learn(self, hashes: np.ndarray, symbols: np.ndarray, owner: np.ndarray) -> None:
-        """Remember pieces by their sorted hashes; ``owner`` is the piece of each symbol, ascending."""
+    def _learn(self, hashes: np.ndarray, symbols: np.ndarray, owner: np.ndarray, raw: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember pieces by their sorted hashes; ``owner`` is the piece of each symbol, ascending; ``raw`` their bytes."""
         n, m = self.n, len(hashes)
-        at = int(self.ends[n])
-        while len(self.flat) < at + len(symbols):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        while len(self.ends) < n + m + 1:
-            self.ends = np.concatenate([self.ends, np.zeros(len(self.ends), np.int64)])
-        self.flat[at : at + len(symbols)] = symbols
-        self.ends[n + 1 : n + m + 1] = at + np.cumsum(np.bincount(owner, minlength=m))
+        self.flat = _append(self.flat, int(self.ends[n]), symbols)
+        self.ends = _append(self.ends, n + 1, self.ends[n] + np.cumsum(np.bincount(owner, minlength=m)))
+        self.bytes = _append(self.bytes, int(self.byte_ends[n]), raw)
+        self.byte_ends = _append(self.byte_ends, n + 1, self.byte_ends[n] + np.cumsum(sizes))
         place = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, place, hashes)
         self.slots = np.insert(self.slots, place, np.arange(n, n + m))
@@ -249,7 +306,7 @@ class Encoder:
             start[b + 1 : e] = False
         begins = at[:-1][start]
         ends = np.append(begins[1:], len(data))
-        hashes = spans(running(BYTE_WEIGHT[data], BYTE_BASE), BYTE_BASE, begins, ends)
+        hashes = byte_spans(data, running(BYTE_WEIGHT[data], BYTE_BASE), begins, ends)
         distinct, first, piece = np.unique(hashes, return_index=True, return_inverse=True)
         if self.held > REMEMBERED_BYTES:
             self._forget()
@@ -258,15 +315,31 @@ class Encoder:
         new = self.hashes[place] != distinct if self.n else np.ones(len(distinct), bool)
         if new.any():
             b, e = begins[first[new]], ends[first[new]]
-            symbols = self.vocabulary.byte_id[gather(data, b, e)]
-            owner = np.repeat(np.arange(len(b)), e - b)
-            self.held += len(symbols)
-            self._learn(distinct[new], *self.vocabulary.merge(symbols, owner))
+            self.held += int((e - b).sum())
+            self._learn(distinct[new], *self.vocabulary.merge_all(data, b, e), gather(data, b, e), e - b)
             place = np.searchsorted(self.hashes, distinct)
         slots = self.slots[place][piece]
-        ids = gather(self.flat, self.ends[slots], self.ends[slots + 1])
-        sizes = np.concatenate([[0], np.cumsum(self.ends[slots + 1] - self.ends[slots])])
-        return ids, sizes[np.searchsorted(begins, offsets)]
+        flat, starts, stops = self.flat, self.ends[slots], self.ends[slots + 1]
+        other = self._differ(data, begins, ends, slots)
+        if len(other):  # pieces that share a hash with another one
+            symbols, owner = self.vocabulary.merge_all(data, begins[other], ends[other])
+            stop = len(flat) + np.cumsum(np.bincount(owner, minlength=len(other)))
+            flat = np.concatenate([flat, symbols.astype(np.uint32)])
+            starts[other], stops[other] = np.concatenate([[len(self.flat)], stop[:-1]]), stop
+        sizes = np.concatenate([[0], np.cumsum(stops - starts)])
+        return gather(flat, starts, stops), sizes[np.searchsorted(begins, offsets)]
+
+    def _differ(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Pieces whose bytes are not those remembered under their hash; the pieces cover ``data`` from end to end."""
+        first, last = self.byte_ends[slots], self.byte_ends[slots + 1]
+        same = last - first == ends - begins
+        if same.all():
+            equal = gather(self.bytes, first, last) == data
+            return np.flatnonzero(~np.logical_and.reduceat(equal, begins)) if not equal.all() else np.zeros(0, np.int64)
+        equal = np.zeros(len(data), bool)
+        inside = np.repeat(same, ends - begins)
+        equal[inside] = gather(self.bytes, first[same], last[same]) == data[inside]
+        return np.flatnonzero(~np.logical_and.reduceat(equal, begins))
 
     def _special_spans(self, raw: bytes, offsets: np.ndarray) -> list[tuple[int, int]]:
         """Byte spans of special texts, none across two texts."""
@@ -286,6 +359,14 @@ class Encoder:
         return found
 
 
+def _append(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``array`` with ``values`` from ``at`` on, twice as long as often as needed."""
+    while len(array) < at + len(values):
+        array = np.concatenate([array, np.zeros(len(array), array.dtype)])
+    array[at : at + len(values)] = values
+    return array
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """``flat[start:end]`` of all spans, one after the other."""
     sizes = ends - starts
@@ -300,11 +381,12 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
     """``docs`` with ``ids_col``: the token ids of the whole text as little-endian unsigned 32-bit integers.
 
     As the vocabulary's own library does without adding special tokens: a special text inside a text
-    is its one token. A null text has no tokens. Nothing is shuffled. Use ``unpack`` for an array.
+    is its one token. A null or empty text has no tokens; each row stands for itself, so ties and repeats do not
+    matter; a text of any length is encoded whole. All columns stay; if one is called ``ids_col``, the
+    new one, always the last, has underscores behind that name. Nothing is shuffled. Use ``unpack`` for an array.
     """
     at = docs.columns.index(text_col)
-    if free_name(docs, ids_col) != ids_col:
-        raise ValueError(f"the table already has a column {ids_col!r}")
+    ids_col = free_name(docs, ids_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.BinaryType(), False)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,10 +408,9 @@ def decode(docs: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str
     """``docs`` with ``text_col``: the text of the packed ids, special tokens included.
 
     Bytes that are no UTF-8 become U+FFFD. A null list of ids is the empty text. An id the vocabulary
-    does not have is an error.
+    does not have is an error. The new column is the last; its name gives way as in ``encode``.
     """
-    if free_name(docs, text_col) != text_col:
-        raise ValueError(f"the table already has a column {text_col!r}")
+    text_col = free_name(docs, text_col)
     at = docs.columns.index(ids_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(text_col, T.StringType(), False)])
 

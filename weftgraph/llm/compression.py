@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.store import with_row
-from weftgraph.llm.words import Words, buffers, cuts, spans
+from weftgraph.llm.store import numbered
+from weftgraph.llm.words import Words, buffers, byte_spans, cuts
 
 #: The characters counted as symbols.
 SYMBOLS = np.zeros(256, bool)
@@ -93,7 +93,7 @@ def repeated_lines(words: Words) -> np.ndarray:
     ends = np.where(more, np.concatenate([begins[1:] - 1, [0]]), offsets[owner + 1])
     full = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, begins)
     begins, ends, owner = begins[full], ends[full], owner[full]
-    hashes = spans(words.byte_sums, 0x9E3779B97F4A7C15, begins, ends) + owner.astype(np.uint64) * _DOC_SALT
+    hashes = byte_spans(words.data, words.byte_sums, begins, ends) + owner.astype(np.uint64) * _DOC_SALT
     _, first = np.unique(hashes, return_index=True)
     return np.bincount(owner, minlength=n) - np.bincount(owner[first], minlength=n)
 
@@ -172,8 +172,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     so it fails. Every whole text is read; a task holds a quarter of a MB of text in arrays at a time, or
     one text if that is longer.
     """
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")
-    measured = rows.select("row", "doc_id", "text").mapInArrow(_measure(bands), STATS)
+    docs, row = numbered(docs)
+    rows = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    measured = rows.mapInArrow(_measure(bands), STATS)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & F.col("in_band"))
 
@@ -198,5 +199,9 @@ def _judge(bands: Bands, text_at: int):
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns, in one pass over the table."""
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns, whatever their names, in one pass.
+
+    Null, empty and short texts go. A verdict depends on the text alone, so repeated rows go or stay
+    together; a text of any length is read whole; a table without rows stays empty.
+    """
     return docs.mapInArrow(_judge(bands, docs.columns.index(text_col)), docs.schema)

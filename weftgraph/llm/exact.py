@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.runs import name_runs
-from weftgraph.llm.store import free_name, store, with_row
+from weftgraph.llm.store import numbered, store
 from weftgraph.llm.words import buffers
 from weftgraph.plans.sizing import broadcast_if_small
 
@@ -61,16 +61,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def text_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row, doc_id, n, name, sha``.
 
     Equal ``(n, name)`` means equal text and nothing else does; ``n`` is the number of blocks,
-    ``sha`` the SHA-256 of the UTF-8 text. ``row`` is the number ``with_row`` gives the rows of the
-    same stored table. A null text is the empty text; the empty text is one empty block. Ids may be
+    ``sha`` the SHA-256 of the UTF-8 text. ``row`` is the row's number (``row_col``, or one that
+    ``with_row`` gives). A null text is the empty text; the empty text is one empty block. Ids may be
     null or repeat.
     """
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")
-    blocks = rows.select("row", "doc_id", "text").mapInArrow(_cut, BLOCKS)
+    docs, row = numbered(docs, row_col)
+    rows = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = rows.mapInArrow(_cut, BLOCKS)
     level = name_runs(blocks, ["block"], ["row", "pos"], ["row", "doc_id", "pos", "n", "sha"], name="blocks")
     level = store(level, "block-names")
     heads = level.filter("pos = 0").select("row", "doc_id", "n", "name", "sha")
@@ -100,14 +101,14 @@ def text_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """The copies of each text: ``row, doc_id, keep_id, group_size, kept, text_sha256`` per row of ``docs``.
 
     Of equal texts the row with the largest id stays (a null id is smaller than any; of repeated ids
     the last row). A group of any size is counted map-side, and only groups of two and more meet the
     rows again.
     """
-    names = store(text_names(docs, id_col, text_col), "text-names")
+    names = store(text_names(docs, id_col, text_col, row_col), "text-names")
     groups = (
         names.groupBy("n", "name")
         .agg(F.max(F.struct("doc_id", "row")).alias("stays"), F.count("*").alias("group_size"))
@@ -126,7 +127,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each text; all columns stay. ``docs`` should be a stored table."""
-    row = free_name(docs, "row_number_")
-    gone = exact_groups(docs, id_col, text_col).filter("NOT kept").select(F.col("row").alias(row))
-    return with_row(docs, row).join(broadcast_if_small(store(gone, "copies")), row, "left_anti").drop(row)
+    """``docs`` with one row of each text, the one ``exact_groups`` keeps; all columns stay, whatever their names.
+
+    Null and empty texts are one text; of equal texts with equal or no ids the last row stays. A table
+    without rows stays empty; a text of any length is compared whole.
+    """
+    rows, row = numbered(docs)
+    gone = exact_groups(rows, id_col, text_col, row).filter("NOT kept").select(F.col("row").alias(row))
+    return rows.join(broadcast_if_small(store(gone, "copies")), row, "left_anti").drop(row)

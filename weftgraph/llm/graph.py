@@ -5,33 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.llm.runs import name_runs
 from weftgraph.llm.store import store
 
 
-def _lowest(edges: DataFrame) -> DataFrame:
-    """For each ``u`` the smaller of itself and its smallest neighbour; counted map-side first."""
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _with_lowest(edges: DataFrame) -> DataFrame:
+    """``u, v, m``: each edge with the smaller of ``u`` and its smallest neighbour.
+
+    The edges are sorted by ``u`` and ``v`` in slices, where the first ``v`` of a ``u`` is its smallest neighbour; a
+    hub fills as many slices as it needs.
+    """
+    runs = name_runs(edges, ["u"], ["v"], ["u", "v"], lead="v", name="stars")
+    return runs.select("u", "v", F.least("u", "lead").alias("m"))
 
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node next to it."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_lowest(both), "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_lowest(both).filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
-    lowest = _lowest(down)
-    moved = down.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    lowest = _with_lowest(down)
+    moved = lowest.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(lowest.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``node, component`` for every node of ``edges``: the smallest node it is connected to.
 
-    No neighbour list is ever gathered: a hub is a key with many small rows, which the minimum
-    meets map-side and the join may split. Every round is written to the shared folder.
+    No neighbour list is ever gathered: a hub is many small rows over neighbouring slices. Every round is written
+    to the shared folder.
     """
     now = store(edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v").distinct(), "edges")
     before = None

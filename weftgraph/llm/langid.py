@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.llm.store import store, with_row
+from weftgraph.llm.store import numbered, store
 from weftgraph.llm.words import buffers, cuts
 
 #: Longest n-gram (three code points fill one 63-bit key), and length of every profile.
 LONGEST = 3
 PROFILE = 300
-#: Most languages a model may have: their profiles are sent to all tasks. Beyond it is an error.
+#: Most languages whose profiles are sent to a task; more are compared in blocks.
 MOST_LANGUAGES = 8_000
 UNKNOWN = "und"
 
@@ -101,7 +101,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, list[int]]:
     """Profile of each language: its ``PROFILE`` most frequent n-grams over all given texts.
 
-    Rows with a null language or text teach nothing. Counts are added up inside the tasks, so a
+    Rows with a null language or text teach nothing. The driver holds ``PROFILE`` numbers a language. Counts are added up inside the tasks, so a
     language that holds most rows is a few thousand rows by the time they meet.
     """
     counts = (
@@ -113,53 +113,61 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = store(counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PROFILE), "profiles")
-    found = top.select("lang").distinct().count()
-    if found > MOST_LANGUAGES:
-        raise ValueError(f"{found} languages; at most {MOST_LANGUAGES} can be told apart")
     profiles: dict[str, list[int]] = {}
     for r in top.orderBy("lang", "place").collect():
         profiles.setdefault(r.lang, []).append(r.gram)
     return profiles
 
 
-PREDICTED = T.StructType(
+DISTANCES = T.StructType(
     [
-        T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("far", T.LongType()),
+        T.StructField("lang", T.StringType()), T.StructField("most", T.LongType()),
     ]
 )
 
 
-def _nearest(profiles: dict[str, list[int]]):
-    langs = sorted(profiles)
-    known = np.unique(np.concatenate([np.array(profiles[g], np.int64) for g in langs])) if langs else np.zeros(0, np.int64)
-    #: Place of each known n-gram in each language's list; -1 where it has none.
-    places = np.full((len(known) + 1, len(langs)), -1, np.int64)
-    for j, lang in enumerate(langs):
-        places[np.searchsorted(known, np.array(profiles[lang], np.int64)), j] = np.arange(len(profiles[lang]))
-
-    def one(text: str) -> tuple[str, float]:
-        if not langs or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        own = ranked(*ngrams(text))
-        at = np.searchsorted(known, own)
-        at[at == len(known)] = 0
-        at = np.where(known[at] == own, at, len(known))
-        there = places[at]
-        out = np.where(there >= 0, np.abs(there - np.arange(len(own))[:, None]), PROFILE).sum(axis=0)
-        best = int(out.argmin())
-        return langs[best], float(1 - out[best] / (PROFILE * len(own)))
+class Places:
+    """Where each known n-gram stands in the lists of the languages that have it; languages that lack it take no room."""
+
+    def __init__(self, profiles: dict[str, list[int]]):
+        self.langs = sorted(profiles)
+        grams = np.concatenate([np.array(profiles[g], np.int64) for g in self.langs] or [np.zeros(0, np.int64)])
+        lang = np.repeat(np.arange(len(self.langs)), [len(profiles[g]) for g in self.langs])
+        place = np.concatenate([np.arange(len(profiles[g])) for g in self.langs] or [np.zeros(0, np.int64)])
+        order = np.argsort(grams, kind="stable")
+        self.lang, self.place = lang[order], place[order]
+        self.known, begins = np.unique(grams[order], return_index=True)
+        self.bounds = np.append(begins, len(grams))
 
+    def distances(self, own: np.ndarray) -> np.ndarray:
+        """Out-of-place distance of the ranked n-grams ``own`` to every language; one that a list lacks is ``PROFILE`` off."""
+        at = np.searchsorted(self.known, own)
+        at[at == len(self.known)] = 0
+        rank = np.flatnonzero(self.known[at] == own) if len(self.known) else np.zeros(0, np.int64)
+        at = at[rank]
+        sizes = self.bounds[at + 1] - self.bounds[at]
+        entry = np.arange(int(sizes.sum())) + np.repeat(self.bounds[at] - (np.cumsum(sizes) - sizes), sizes)
+        off = np.abs(self.place[entry] - np.repeat(rank, sizes)) - PROFILE
+        return PROFILE * len(own) + np.bincount(self.lang[entry], off, minlength=len(self.langs)).astype(np.int64)
+
+
+def _nearest(profiles: dict[str, list[int]]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(profiles)
+
+        def one(text: str) -> tuple[int | None, str, int]:
+            if not places.langs or not any(map(str.isalpha, text)):
+                return None, UNKNOWN, 0
+            own = ranked(*ngrams(text))
+            out = places.distances(own)
+            best = int(out.argmin())
+            return int(out[best]), places.langs[best], PROFILE * len(own)
+
         for batch in batches:
             found = [one(text) for _, text in _texts(batch.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=PREDICTED.names,
-            )
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=DISTANCES.names)
 
     return task
 
@@ -169,10 +177,24 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_
 
     ``lang_pred`` is the nearest language (of equal distances the first by name), ``und`` with score 0
     for a text that is null or has no letter, or when no language was learned. ``score`` is 1 less the
-    distance over the largest possible one. The whole text counts.
+    distance over the largest possible one. The whole text counts. Ids may be null or repeat; other
+    columns are left behind. More than ``MOST_LANGUAGES`` languages are compared in blocks of that many, and the
+    nearest of the blocks' nearest is the answer.
     """
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")
-    return rows.select("row", "doc_id", "text").mapInArrow(_nearest(profiles), PREDICTED)
+    docs, row = numbered(docs)
+    rows = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    langs = sorted(profiles)
+    blocks = [langs[i : i + MOST_LANGUAGES] for i in range(0, len(langs), MOST_LANGUAGES)] or [[]]
+    found = [rows.mapInArrow(_nearest({g: profiles[g] for g in block}), DISTANCES) for block in blocks]
+    nearest = found[0]
+    if len(found) > 1:
+        for more in found[1:]:
+            nearest = nearest.union(more)
+        nearest = nearest.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.min(F.struct("far", "lang", "most")).alias("best")
+        ).select("row", "doc_id", "best.*")
+    score = F.coalesce(1 - F.try_divide("far", "most"), F.lit(0.0))
+    return nearest.select("row", "doc_id", F.col("lang").alias("lang_pred"), score.alias("score"))
 
 
 def fold(id_col: Column, folds: int) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.langid import fold
-from weftgraph.llm.store import store, with_row
+from weftgraph.llm.store import numbered, store
 from weftgraph.llm.words import BYTE_BASE, BYTE_WEIGHT, Words, buffers, running, sliced, spans
 
 #: Most words whose counts are sent to all tasks (16 bytes each); the rest are joined.
@@ -337,8 +337,9 @@ def score(
     those of the vocabulary, and N and V are 0.
     """
     held_out = F.coalesce(fold(F.col(id_col), folds) == held, F.lit(False))
-    rows = with_row(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out")), "row"
+    docs, row = numbered(docs)
+    rows = docs.select(
+        F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out")
     )
     counts = word_counts(rows.filter(~F.col("held_out")).select("text"))
     pieces = fit(counts, read_pieces(model_file))

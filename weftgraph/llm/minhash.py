@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from weftgraph.llm.graph import components
 from weftgraph.llm.runs import name_runs
-from weftgraph.llm.store import free_name, store, with_row
+from weftgraph.llm.store import numbered, store
 from weftgraph.llm.words import Words, mix, running, sliced, spans, WORD_BASE
 from weftgraph.plans.sizing import broadcast_if_small
 
@@ -198,36 +198,25 @@ def piece_links(
             size *= 8
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Checked links that join components inside each piece of a bucket.
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Pieces with more than one component, and the places in them of the two blocks to compare.
 
     Rows come sorted by piece; a piece has at most two blocks. Columns: bucket, first block, second
-    block, own block, row, component, minima, text.
+    block, own block, row, component, minima, and more.
     """
     held: pa.Table | None = None
 
-    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def parted(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
         piece = np.stack([table[i].to_numpy() for i in range(3)])
         cut = np.flatnonzero((piece[:, 1:] != piece[:, :-1]).any(axis=0)) + 1
-        own, rows, label = (table[i].to_numpy() for i in (3, 4, 5))
-        left, right = [], []
+        own, label = table[3].to_numpy(), table[5].to_numpy()
         for b, e in zip(np.concatenate([[0], cut]), np.concatenate([cut, [table.num_rows]])):
             if e - b < 2 or label[b:e].min() == label[b:e].max():
                 continue
-            part = table.slice(b, e - b).combine_chunks()
-            minima = np.frombuffer(b"".join(part[6].to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
-            sets: list[np.ndarray] = []
-            for _, _, words in sliced(part[7]):
-                hashes, begins = distinct_shingles(words)
-                sets += [hashes[x:y] for x, y in zip(begins[:-1], begins[1:])]
             one = two = np.arange(e - b)
             if piece[1][b] != piece[2][b]:
                 one, two = one[own[b:e] == piece[1][b]], two[own[b:e] == piece[2][b]]
-            for i, j in piece_links(one, two, label[b:e], minima, sets):
-                left.append(min(rows[b + i], rows[b + j]))
-                right.append(max(rows[b + i], rows[b + j]))
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            yield table.slice(b, e - b).combine_chunks(), one, two
 
     for batch in batches:
         if not batch.num_rows:
@@ -237,10 +226,45 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero((piece[:, 1:] != piece[:, :-1]).any(axis=0)) + 1
         last = int(cut[-1]) if len(cut) else 0
         if last:
-            yield from links(table.slice(0, last))
+            yield from parted(table.slice(0, last))
         held = table.slice(last).combine_chunks()
     if held is not None:
-        yield from links(held)
+        yield from parted(held)
+
+
+def _minima(part: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(part[6].to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+
+
+HOPEFUL = "bucket long, one int, two int, own int, row long, component long"
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a piece whose minima leave a link to another component possible; only these need their texts."""
+    for part, one, two in _pieces(batches):
+        minima, label = _minima(part), part[5].to_numpy()
+        near = np.zeros(part.num_rows, bool)
+        for i in one:
+            agree = two[(label[two] != label[i]) & ((minima[two] == minima[i]).sum(axis=1) >= LEAST_AGREE)]
+            near[agree] = True
+            near[i] |= len(agree) > 0
+        if near.any():
+            kept = part.select(list(range(6))).filter(pa.array(near)).combine_chunks()
+            yield from kept.to_batches()
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Checked links that join components inside each piece of a bucket; the text follows the minima."""
+    for part, one, two in _pieces(batches):
+        rows, minima = part[4].to_numpy(), _minima(part)
+        sets: list[np.ndarray] = []
+        for _, _, words in sliced(part[7]):
+            hashes, begins = distinct_shingles(words)
+            sets += [hashes[x:y] for x, y in zip(begins[:-1], begins[1:])]
+        found = list(piece_links(one, two, part[5].to_numpy(), minima, sets))
+        if found:
+            left, right = rows[[i for i, _ in found]], rows[[j for _, j in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
 
 
 PAIR = "a long, b long"
@@ -267,7 +291,7 @@ def _checked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, name: str) -
     return store(with_both.select("a", "b", "left", "right").mapInArrow(_linked, PAIR), f"{name}-links")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Per row of ``docs``: ``row, doc_id, n_shingles, component_id, kept``.
 
     Words are runs of other than white space, ASCII letters in lower case. ``component_id`` is the
@@ -275,8 +299,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one if the id repeats. Rows without words link with nothing. A null text has no words; a null id
     counts as larger than any.
     """
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")
-    signed = store(rows.select("row", "doc_id", "text").mapInArrow(_sign, SIGNED), "signatures")
+    docs, row = numbered(docs, row_col)
+    rows = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    signed = store(rows.mapInArrow(_sign, SIGNED), "signatures")
     worded = signed.filter("n_shingles > 0")
     classes = store(
         name_runs(worded.select("form", "row"), ["form"], ["row"], ["row"], lead="row", name="forms").select("row", "lead"),
@@ -309,20 +334,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_ = store(open_.select("bucket", blocks.alias("blocks")), "open-buckets")
     left_open = store(labelled.join(open_, "bucket"), "open-members")
-    bodies = _bodies(texts, left_open.select("row"), "open")
+    minima = signed.select("row", "minima")
+
+    def by_piece(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
+
     placed = (
         left_open.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
-        .join(signed.select("row", "minima"), "row")
-        .join(bodies, "row")
+        .join(minima, "row")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "row", "component",
-            "minima", "text",
+            "bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "row", "component", "minima"
         )
-        .repartition("bucket", "one", "two")
-        .sortWithinPartitions("bucket", "one", "two")
     )
-    links = store(links.union(placed.mapInArrow(_across, PAIR)), "links")
+    # Signatures meet in all pieces of a bucket, texts only where two signatures leave a link possible.
+    hopeful = store(by_piece(placed).mapInArrow(_hopeful, HOPEFUL), "hopeful")
+    bodies = _bodies(texts, hopeful.select("row"), "open")
+    links = store(links.union(by_piece(hopeful.join(minima, "row").join(bodies, "row").select(*placed.columns, "text")).mapInArrow(_across, PAIR)), "links")
     linked = store(components(links), "components")
 
     member = classes.join(linked.withColumnRenamed("node", "lead"), "lead", "left").select(
@@ -344,7 +372,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies; all columns stay. ``docs`` should be a stored table."""
-    row = free_name(docs, "row_number_")
-    gone = near_groups(docs, id_col, text_col).filter("NOT kept").select(F.col("row").alias(row))
-    return with_row(docs, row).join(broadcast_if_small(store(gone, "near-copies")), row, "left_anti").drop(row)
+    """``docs`` with one row of each group of near copies, the one ``near_groups`` keeps; all columns stay.
+
+    Rows without words (null, empty or blank text) are no copies of each other and stay. Of rows with
+    one id the first stays. A table without rows stays empty; a text of any length is compared whole.
+    """
+    rows, row = numbered(docs)
+    gone = near_groups(rows, id_col, text_col, row).filter("NOT kept").select(F.col("row").alias(row))
+    return rows.join(broadcast_if_small(store(gone, "near-copies")), row, "left_anti").drop(row)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.llm.runs import running_total
-from weftgraph.llm.store import free_name, store, with_row
+from weftgraph.llm.store import free_name, numbered, store
 from weftgraph.plans.sizing import broadcast_if_small
 
 #: Text units that count as size.
@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 def fair_mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE,
+    weights: tuple[int, ...] = WEIGHTS, share: float = BUDGET_SHARE, row_col: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: ``row, doc_id, size, source_size, target, taken, copies``.
 
@@ -76,8 +76,10 @@ def fair_mix(
     no rows. A source may hold any part of the rows: its queue is cut into sorted slices.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = with_row(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")), "row"
+    docs, row = numbered(docs, row_col)
+    rows = docs.select(
+        F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        words.alias("size"),
     )
     rows = store(rows.withColumn("turn", F.md5(F.col("doc_id").cast("string"))), "sizes")
     targets = store(
@@ -123,11 +125,16 @@ def fair_mix(
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them: a document taken twice comes twice, one not taken is left out."""
-    row = free_name(docs, "row_number_")
-    times = free_name(docs, "copies_")
-    taken = fair_mix(docs, **options).filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(times))
+    """``docs`` as the mix takes them: a document taken twice comes twice, one not taken is left out.
+
+    All columns stay, whatever their names. Documents without words (null or blank text) are never
+    taken; rows with equal ids are taken on their own; a table without rows stays empty; a null
+    source is a source.
+    """
+    rows, row = numbered(docs)
+    times = free_name(rows, "copies_")
+    taken = fair_mix(rows, row_col=row, **options).filter("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(times))
     # Sorted on both sides at every size: as many rows as documents are no side to broadcast.
-    joined = with_row(docs, row).join(taken.hint("merge"), row)
-    again = free_name(docs, "again_")
+    joined = rows.join(taken.hint("merge"), row)
+    again = free_name(joined, "again_")
     return joined.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(row, times, again)

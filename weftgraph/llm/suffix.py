@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm.runs import name_runs
-from weftgraph.llm.store import free_name, store, with_row
+from weftgraph.llm.store import free_name, numbered, store
 from weftgraph.llm.words import WORD_BASE, Words, buffers, cuts, running, sliced, spans
 from weftgraph.plans.sizing import broadcast_if_small
 
@@ -125,7 +125,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["row", "begin_word", "end_word", "lead"])
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per stretch of a text that occurs elsewhere, in another text or again in its own.
 
     ``row, doc_id, begin_word, end_word, n_words, first_doc_id, copy``: word numbers from 0, the end
@@ -134,7 +134,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``LEAST_WORDS`` words, null and empty ones have no stretch. Every word of a passage of
     that many words found twice is in a stretch, and no other word is.
     """
-    rows = with_row(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "row")
+    docs, row = numbered(docs, row_col)
+    rows = docs.select(F.col(row).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = rows.select("row", F.coalesce("text", F.lit("")).alias("text"))
     suffixes = store(texts.mapInArrow(_suffixes, PLACE), "suffixes")
     matched = name_runs(suffixes, ["key"], ["row", "pos"], ["row", "pos"], hash_col="key", name="seeds", only_repeated=True)
@@ -181,14 +182,14 @@ def _cut_out(at: int, spans_at: int):
 
 def cut_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the stretches that an earlier row holds; rows without any pass unchanged."""
-    row, found = free_name(docs, "row_number_"), free_name(docs, "found_")
+    rows, row = numbered(docs)
+    found = free_name(rows, "found_")
     copies = (
-        repeated_passages(docs, id_col, text_col).filter("copy")
+        repeated_passages(rows, id_col, text_col, row).filter("copy")
         .groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("begin_word", "end_word")).alias(found))
     )
     copies = store(copies, "copies")
-    numbered = with_row(docs, row)
-    rest = numbered.join(broadcast_if_small(copies.select(row)), row, "left_anti").drop(row)
-    hit = numbered.join(copies, row).drop(row)
+    rest = rows.join(broadcast_if_small(copies.select(row)), row, "left_anti").drop(row)
+    hit = rows.join(copies, row).drop(row)
     schema = T.StructType([f for f in hit.schema if f.name != found])
     return rest.unionByName(hit.mapInArrow(_cut_out(docs.columns.index(text_col), len(docs.columns)), schema))

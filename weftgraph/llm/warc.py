@@ -27,7 +27,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from weftgraph.llm.store import store, with_row
+from weftgraph.llm.store import numbered, store
 from weftgraph.plans.sizing import broadcast_if_small
 
 VERSION = b"WARC/1.1"
@@ -368,13 +368,16 @@ def page_records(
 ) -> DataFrame:
     """A row of ``SCHEMA`` for each page: a response, or a revisit of the first page with the same payload.
 
-    Payloads of fewer than ``least_bytes`` bytes are all responses. Pages are alike if their SHA-256 and
-    length are; the smallest id is the response. Where an id repeats, its further rows are revisits
-    too and bear a number behind the id. A null html is the empty payload; a null id
-    is written as none. Equal payloads are counted map-side; only repeated ones meet the pages again.
+    Payloads of fewer than ``least_bytes`` bytes are all responses. Pages are alike if their SHA-256 is;
+    the smallest id is the response, of equal ids the first row. Where an id repeats, its further rows bear
+    their row number behind the id. A null html is the empty payload; a null id is larger than any and
+    written as none. Equal payloads are counted map-side; only repeated ones meet the pages again.
     """
     body = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
-    rows = with_row(pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), body.alias("body")), "row")
+    pages, row = numbered(pages)
+    rows = pages.select(
+        F.col(row).alias("row"), F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), body.alias("body")
+    )
     rows = rows.withColumn("sha", F.unhex(F.sha2("body", 256))).withColumn("bytes", F.length("body").cast("long"))
     place = F.struct(F.col("page").isNull().alias("none"), F.col("page"), F.col("row"))
     first = (
@@ -384,18 +387,25 @@ def page_records(
         .filter("n > 1")
     )
     first = store(first.select("sha", F.col("first.page").alias("first_page"), F.col("first.row").alias("first_row")), "repeated-payloads")
-    met = rows.join(broadcast_if_small(first), "sha", "left")
+    ids = store(rows.groupBy(F.col("page").alias("id")).agg(F.min("row").alias("id_row"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated-ids")
+
+    def with_record(df: DataFrame, page: str, row: str, name: str) -> DataFrame:
+        """The record id of a row: its page id, and the row number unless it is the first row of that id."""
+        found = df.join(broadcast_if_small(ids), F.col(page).eqNullSafe(F.col("id")), "left")
+        number = F.when(F.col("id_row") != F.col(row), F.concat(F.lit("."), F.col(row).cast("string"))).otherwise("")
+        shown = F.coalesce(F.col(page).cast("string"), F.lit("none"))
+        return found.withColumn(name, F.concat(F.lit("<urn:page:"), shown, number, F.lit(">"))).drop("id", "id_row")
+
+    first = with_record(first, "first_page", "first_row", "first_record")
+    met = with_record(rows.join(broadcast_if_small(first), "sha", "left"), "page", "row", "record_id")
     again = F.col("first_row").isNotNull() & (F.col("row") != F.col("first_row"))
-    own = F.coalesce(F.col("page").cast("string"), F.lit("none"))
-    # A row of the same id as its response needs a record id of its own.
-    twin = again & F.col("page").eqNullSafe(F.col("first_page"))
     return met.select(
         F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.concat(F.lit("<urn:page:"), own, F.when(twin, F.concat(F.lit("."), F.col("row").cast("string"))).otherwise(""), F.lit(">")).alias("record_id"),
+        "record_id",
         F.coalesce("url", F.lit("urn:none")).alias("target_uri"),
         F.lit(date).alias("date"),
         F.concat(F.lit("sha1:"), base32_sha1(F.col("body"))).alias("payload_digest"),
-        F.when(again, F.concat(F.lit("<urn:page:"), F.coalesce(F.col("first_page").cast("string"), F.lit("none")), F.lit(">"))).alias("refers_to"),
+        F.when(again, F.col("first_record")).alias("refers_to"),
         F.col("bytes").alias("payload_bytes"),
         F.when(~again, F.col("body")).alias("payload"),
     )

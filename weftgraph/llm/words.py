@@ -1,12 +1,14 @@
 """Texts of a batch as flat numpy arrays: words, their hashes, and hashes of word windows.
 
 A word is a run of bytes other than space and the controls 9 to 13, in UTF-8 that is the same as
-``[^\\x20\\x09-\\x0D]+`` over code points. All hashes are polynomials modulo 2**64 with odd bases,
-taken from running sums, so a window of any length costs two look-ups.
+``[^\\x20\\x09-\\x0D]+`` over code points. Hashes are polynomials modulo 2**64 with odd bases,
+taken from running sums, so a window of any length costs two look-ups. Long spans of bytes are digested
+instead: there are texts of 1,024 bytes that no such polynomial tells apart.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,6 +76,19 @@ def spans(sums: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) ->
     return mix(h)
 
 
+#: Bytes from which a span is digested; the polynomial fails from 1,024 on.
+LONG_SPAN = 256
+
+
+def byte_spans(data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes; ``sums`` are the running sums of ``BYTE_WEIGHT[data]``."""
+    hashes = spans(sums, BYTE_BASE, starts, ends)
+    for i in np.flatnonzero(ends - starts >= LONG_SPAN):
+        found = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8)
+        hashes[i] = int.from_bytes(found.digest(), "little")
+    return hashes
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary column; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -138,7 +153,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word."""
-        return spans(self.byte_sums, BYTE_BASE, self.starts, self.ends)
+        return byte_spans(self.data, self.byte_sums, self.starts, self.ends)
 
     def windows(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First word and hash of every window of ``size`` words that lies in one text."""
