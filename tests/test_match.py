@@ -215,3 +215,61 @@ def test_hub_with_most_edges_on_both_join_plans(spark, monkeypatch, bound):
     assert walked.count() == leaves + 1
     found = match.paths(edges, starts(spark, 0), 1, 2)
     assert dict(rows(found.groupBy("hops").count())) == {1: leaves, 2: 1}
+
+
+def test_many_starts_share_words_of_bits(spark):
+    """More starts than a word has bits, in a chain with a cycle: every start by itself gives the same rows."""
+    n = 150
+    links = [(i, i + 1) for i in range(n)] + [(n, 0), (5, 90), (90, 5), (7, 7)]
+    edges = spark.createDataFrame(links, "src long, dst long")
+    nodes, walked = match.traverse(edges, starts(spark, *range(n), 0, 999), "outbound", 4)
+    step = {}
+    for a, b in links:
+        step.setdefault(a, set()).add(b)
+    want, seen_edges = set(), set()
+    for start in [*range(n), 999]:
+        depth, now = {start: 0}, [start]
+        for d in range(1, 5):
+            seen_edges |= {(start, a, b) for a in now for b in step.get(a, ())}
+            now = sorted({b for a in now for b in step.get(a, ())} - set(depth))
+            depth |= {b: d for b in now}
+        want |= {(start, i, d) for i, d in depth.items() if d}
+    assert set(rows(nodes)) == want and len(rows(nodes)) == len(want)
+    assert set(rows(walked)) == seen_edges and walked.count() == len(seen_edges)
+
+
+@pytest.mark.parametrize("direction", ["outbound", "inbound", "both"])
+def test_stored_edges_are_not_moved(spark, graph, tmp_path, monkeypatch, direction):
+    edges = spark.range(0, 3000).selectExpr("id % 50 AS src", "(id * 7) % 60 AS dst")
+    stored = match.StoredEdges(edges, str(tmp_path / "edges"), 4)
+    begin = starts(spark, *range(20))
+    want = match.traverse(edges, begin, direction, 3)
+    got = match.traverse(stored, begin, direction, 3)
+    assert rows(got[0]) == rows(want[0]) and rows(got[1].distinct()) == rows(want[1].distinct())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frontier = spark.createDataFrame([(1, 0, 1)], "id long, word long, fresh long")
+        for step in stored.steps(direction):
+            plan = match._walk(frontier, [step])._jdf.queryExecution().executedPlan().toString()
+            scan = next(i for i, line in enumerate(plan.splitlines()) if "weftgraph_edges" in line)
+            above = [line for line in plan.splitlines()[:scan] if line.strip(" :+-*()0123456789").startswith("Exchange")]
+            assert len(above) <= 1 and "SortMergeJoin" in plan  # the frontier's own exchange
+            assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_full_nodes(spark, graph):
+    reached, _ = match.traverse(graph.edges("ROAD"), starts(spark, 1), "outbound", 2)
+    assert rows(match.with_nodes(reached, graph.nodes("Town")).select("start", "depth", "name")) == [(1, 1, "town2"), (1, 2, "town3")]
+
+
+def test_counts_of_pairs_equal_the_pairs(spark):
+    edges = spark.createDataFrame(
+        [(1, 1, 5), (2, 1, 5), (3, 2, 5), (4, 5, 5), (5, 5, 6), (6, 6, 7), (7, 8, 9)], "edge_id long, src long, dst long"
+    )
+    for same in (True, False):
+        pairs = match.two_hops(edges, edges, same_type=same).groupBy("b").count()
+        assert rows(match.pair_counts(edges, edges, same_type=same)) == rows(pairs)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.catalog.registry import nid, query, with_ctes
+from weftgraph.catalog.stored import written
 from weftgraph.operators import aggregate, filters, lookup, match, scan
 from weftgraph.sources.tables import node_id, read_table, table_graph
 
@@ -337,9 +338,8 @@ def j2_parallel(spark, folder):
     """``(o1)-[:CONTAINS]->(p)<-[:CONTAINS]-(o2)``: two lines of an order are two edges, none is used twice."""
     edges = table_graph(spark, folder).edges("CONTAINS")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_id")
-    hops = match.two_hops(edges, back, same_type=True)
     key = F.col("b") - node_id("Part", F.lit(0))
-    return aggregate.count_by(hops, ["b"], "pairs").select(key.alias("part"), "pairs")
+    return match.pair_counts(edges, back, same_type=True, name="pairs").select(key.alias("part"), "pairs")
 
 
 @query(
@@ -423,6 +423,68 @@ def j5(spark, folder):
     return match.traverse(edges, promo_parts(spark, folder), "outbound", 4)[0]
 
 
+@query(
+    "j5_traverse_full_nodes",
+    with_ctes(
+        "part_n bought_with",
+        """SELECT start, depth, p.id, name, brand, p.type, size, retailprice FROM
+        (SELECT start, id, min(depth) AS depth FROM w WHERE id <> start GROUP BY start, id) r JOIN part_n p ON p.id = r.id""",
+        {
+            "seed": "SELECT id FROM part_n WHERE type = 'PROMO'",
+            "w": REACH_SQL.format(starts="seed", edges="bought_with", depth=2),
+        },
+    ),
+)
+def j5_full(spark, folder):
+    """Reached nodes with all their properties."""
+    graph = table_graph(spark, folder)
+    reached, _ = match.traverse(graph.edges("BOUGHT_WITH"), promo_parts(spark, folder), "outbound", 2)
+    return match.with_nodes(reached, graph.nodes("Part"))
+
+
+def stored_edges(spark, folder) -> match.StoredEdges:
+    """The derived part to part edges by either end, stored for the session."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = read_table(spark, folder, "lineitem")
+    return written("bought-with", lines, lambda path: match.StoredEdges(table_graph(spark, folder).edges("BOUGHT_WITH"), path, buckets))
+
+
+@query(
+    "j5_traverse_stored",
+    with_ctes(
+        "part_n bought_with",
+        "SELECT start, id, min(depth) AS depth FROM w WHERE id <> start GROUP BY start, id",
+        {
+            "two_way": "SELECT src, dst FROM bought_with UNION ALL SELECT dst, src FROM bought_with",
+            "seed": "SELECT id FROM part_n WHERE type = 'PROMO'",
+            "w": REACH_SQL.format(starts="seed", edges="two_way", depth=2),
+        },
+    ),
+)
+def j5_stored(spark, folder):
+    """Both directions over edges that are kept by either end and never moved again."""
+    return match.traverse(stored_edges(spark, folder), promo_parts(spark, folder), "both", 2)[0]
+
+
+@query(
+    "j4_reachable_in_scope",
+    with_ctes(
+        "part_n bought_with",
+        "SELECT DISTINCT start, id FROM w WHERE id <> start",
+        {
+            "seed": "SELECT id FROM part_n WHERE type = 'PROMO'",
+            "inner_edges": "SELECT b.src, b.dst FROM bought_with b JOIN seed x ON x.id = b.src JOIN seed y ON y.id = b.dst",
+            "w": REACH_SQL.format(starts="seed", edges="inner_edges", depth=3),
+        },
+    ),
+)
+def j4_scope(spark, folder):
+    """Within one tag: starts, ends and all nodes between carry it. The depth asked is clamped to 1..3."""
+    graph = table_graph(spark, folder)
+    inside = promo_parts(spark, folder)
+    return match.reachable(graph.links("BOUGHT_WITH"), inside, depth=9, least=1, most=3, scope=inside)
+
+
 BOTH = {
     "two_way": "SELECT src, dst FROM bought_with UNION ALL SELECT dst, src FROM bought_with",
     "one_way_back": "SELECT dst AS src, src AS dst FROM bought_with",

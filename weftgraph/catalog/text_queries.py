@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.catalog.registry import nid, query
+from weftgraph.catalog.stored import written
 from weftgraph.functions.text import tokens
 from weftgraph.operators import text
-from weftgraph.plans.materialize import ensure_checkpoint_dir
 from weftgraph.plans.sizing import spread
 from weftgraph.sources.tables import read_table, table_graph
 
@@ -70,23 +68,13 @@ def documents(spark, folder) -> DataFrame:
     return table_graph(spark, folder).nodes("Document")
 
 
-#: Indexes written by this process, by session, name and the state of the files they were made from.
-WRITTEN: dict[tuple, text.TextIndex] = {}
-
-
-def files_state(df: DataFrame) -> tuple:
-    """Number and a digest of the files of a scan, with their sizes and times; no column of the table is read."""
-    files = df.select(*[F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size", "file_modification_time")]).distinct()
-    return tuple(files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first())
+def stored_index(spark, folder: str, name: str, properties, **how) -> text.TextIndex:
+    """The index ``name`` over the documents, stored for the session."""
 
+    def make(path: str) -> text.TextIndex:
+        return text.build_text_index(spread(documents(spark, folder), "id"), properties, **how).write(path)
 
-def stored_index(spark, folder: str, name: str, properties, **how) -> text.TextIndex:
-    """The index ``name`` over the documents, written to the shared folder once per session and state of the table."""
-    key = (spark.sparkContext.applicationId, folder, name, files_state(read_table(spark, folder, "documents")))
-    if key not in WRITTEN:
-        built = text.build_text_index(spread(documents(spark, folder), "id"), properties, **how)
-        WRITTEN[key] = built.write(f"{ensure_checkpoint_dir(spark)}/text-{name}-{uuid.uuid4().hex}")
-    return WRITTEN[key]
+    return written(f"text-{name}", read_table(spark, folder, "documents"), make)
 
 
 def document_index(spark, folder) -> text.TextIndex:

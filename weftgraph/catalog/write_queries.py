@@ -402,6 +402,67 @@ def d3(spark, folder):
     return delete.purge(graph.nodes("Part"), graph.links("BOUGHT_WITH"), {"type": "PROMO", "brand": "Brand#5"})[1]
 
 
+ALL_GONE = "SELECT id FROM part_n WHERE name LIKE 'small %' UNION ALL SELECT id FROM customer_n WHERE segment = 'FURNITURE'"
+
+
+def condemned(spark, folder) -> tuple:
+    """Parts and customers in one node table with an adapter id, all edges of the graph, and the ids to delete."""
+    graph = table_graph(spark, folder)
+    parts = graph.nodes("Part").select("id", "name", F.col("name").startswith("small ").alias("gone"))
+    customers = graph.nodes("Customer").select("id", "name", (F.col("segment") == "FURNITURE").alias("gone"))
+    nodes = parts.unionByName(customers).withColumn("key", F.concat(F.lit("n"), F.col("id").cast("string")))
+    return nodes.select("id", "key", "name"), graph.links(), nodes.filter("gone").select("key")
+
+
+@query(
+    "d1_delete_by_id_all_types",
+    with_ctes("part_n customer_n all_links", f"SELECT src, type, dst FROM all_links WHERE src NOT IN ({ALL_GONE}) AND dst NOT IN ({ALL_GONE})"),
+)
+def d1_by_id(spark, folder):
+    """Nodes of two labels deleted by adapter id, with every edge of any type at one of them."""
+    nodes, links, keys = condemned(spark, folder)
+    return delete.delete(nodes, links, ids=keys)[1]
+
+
+@query(
+    "d1_delete_nodes_by_id",
+    with_ctes(
+        "part_n customer_n",
+        f"""SELECT id, 'n' || id AS key, name FROM (SELECT id, name FROM part_n UNION ALL SELECT id, name FROM customer_n)
+        WHERE id NOT IN ({ALL_GONE})""",
+    ),
+)
+def d1_nodes_by_id(spark, folder):
+    nodes, links, keys = condemned(spark, folder)
+    return delete.delete(nodes, links, ids=keys)[0]
+
+
+@query(
+    "d2_blocked_all_types",
+    with_ctes(
+        "part_n customer_n all_links",
+        f"""SELECT id, count(*) AS edges FROM (SELECT src AS id FROM all_links UNION ALL SELECT dst FROM all_links)
+        WHERE id IN ({ALL_GONE}) GROUP BY id""",
+    ),
+)
+def d2_all(spark, folder):
+    nodes, links, keys = condemned(spark, folder)
+    return delete.blocked_deletes(links, nodes.join(keys, "key", "left_semi"))
+
+
+@query(
+    "d3_purge_all_types",
+    with_ctes(
+        "customer_n all_links",
+        """SELECT src, type, dst FROM all_links WHERE src NOT IN (SELECT id FROM customer_n WHERE segment = 'BUILDING')
+        AND dst NOT IN (SELECT id FROM customer_n WHERE segment = 'BUILDING')""",
+    ),
+)
+def d3_all(spark, folder):
+    graph = table_graph(spark, folder)
+    return delete.purge(graph.nodes("Customer"), graph.links(), {"segment": "BUILDING"})[1]
+
+
 def documents_with_body(spark, folder) -> DataFrame:
     """Documents whose text and size sit in one nested property; empty ones have none."""
     docs = table_graph(spark, folder).nodes("Document")

@@ -66,19 +66,31 @@ def best_rows(query: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int):
     return query[keep], ids[keep], dist[keep]
 
 
+#: Found rows that wait for the next merge with the best ones.
+WAITING = 200_000
+
+
 class Nearest:
     """Running k best rows per query over any number of row blocks."""
 
     def __init__(self, queries: np.ndarray, k: int, metric: str):
         self.queries, self.k, self.metric = queries, k, metric
-        self.found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        self.parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        self.waiting = 0
+
+    @property
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query position, id and distance of the best rows so far."""
+        if len(self.parts) > 1:
+            self.parts = [best_rows(*[np.concatenate(columns) for columns in zip(*self.parts)], self.k)]
+            self.waiting = 0
+        return self.parts[0]
 
     def add(self, ids: np.ndarray, rows: np.ndarray, wanted: np.ndarray | None = None) -> None:
         """Offer a block of rows to all queries, or to the query positions in ``wanted``."""
         wanted = np.arange(len(self.queries)) if wanted is None else wanted
         if len(ids) == 0:
             return
-        parts = [self.found]
         for begin in range(0, len(wanted), QUERY_BLOCK):
             block = wanted[begin : begin + QUERY_BLOCK]
             rough = _block(rows, self.queries[block], self.metric)
@@ -88,9 +100,10 @@ class Nearest:
             scale = 1.0 + np.abs(np.where(np.isfinite(rough), rough, 0)).max(axis=0)
             row, col = np.nonzero((rough <= bound + 1e-9 * scale) & np.isfinite(rough))
             exact = pair_distances(rows[row], self.queries[block[col]], self.metric)
-            parts.append((block[col], ids[row], np.round(exact, TIE_DECIMALS)))
-        merged = [np.concatenate(columns) for columns in zip(*parts)]
-        self.found = best_rows(*merged, self.k)
+            self.parts.append((block[col], ids[row], np.round(exact, TIE_DECIMALS)))
+            self.waiting += len(row)
+            if self.waiting > WAITING:
+                _ = self.found
 
     def result(self, query_ids: np.ndarray) -> pa.RecordBatch:
         query, ids, dist = self.found

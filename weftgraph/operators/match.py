@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.operators.filters import stable_label, where_in
-from weftgraph.plans.materialize import materialize
-from weftgraph.plans.ordering import check_limit, top_k_per_group
+from weftgraph.plans.materialize import materialize, write_table
+from weftgraph.plans.ordering import check_limit, top_k_per_group, with_dense_ids
 from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small
 
 DIRECTIONS = ("outbound", "inbound", "both")
@@ -49,6 +50,26 @@ def two_hops(first: DataFrame, second: DataFrame, same_type: bool = False) -> Da
     return joined.select("a", "b", "c")
 
 
+def pair_counts(first: DataFrame, second: DataFrame, same_type: bool = False, name: str = "matches") -> DataFrame:
+    """How many matches ``two_hops`` has through each middle node ``b``, from the number of edges on either side of it.
+
+    A node with n edges on both sides is two counts and not n times n rows. With ``same_type`` an edge that is on both sides
+    of a node is taken off once, as it does not follow itself. Nodes without a match are left out.
+    """
+    ends = [first.select(F.col("dst").alias("b"), edge_key(first).alias("__e")), second.select(F.col("src").alias("b"), edge_key(second).alias("__e"))]
+    into, out_of = [e.groupBy("b").agg(F.count("*").alias(n)) for e, n in zip(ends, ("__in", "__out"))]
+    rows = into.join(out_of, "b")
+    pairs = F.col("__in") * F.col("__out")
+    if same_type:
+        # Grouped before they are joined, so a hot node's edges are never on both sides of a join.
+        twice = ends[0].groupBy("b", "__e").agg(F.count("*").alias("__n")).join(
+            ends[1].groupBy("b", "__e").agg(F.count("*").alias("__m")), ["b", "__e"]
+        )
+        rows = rows.join(twice.groupBy("b").agg(F.sum(F.col("__n") * F.col("__m")).alias("__same")), "b", "left")
+        pairs = pairs - F.coalesce("__same", F.lit(0))
+    return rows.select("b", pairs.alias(name)).filter(F.col(name) > 0)
+
+
 def paths(edges: DataFrame, starts: DataFrame, min_hops: int = 1, max_hops: int = 3) -> DataFrame:
     """Variable-length match: one row per path ``(start, end, hops, path)`` without a repeated edge.
 
@@ -109,8 +130,97 @@ def check_direction(direction: str) -> str:
     return name
 
 
+#: Starts that share one row of the frontier, a bit each.
+WORD_BITS = 64
+
+class StoredEdges:
+    """Edges kept twice, bucketed and sorted by either end, so that a join on an end moves the other side only.
+
+    Both tables lie under ``path`` and are known to the session under names of their own.
+    """
+
+    def __init__(self, edges: DataFrame, path: str, buckets: int):
+        self.names: dict[str, str] = {}
+        self.spark, self.buckets = edges.sparkSession, check_limit(buckets, "buckets")
+        for end in ("src", "dst"):
+            name = f"weftgraph_edges_{end}_{uuid.uuid4().hex}"
+            rows = edges.select("src", "dst").repartition(buckets, end)
+            rows.write.option("path", f"{path}/by_{end}").bucketBy(buckets, end).sortBy(end).saveAsTable(name)
+            self.names[end] = name
+
+    def steps(self, direction: str) -> list[DataFrame]:
+        """Tables ``from_id, to_id, src, dst``, each bucketed on ``from_id``; one for each way an edge is walked."""
+        ways = {"outbound": [("src", "dst")], "inbound": [("dst", "src")], "both": [("src", "dst"), ("dst", "src")]}[direction]
+        return [
+            self.spark.table(self.names[a]).select(F.col(a).alias("from_id"), F.col(b).alias("to_id"), "src", "dst") for a, b in ways
+        ]
+
+
+def _steps(edges: DataFrame | StoredEdges, direction: str, often: bool) -> list[DataFrame]:
+    """Steps in the direction asked; derived edges that are read ``often`` are written as a table first."""
+    if isinstance(edges, StoredEdges):
+        return edges.steps(direction)
+    edges = edges.select("src", "dst")
+    return [_directed(write_table(edges, "edges") if often else edges, direction)]
+
+
+def _walk(frontier: DataFrame, steps: Sequence[DataFrame]) -> DataFrame:
+    """Frontier rows with ``to_id, src, dst`` of every step that leaves their ``id``."""
+    rows = [frontier.join(s.withColumnRenamed("from_id", "id"), "id") for s in steps]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _numbered_starts(starts: DataFrame) -> DataFrame:
+    """``start, word, bit`` of each distinct start: its place in words of ``WORD_BITS`` bits."""
+    distinct = starts.select(F.col("id").cast("long").alias("start")).filter("start IS NOT NULL").distinct()
+    placed = with_dense_ids(distinct, ["start"], "place")
+    return write_table(
+        placed.select("start", F.shiftright("place", 6).alias("word"), F.col("place").bitwiseAND(F.lit(WORD_BITS - 1)).cast("int").alias("bit")),
+        "starts",
+    )
+
+
+def _bits_reached(
+    steps: Sequence[DataFrame], numbered: DataFrame, max_depth: int
+) -> list[DataFrame]:
+    """Per depth, from 0, a table ``id, word, fresh``: the starts that first reach ``id`` at this depth, as bits.
+
+    One row stands for up to ``WORD_BITS`` starts. A round or-s the bits that come over the edges with those seen before in
+    one aggregate, map-side first, and writes node, fresh and seen bits as one table, which is all the next round reads.
+    """
+    own = numbered.groupBy(F.col("start").alias("id"), "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("fresh"))
+    seen = write_table(own.withColumn("seen", F.col("fresh")), "round")
+    levels = [seen.filter("fresh <> 0").select("id", "word", "fresh")]
+    for depth in range(1, max_depth + 1):
+        frontier = levels[-1]
+        # A small frontier is sent to the edges; only a large one shuffles them.
+        frontier = F.broadcast(frontier) if frontier.count() <= BROADCAST_ROWS else frontier
+        none = F.lit(0).cast("long")
+        came = _walk(frontier, steps).select(F.col("to_id").alias("id"), "word", F.col("fresh").alias("new"), none.alias("old"))
+        rows = came.unionByName(seen.select("id", "word", none.alias("new"), F.col("seen").alias("old")))
+        rows = rows.groupBy("id", "word").agg(F.bit_or("new").alias("new"), F.bit_or("old").alias("old"))
+        rows = rows.select(
+            "id", "word", F.col("new").bitwiseAND(F.bitwise_not("old")).alias("fresh"), F.col("new").bitwiseOR(F.col("old")).alias("seen")
+        )
+        seen = write_table(rows, "round")
+        fresh = seen.filter("fresh <> 0").select("id", "word", "fresh")
+        if fresh.isEmpty():
+            break
+        levels.append(fresh)
+    return levels
+
+
+def _spell_out(rows: DataFrame, numbered: DataFrame, bits: str) -> DataFrame:
+    """One row per start whose bit is set in ``bits``, with its ``start`` in place of word and bits."""
+    places = F.sequence(F.lit(0), F.lit(WORD_BITS - 1))
+    # A bit that is not asked for by any start is never set, so every row finds its start.
+    set_bits = F.filter(places, lambda i: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col(bits), i)) == 1)
+    each = rows.withColumn("bit", F.explode(set_bits))
+    return each.join(broadcast_if_small(numbered), ["word", "bit"]).drop("word", "bit", bits)
+
+
 def reached_nodes(
-    edges: DataFrame, starts: DataFrame, direction: str = "outbound", max_depth: int = 1
+    edges: DataFrame | StoredEdges, starts: DataFrame, direction: str = "outbound", max_depth: int = 1
 ) -> DataFrame:
     """``(start, id, depth)`` of every node within ``max_depth`` hops; ``depth`` is the least one.
 
@@ -120,52 +230,42 @@ def reached_nodes(
     """
     direction = check_direction(direction)
     check_limit(max_depth, "max_depth")
-    steps = _directed(edges, direction).select(F.col("from_id").alias("id"), F.col("to_id").alias("__next"))
-    visited = frontier = starts.select(F.col("id").alias("start"), F.col("id")).distinct()
-    if max_depth > 1:
-        steps = materialize(steps)  # derived edges are made once, not once per round
-        visited = frontier = materialize(frontier)
-        frontier = broadcast_if_small(frontier)
-    levels: list[DataFrame] = []
-    for depth in range(1, max_depth + 1):
-        found = (
-            frontier.join(steps, "id")
-            .select("start", F.col("__next").alias("id"))
-            .distinct()
-            .join(visited, ["start", "id"], "left_anti")
-        )
-        if depth < max_depth:
-            found = materialize(found)
-            known = found.count()
-            if known == 0:
-                break
-            visited = visited.unionByName(found)
-            # A small frontier is sent to the edges; only a large one shuffles them.
-            frontier = F.broadcast(found) if known <= BROADCAST_ROWS else found
-        levels.append(found.withColumn("depth", F.lit(depth)))
-    if not levels:
-        return frontier.filter(F.lit(False)).withColumn("depth", F.lit(0))
-    return reduce(DataFrame.unionByName, levels)
+    numbered = _numbered_starts(starts)
+    levels = _bits_reached(_steps(edges, direction, max_depth > 1), numbered, max_depth)
+    found = [level.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if depth]
+    if not found:
+        found = [levels[0].filter(F.lit(False)).withColumn("depth", F.lit(0))]
+    return _spell_out(reduce(DataFrame.unionByName, found), numbered, "fresh").select("start", "id", "depth")
 
 
 def traverse(
-    edges: DataFrame, starts: DataFrame, direction: str = "outbound", max_depth: int = 1
+    edges: DataFrame | StoredEdges, starts: DataFrame, direction: str = "outbound", max_depth: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """k-hop traversal: reached nodes ``(start, id, depth)`` and traversed edges ``(start, src, dst)``.
 
     The edges are all those leaving, in the direction asked, a node of depth below ``max_depth``.
     """
     direction = check_direction(direction)
-    nodes = reached_nodes(edges, starts, direction, max_depth)
-    own = starts.select(F.col("id").alias("start"), F.col("id")).distinct()
-    inner = own
-    if max_depth > 1:
-        nodes = materialize(nodes)
-        inner = own.unionByName(nodes.filter(F.col("depth") < max_depth).select("start", "id"))
-    steps = _directed(edges, direction).withColumnRenamed("from_id", "id")
-    walked = inner.join(steps, "id").select("start", "src", "dst")
-    # In both directions an edge between two inner nodes is met from either end.
-    return nodes, walked.distinct() if direction == "both" else walked
+    check_limit(max_depth, "max_depth")
+    numbered = _numbered_starts(starts)
+    steps = _steps(edges, direction, True)
+    levels = _bits_reached(steps, numbered, max_depth)
+    nodes = [level.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if depth]
+    nodes = reduce(DataFrame.unionByName, nodes or [levels[0].filter(F.lit(False)).withColumn("depth", F.lit(0))])
+    inner = reduce(DataFrame.unionByName, levels[:max_depth])
+    walked = _walk(inner, steps).select("src", "dst", "word", "fresh")
+    if direction == "both":
+        # An edge between two inner nodes is met from either end. Parallel edges are one.
+        walked = walked.groupBy("src", "dst", "word").agg(F.bit_or("fresh").alias("fresh"))
+    return (
+        _spell_out(nodes, numbered, "fresh").select("start", "id", "depth"),
+        _spell_out(walked, numbered, "fresh").select("start", "src", "dst"),
+    )
+
+
+def with_nodes(reached: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Reached nodes in full: ``start, depth`` and all columns of ``nodes``. An id that ``nodes`` lacks is left out."""
+    return reached.select("start", "depth", "id").join(nodes, "id")
 
 
 def in_scope(edges: DataFrame, nodes: DataFrame) -> DataFrame:

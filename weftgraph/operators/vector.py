@@ -26,16 +26,14 @@ HITS = "query_id long, id long, distance double"
 
 
 def collect_queries(queries: DataFrame, max_values: int = BROADCAST_VALUES) -> tuple[np.ndarray, np.ndarray] | None:
-    """Query ids and vectors when they fit the bound, else None. Reads one row past the bound."""
+    """Query ids and vectors when all their numbers fit the bound, else None. They are counted in the tasks first."""
     first = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding")
-    head = first.limit(1).toArrow()
-    if head.num_rows == 0:
+    size = first.agg(F.coalesce(F.sum(F.size("embedding")), F.lit(0))).first()[0]
+    if size == 0:
         return np.empty(0, np.int64), np.empty((0, 0))
-    most = max_values // max(1, len(head["embedding"][0]))
-    rows = first.limit(most + 1).toArrow()
-    if rows.num_rows > most:
+    if size > max_values:
         return None
-    rows = rows.sort_by("query_id")
+    rows = first.toArrow().sort_by("query_id")
     return np.asarray(rows["query_id"].combine_chunks(), dtype=np.int64), to_matrix(rows["embedding"])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
+        if current.startswith("file:") and not context.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None):
+            raise RuntimeError(f"{current} is local to a machine; set spark.checkpoint.dir to a folder shared by all executors")
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -26,6 +29,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the checkpoint folder and read back: columns are pruned and sizes are known."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/weftgraph/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, keep it on reliable storage and forget how it was made.
 

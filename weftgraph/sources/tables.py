@@ -31,8 +31,8 @@ KINDS = {
     "Body": 11,
 }
 
-#: Room for the lines of one order in an edge id.
-LINE_BASE = 2**10
+#: Room for the lines of one order in an edge id; order keys may go up to 2**43.
+LINE_BASE = 2**20
 
 
 def node_id(label: str, key: Column | str) -> Column:
