@@ -116,4 +116,6 @@ def count_tokens(
         texts = docs.select(F.col(row).alias("row"), text.alias("text")).join(wanted, "row").select("digest", "text")
         counted = texts.mapInArrow(_encode(vocabulary), "digest binary, n_tokens long")
         counted.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(cache)
-    return seen.join(stored_counts(spark, cache, version), "digest").select("row", "doc_id", "n_bytes", "n_tokens")
+    # One row per distinct text, so a text that many rows hold is one key of a plain join, which can be split.
+    known = store(first.select("digest").join(stored_counts(spark, cache, version), "digest"), "known-counts")
+    return seen.join(known, "digest").select("row", "doc_id", "n_bytes", "n_tokens")
