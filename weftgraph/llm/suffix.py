@@ -1,11 +1,16 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages from sparse suffixes at minimisers.
 
 Of all suffixes of all texts only those that begin at a minimiser are kept: the word positions whose
 ten-word fingerprint is the least of some window of 41 positions. Which they are depends on the words
 alone, and every passage of ``LEAST_WORDS`` words holds one, so equal passages keep suffixes at
-equal places. The kept suffixes are sorted by their first words and compared with their neighbours.
-Those that match one are extended to the left and right: the passages of ``LEAST_WORDS`` words around
-them are sorted and compared in turn, and the ones found twice are joined into the longest stretches.
+equal places. The kept suffixes are sorted by the fingerprint of their first words and compared with their
+neighbours, which leaves those that some other suffix shares these words with.
+
+What lies to their left and right is then compared for all partners at once, not for neighbours alone: the passages of
+``LEAST_WORDS`` words around matched suffixes are sorted by fingerprint and compared in turn, and the ones found twice are
+joined into the longest stretches. Extending neighbours of the one sorted order would lose passages: of three suffixes
+A < B < C, A and C may share 20 words to the left and 30 to the right while B, between them, shares 35
+to the right and none to the left; then neither pair of neighbours reaches 50 words, and A with C does.
 
 A passage that millions of texts share is many equal rows in sorted slices, never one group.
 """
