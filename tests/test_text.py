@@ -164,3 +164,43 @@ def test_many_queries_at_once(spark, index):
     both = clauses(spark, ("should", "term", "neural")).unionByName(clauses(spark, ("must", "term", "graph"), query_id=1))
     rows = [(r.query_id, r.id) for r in text.text_search(index, both).orderBy("query_id").collect()]
     assert rows == [(0, 1), (1, 3)]
+
+
+def test_added_and_removed_documents_equal_a_rebuild(spark, nodes, tmp_path):
+    def found(index):
+        asked = clauses(
+            spark, ("should", "term", "learning"), ("should", "phrase", "machine learning"), ("should", "fuzzy", "grap"), ("should", "prefix", "neur")
+        )
+        hits = [tuple(r) for r in text.text_search(index, asked).orderBy("rank").collect()]
+        words = sorted(r.term for r in index.vocabulary().collect())
+        return hits, words, tuple(index.documents_indexed().first()), index.postings().count()
+
+    first = text.build_text_index(nodes.filter("id <= 3"), "text").write(str(tmp_path / "index"))
+    was = found(first)
+    grown = first.add(text.build_text_index(nodes.filter("id > 3"), "text"))
+    assert found(grown) == found(text.build_text_index(nodes, "text"))
+    less = grown.remove(spark.createDataFrame([(2,), (4,), (4,), (99,)], "id long"))
+    assert found(less) == found(text.build_text_index(nodes.filter("id NOT IN (2, 4)"), "text"))
+    # A document that comes again, changed, counts once; removing it twice takes it off once.
+    changed = nodes.withColumn("text", F.when(F.col("id") == 4, "neural graph learning").when(F.col("id") == 1, "nothing else").otherwise(F.col("text")))
+    again = less.replace(text.build_text_index(changed.filter("id IN (1, 4)"), "text"))
+    assert found(again) == found(text.build_text_index(changed.filter("id <> 2"), "text"))
+    assert found(again.remove(spark.createDataFrame([(2,)], "id long"))) == found(again)
+    assert found(first) == was  # earlier versions answer as before
+
+
+def test_keys_are_stored(spark, nodes, tmp_path):
+    """Prefix and fuzzy terms are looked up in a table; the vocabulary is not taken apart again."""
+    stored = text.build_text_index(nodes, "text").write(str(tmp_path / "index"))
+    for kind in ("prefix", "fuzzy"):
+        plan = text.expand(clauses(spark, ("should", kind, "graph")), stored, [kind])._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line)
+        assert "/keys" in scan and "part" in scan.split("PartitionFilters: [")[1].split("]")[0] and "Generate" not in plan
+
+
+def test_many_terms_are_named_by_their_range(spark, nodes, tmp_path, monkeypatch):
+    stored = text.build_text_index(nodes, "text").write(str(tmp_path / "index"))
+    asked = clauses(spark, *[("should", "term", w) for w in ("machine", "graph", "databases", "learning", "absent")])
+    want = [tuple(r) for r in text.text_search(stored, asked).orderBy("rank").collect()]
+    monkeypatch.setattr(text, "NAMED_TERMS", 2)
+    assert [tuple(r) for r in text.text_search(stored, asked).orderBy("rank").collect()] == want != []

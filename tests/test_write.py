@@ -266,6 +266,25 @@ def test_fact_stream_over_several_batches(spark, tmp_path):
     assert spark.read.parquet(f"{store}/rejects").count() == 3
 
 
+def test_fact_stream_goes_on_from_its_state(spark, tmp_path):
+    """A second start with more input adds only what is new, and no batch reads what was stored."""
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    first = [("s", "Ann", "knows", "Bob"), ("s", "Ann", "knows", None), (None, "x", "is", "y")]
+    spark.createDataFrame(first, facts.FACT_SCHEMA).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(facts.FACT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    facts.ingest_facts(stream, store, str(tmp_path / "progress")).awaitTermination()
+    earlier = {r[0] for r in spark.read.parquet(f"{store}/rows").selectExpr("input_file_name()").collect()}
+    spark.createDataFrame([*first, ("s", "Bob", "knows", "Ann"), ("t", "Ann", "knows", "Bob")], facts.FACT_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    query = facts.ingest_facts(stream, store, str(tmp_path / "progress"))
+    query.awaitTermination()
+    found = facts.read_facts(spark, store).collect()
+    assert len(found) == len(set(found)) == 5
+    assert facts.read_fact_nodes(spark, store).count() == 7  # s: Ann, Bob, null; null: x, y; t: Ann, Bob
+    plan = query._jsq.explainInternal(False)
+    assert "StreamingDeduplicate" in plan and f"{store}/rows" not in plan
+    assert earlier <= {r[0] for r in spark.read.parquet(f"{store}/rows").selectExpr("input_file_name()").collect()}
+
+
 def test_registry_flags_modes_and_declared_properties(spark):
     registry = schema.register(spark, "A", [{"name": "x", "required": True}, {"name": "y", "unique": True}], "validated", 3)
     registry = registry.unionByName(schema.register(spark, "B", mode="flexible"))

@@ -123,6 +123,29 @@ def t1_size(spark, folder):
     return document_index(spark, folder).documents_indexed()
 
 
+#: The collection without the documents in German.
+WITHOUT_GERMAN = CORPUS.replace("FROM documents)", "FROM documents WHERE lang IS NULL OR lang <> 'de')")
+
+
+def grown_index(spark, folder) -> text.TextIndex:
+    """Two thirds of the documents, then the others as a segment of their own, then German ones removed."""
+
+    def make(path: str) -> text.TextIndex:
+        nodes = documents(spark, folder)
+        first = text.build_text_index(spread(nodes.filter("id % 3 <> 0"), "id"), "text").write(path)
+        grown = first.add(text.build_text_index(spread(nodes.filter("id % 3 = 0"), "id"), "text"))
+        return grown.remove(nodes.filter("lang = 'de'"))
+
+    return written("text-grown", read_table(spark, folder, "documents"), make)
+
+
+@query("t1_index_grown", bm25_sql(should_sql("true"), 10).replace(CORPUS, WITHOUT_GERMAN))
+def t1_grown(spark, folder):
+    """After additions and removals the scores are those of an index built at once."""
+    clauses = text.term_clauses(item_terms(spark, folder))
+    return rounded(text.text_search(grown_index(spark, folder), clauses, 10, ["term"]))
+
+
 @query("t2_bm25_search", bm25_sql(should_sql("true"), 10))
 def t2(spark, folder):
     """Each item as a whole is an any-term query."""

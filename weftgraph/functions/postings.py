@@ -22,13 +22,16 @@ POSTING = "id long, dl long, term string, tf long"
 
 def distinct_terms(batches, columns: list[str]):
     """The terms of all batches of a task, each once."""
-    found = pa.array([], pa.string())
+    found, waiting, size = pa.array([], pa.string()), [], 0
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
             part = batch.slice(start, SLICE)
             lists = [part.column(name).flatten().cast(pa.string()) for name in columns]
-            found = pa.concat_arrays([found, pa.concat_arrays(lists).unique()]).unique()
-    yield pa.RecordBatch.from_arrays([found], names=["term"])
+            waiting.append(pa.concat_arrays(lists).unique())
+            size += len(waiting[-1])
+            if size > max(len(found), 100_000):  # merged when as many wait as are known, so each term is handled a few times
+                found, waiting, size = pa.concat_arrays([found, *waiting]).unique(), [], 0
+    yield pa.RecordBatch.from_arrays([pa.concat_arrays([found, *waiting]).unique()], names=["term"])
 
 
 def form_postings(

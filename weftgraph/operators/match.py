@@ -192,9 +192,11 @@ def _bits_reached(
     seen = write_table(own.withColumn("seen", F.col("fresh")), "round")
     levels = [seen.filter("fresh <> 0").select("id", "word", "fresh")]
     for depth in range(1, max_depth + 1):
-        frontier = levels[-1]
         # A small frontier is sent to the edges; only a large one shuffles them.
-        frontier = F.broadcast(frontier) if frontier.count() <= BROADCAST_ROWS else frontier
+        known = levels[-1].count()
+        if not known:
+            break
+        frontier = F.broadcast(levels[-1]) if known <= BROADCAST_ROWS else levels[-1]
         none = F.lit(0).cast("long")
         came = _walk(frontier, steps).select(F.col("to_id").alias("id"), "word", F.col("fresh").alias("new"), none.alias("old"))
         rows = came.unionByName(seen.select("id", "word", none.alias("new"), F.col("seen").alias("old")))
@@ -203,20 +205,26 @@ def _bits_reached(
             "id", "word", F.col("new").bitwiseAND(F.bitwise_not("old")).alias("fresh"), F.col("new").bitwiseOR(F.col("old")).alias("seen")
         )
         seen = write_table(rows, "round")
-        fresh = seen.filter("fresh <> 0").select("id", "word", "fresh")
-        if fresh.isEmpty():
-            break
-        levels.append(fresh)
+        levels.append(seen.filter("fresh <> 0").select("id", "word", "fresh"))
     return levels
 
 
 def _spell_out(rows: DataFrame, numbered: DataFrame, bits: str) -> DataFrame:
     """One row per start whose bit is set in ``bits``, with its ``start`` in place of word and bits."""
-    places = F.sequence(F.lit(0), F.lit(WORD_BITS - 1))
-    # A bit that is not asked for by any start is never set, so every row finds its start.
-    set_bits = F.filter(places, lambda i: F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col(bits), i)) == 1)
-    each = rows.withColumn("bit", F.explode(set_bits))
-    return each.join(broadcast_if_small(numbered), ["word", "bit"]).drop("word", "bit", bits)
+    # At most one start per bit; starts are numbered without gaps, so a bit is a place in its word's list.
+    words = numbered.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("bit", "start"))).alias("__starts"))
+    words = words.select("word", F.col("__starts.start").alias("__starts"))
+    met = rows.join(broadcast_if_small(write_table(words, "words")), "word")
+    asking = F.filter("__starts", lambda start, bit: F.call_function("shiftright", F.col(bits), bit).bitwiseAND(F.expr("1L")) == 1)
+    return met.withColumn("start", F.explode(asking)).drop("word", "__starts", bits)
+
+
+def _by_depth(levels: list[DataFrame]) -> DataFrame:
+    """The levels behind the starts as one table with their ``depth``."""
+    found = [level.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if depth]
+    if not found:
+        return levels[0].filter(F.lit(False)).withColumn("depth", F.lit(0))
+    return reduce(DataFrame.unionByName, found)
 
 
 def reached_nodes(
@@ -232,10 +240,7 @@ def reached_nodes(
     check_limit(max_depth, "max_depth")
     numbered = _numbered_starts(starts)
     levels = _bits_reached(_steps(edges, direction, max_depth > 1), numbered, max_depth)
-    found = [level.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if depth]
-    if not found:
-        found = [levels[0].filter(F.lit(False)).withColumn("depth", F.lit(0))]
-    return _spell_out(reduce(DataFrame.unionByName, found), numbered, "fresh").select("start", "id", "depth")
+    return _spell_out(_by_depth(levels), numbered, "fresh").select("start", "id", "depth")
 
 
 def traverse(
@@ -250,8 +255,7 @@ def traverse(
     numbered = _numbered_starts(starts)
     steps = _steps(edges, direction, True)
     levels = _bits_reached(steps, numbered, max_depth)
-    nodes = [level.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if depth]
-    nodes = reduce(DataFrame.unionByName, nodes or [levels[0].filter(F.lit(False)).withColumn("depth", F.lit(0))])
+    nodes = _by_depth(levels)
     inner = reduce(DataFrame.unionByName, levels[:max_depth])
     walked = _walk(inner, steps).select("src", "dst", "word", "fresh")
     if direction == "both":

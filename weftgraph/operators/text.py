@@ -11,6 +11,7 @@ Queries are rows ``query_id, clause, role, kind, text, boost``:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -23,7 +24,7 @@ from weftgraph.functions.text import SCORE_DECIMALS, bm25, one_edit_keys, prefix
 from weftgraph.operators.filters import where_in
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
-from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small
+from weftgraph.plans.sizing import BROADCAST_ROWS, broadcast_if_small, fits
 
 # Language names and the codes found in language columns.
 LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "russian": "ru", "italian": "it"}
@@ -33,6 +34,13 @@ LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "
 PARTS = 64
 #: The part that holds one row per document instead of postings.
 DOCUMENT_PART = -1
+#: Parts of the table of prefixes and shortened forms, by a hash of the key.
+KEY_PARTS = 16
+#: Most terms named one by one in a filter on the postings.
+NAMED_TERMS = 500
+
+#: Join keys of a vocabulary term by the kind of clause that looks it up.
+KEYS = {"prefix": prefix_keys, "fuzzy": one_edit_keys}
 
 
 class Matched(NamedTuple):
@@ -47,14 +55,20 @@ class TextIndex:
     """Postings ``(id, dl, term, tf, positions)``, still to be formed from text or stored at ``path``.
 
     ``lists`` holds the tokens of every document, one array column per indexed property.
+
+    A stored index is a number of segments that add up: postings and document lengths, counts of terms and of
+    documents, and the keys of the terms. Adding documents writes a segment of their own; removing some writes a
+    segment with their ids and with negative counts. An object reads the segments it was made with, so
+    earlier ones still answer as before.
     """
 
     def __init__(self, lists: DataFrame | None = None, removed: Sequence[str] = (), path: str | None = None,
-                 spark: SparkSession | None = None):
+                 spark: SparkSession | None = None, segments: int = 0, gone: bool = False):
         self.lists = lists
         self.removed = sorted(set(removed))
         self.path = path
         self.spark = spark or lists.sparkSession
+        self.segments, self.gone = segments, gone
 
     def _columns(self) -> list[str]:
         return [c for c in self.lists.columns if c != "id"]
@@ -71,19 +85,35 @@ class TextIndex:
         return self.lists.mapInArrow(run, POSTING + (", positions array<int>" if positions else ""))
 
     def _stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        rows = self.spark.read.parquet(f"{self.path}/{name}")
+        return rows.filter(F.col("segment") < self.segments)
+
+    def _alive(self, rows: DataFrame) -> DataFrame:
+        """Stored postings without those of documents that were removed after their segment was written."""
+        if not self.gone:
+            return rows
+        gone = self._stored("gone").groupBy("id").agg(F.max("segment").alias("gone"))
+        left = rows.join(broadcast_if_small(materialize(gone)), "id", "left")
+        return left.filter(F.col("gone").isNull() | (F.col("segment") >= F.col("gone"))).drop("gone")
 
     def postings(self) -> DataFrame:
         """All postings."""
         if self.path:
-            return self._stored("postings").filter(F.col("part") != DOCUMENT_PART).drop("part")
+            rows = self._alive(self._stored("postings").filter(F.col("part") != DOCUMENT_PART))
+            return rows.select("id", "dl", "term", "tf", "positions")
         return self._formed().filter(F.col("term") != DOCUMENT_MARK)
 
+    def _counted(self, rows: DataFrame) -> DataFrame:
+        """``term, df`` over all segments, without terms that no document has any more."""
+        if self.segments == 1:
+            return rows.select("term", "df")
+        return rows.groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
+
     def matching(self, terms: DataFrame, positions: bool = False) -> Matched:
         """Postings of the given terms, with positions only if asked.
 
-        A stored index is filtered with literals: the parts the terms fall in and the range they span,
-        so other folders and row groups are not read. What is left over is dropped by the join on the
+        A stored index is filtered with literals: the parts the terms fall in, the range they span and, if they are
+        not many, the terms themselves, so other folders and row groups are not read. What is left over is dropped by the join on the
         term that follows every use. Read from text this is one pass without a shuffle: a bounded set
         of terms goes to the tasks, which form the postings of these only; it is written once because
         counts and scores both need it.
@@ -91,15 +121,21 @@ class TextIndex:
         wanted = terms.select("term").distinct()
         columns = ["id", "dl", "term", "tf", *(["positions"] if positions else [])]
         if self.path:
-            # At most one row per part reaches the driver.
-            spans = wanted.groupBy(term_part().alias("part")).agg(F.min("term").alias("low"), F.max("term").alias("high"))
-            found = spans.collect()
+            spans = wanted.groupBy(term_part().alias("part")).agg(
+                F.min("term").alias("low"), F.max("term").alias("high"), F.count("*").alias("n"),
+                # More than are named anyway need not come to the driver.
+                F.when(F.count("*") <= NAMED_TERMS, F.collect_list("term")).alias("named"),
+            )
+            found = spans.collect()  # at most one row per part
             low, high = min((r["low"] for r in found), default=""), max((r["high"] for r in found), default="")
             inside = F.col("part").isin([r["part"] for r in found]) & F.col("term").between(low, high)
-            df = self._stored("terms").filter(F.col("term").between(low, high))
-            return Matched(self._stored("postings").filter(inside).select(columns), self.documents_indexed(), df)
-        listed = wanted.limit(BROADCAST_ROWS + 1).toArrow()["term"].combine_chunks()
-        if len(listed) <= BROADCAST_ROWS:
+            if sum(r["n"] for r in found) <= NAMED_TERMS:
+                inside = inside & F.col("term").isin([t for r in found for t in r["named"]])
+            df = self._counted(self._stored("terms").filter(F.col("term").between(low, high)))
+            return Matched(self._alive(self._stored("postings").filter(inside)).select(columns), self.documents_indexed(), df)
+        wanted = materialize(wanted)
+        if fits(wanted, BROADCAST_ROWS):
+            listed = wanted.toArrow()["term"].combine_chunks()
             rows = self._formed(listed, positions)
         else:
             rows = self._formed(None, positions).join(wanted, "term", "left_semi")
@@ -112,37 +148,83 @@ class TextIndex:
     def vocabulary(self) -> DataFrame:
         """Distinct terms; every task sends each of its terms once."""
         if self.path:
-            return self._stored("terms").select("term")
+            return self._counted(self._stored("terms")).select("term")
         columns = self._columns()
         words = self.lists.mapInArrow(lambda batches: distinct_terms(batches, columns), "term string").distinct()
         return where_in(words, "term", self.removed, negate=True) if self.removed else words
 
+    def by_key(self, kind: str, asked: DataFrame) -> DataFrame:
+        """``__key, term`` of the vocabulary for the keys asked for (column ``__key``), of prefixes or of forms one edit away.
+
+        A stored index keeps them as a table; only the parts of the keys asked for are read.
+        """
+        if not self.path:
+            return self.vocabulary().withColumn("__key", F.explode(KEYS[kind](F.col("term"))))
+        parts = [r["part"] for r in asked.select(key_part(F.col("__key")).alias("part")).distinct().collect()]  # KEY_PARTS at most
+        rows = self._stored("keys").filter((F.col("kind") == kind) & F.col("part").isin(parts))
+        rows = rows.select(F.col("key").alias("__key"), "term")
+        return rows if self.segments == 1 else rows.distinct()
+
     def documents_indexed(self) -> DataFrame:
         """One row: number of documents and of tokens."""
         if self.path:
-            return self._stored("totals")
+            added = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("documents", "tokens")]
+            return self._stored("totals").agg(*added)
         sizes = [F.size(c) for c in self._columns()]
         return _totals(self.lists.select(sum(sizes[1:], sizes[0]).cast("long").alias("dl")))
 
     def write(self, path: str) -> "TextIndex":
-        """Store postings, document lengths, term counts and totals under ``path``.
+        """Store postings, document lengths, term counts, keys and totals under ``path`` as the first segment."""
+        return self._write_segment(TextIndex(path=path, spark=self.spark))
+
+    def add(self, new: "TextIndex") -> "TextIndex":
+        """This stored index with the documents of ``new``, which is formed from text the same way; their ids must be new."""
+        return new._write_segment(self)
 
-        Postings lie in one folder per part, sorted by term; ranges are cut on ``(part, term, id)``, so
+    def _write_segment(self, to: "TextIndex") -> "TextIndex":
+        """Postings lie in one folder per part, sorted by term; ranges are cut on ``(part, term, id)``, so
         a term found in every document is spread over many files. Document lengths are a folder of
         their own.
         """
+        folder = f"segment={to.segments}"
         part = F.when(F.col("term") == DOCUMENT_MARK, F.lit(DOCUMENT_PART)).otherwise(term_part())
         order = ["part", "term", "id"]
         rows = self._formed().withColumn("part", part)
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        rows.write.mode("overwrite").partitionBy("part").parquet(f"{path}/postings")
-        stored = TextIndex(path=path, spark=self.spark)
-        entries = self.spark.read.schema(f"{POSTING}, positions array<int>, part int").parquet(f"{path}/postings")
-        marks = entries.filter(F.col("part") == DOCUMENT_PART)
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{to.path}/postings/{folder}")
+        entries = self.spark.read.schema(f"{POSTING}, positions array<int>, part int").parquet(f"{to.path}/postings/{folder}")
         counted = entries.filter(F.col("part") != DOCUMENT_PART).groupBy("term").agg(F.count("*").alias("df"))
-        counted.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
-        _totals(marks).write.mode("overwrite").parquet(f"{path}/totals")
-        return stored
+        counted.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{to.path}/terms/{folder}")
+        _totals(entries.filter(F.col("part") == DOCUMENT_PART)).write.mode("overwrite").parquet(f"{to.path}/totals/{folder}")
+        words = self.spark.read.schema("term string").parquet(f"{to.path}/terms/{folder}")
+        keys = [words.select(F.lit(k).alias("kind"), F.explode(make(F.col("term"))).alias("key"), "term") for k, make in KEYS.items()]
+        rows = reduce(DataFrame.unionByName, keys).withColumn("part", key_part(F.col("key")))
+        # Each folder's rows go to as many tasks as the shuffle has to give.
+        shares = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // (len(KEYS) * KEY_PARTS))
+        rows = rows.repartition("kind", "part", F.pmod(F.hash("key"), F.lit(shares))).sortWithinPartitions("kind", "part", "key")
+        rows.write.mode("overwrite").partitionBy("kind", "part").parquet(f"{to.path}/keys/{folder}")
+        return TextIndex(path=to.path, spark=to.spark, segments=to.segments + 1, gone=to.gone)
+
+    def remove(self, ids: DataFrame) -> "TextIndex":
+        """This stored index without the documents whose ``id`` is in ``ids``; unknown ones change nothing.
+
+        What they counted for is read from their postings, which stay where they are, and written as negative counts.
+        """
+        folder = f"segment={self.segments}"
+        wanted = ids.select(F.col("id").cast("long")).distinct()
+        wanted.write.mode("overwrite").parquet(f"{self.path}/gone/{folder}")
+        wanted = self.spark.read.schema("id long").parquet(f"{self.path}/gone/{folder}")
+        theirs = self._alive(self._stored("postings").select("id", "dl", "term", "segment")).join(broadcast_if_small(wanted), "id", "left_semi")
+        theirs = materialize(theirs.select("id", "dl", "term"))
+        less = theirs.filter(F.col("term") != DOCUMENT_MARK).groupBy("term").agg((-F.count("*")).alias("df"))
+        less.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{self.path}/terms/{folder}")
+        sums = _totals(theirs.filter(F.col("term") == DOCUMENT_MARK)).select((-F.col("documents")).alias("documents"), (-F.col("tokens")).alias("tokens"))
+        sums.write.mode("overwrite").parquet(f"{self.path}/totals/{folder}")
+        return TextIndex(path=self.path, spark=self.spark, segments=self.segments + 1, gone=True)
+
+    def replace(self, new: "TextIndex") -> "TextIndex":
+        """This stored index with the documents of ``new`` in place of those that have their ids."""
+        return self.remove(new.lists.select("id")).add(new)
 
 
 def term_part() -> Column:
@@ -150,6 +232,11 @@ def term_part() -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
 
 
+def key_part(key: Column) -> Column:
+    """The part of the key table that holds a key."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int")
+
+
 def _totals(marks: DataFrame) -> DataFrame:
     return marks.agg(F.count("*").alias("documents"), F.coalesce(F.sum("dl"), F.lit(0)).alias("tokens"))
 
@@ -212,15 +299,13 @@ def expand(clauses: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFr
         )
     if "prefix" in kinds:
         asked = clauses.filter("kind = 'prefix'").withColumn("__text", F.lower("text"))
-        asked = asked.withColumn("__key", F.substring("__text", 1, 3))
-        vocabulary = index.vocabulary().withColumn("__key", F.explode(prefix_keys(F.col("term"))))
-        found = asked.join(vocabulary, "__key").filter(F.col("term").startswith(F.col("__text")))
+        asked = materialize(asked.withColumn("__key", F.substring("__text", 1, 3)))
+        found = asked.join(index.by_key("prefix", asked), "__key").filter(F.col("term").startswith(F.col("__text")))
         parts.append(found.select(*base, "term", *flat))
     if "fuzzy" in kinds:
         asked = clauses.filter("kind = 'fuzzy'").withColumn("__text", F.lower("text"))
-        asked = asked.withColumn("__key", F.explode(one_edit_keys(F.col("__text"))))
-        vocabulary = index.vocabulary().withColumn("__key", F.explode(one_edit_keys(F.col("term"))))
-        found = asked.join(vocabulary, "__key").filter(F.levenshtein("__text", "term", 1) >= 0)
+        asked = materialize(asked.withColumn("__key", F.explode(one_edit_keys(F.col("__text")))))
+        found = asked.join(index.by_key("fuzzy", asked), "__key").filter(F.levenshtein("__text", "term", 1) >= 0)
         parts.append(found.select(*base, "term", *flat).distinct())
     if not parts:
         raise ValueError("kinds must name at least one of term, phrase, prefix, fuzzy")
@@ -319,9 +404,8 @@ def with_snippets(hits: DataFrame, nodes: DataFrame, clauses: DataFrame, text: s
         .agg(F.collect_set("term").alias("__terms"))
     )
     texts = nodes.select("id", F.col(text).alias("__text"))
-    # A few hits of each query go to the texts, which stay where they are.
-    wanted = broadcast_if_small(materialize(hits.join(words, "query_id")))
-    joined = wanted.join(texts, "id")
+    # A few hits of each query go to the texts, which stay where they are; a query's terms go there once.
+    joined = broadcast_if_small(materialize(hits)).join(texts, "id").join(broadcast_if_small(materialize(words)), "query_id")
     return joined.withColumn("snippet", snippet(F.col("__text"), F.col("__terms"))).drop("__terms", "__text")
 
 

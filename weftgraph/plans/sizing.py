@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows of a lookup side that may be broadcast.
+#: Most rows and most bytes of a lookup side that may be broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 256 << 20
+
+
+def _wide_bytes(df: DataFrame) -> list[Column]:
+    """About how many bytes each column of varying size takes in a row."""
+    found = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            found.append(F.octet_length(column))
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
+            found.append(F.octet_length(F.array_join(column, "")) + 16 * F.size(column))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType)):
+            found.append(32 * F.size(column))
+    return [F.coalesce(c.cast("long"), F.lit(0)) for c in found]
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, as far as its columns vary in size, ``max_bytes`` bytes.
 
     Counted in the tasks: a limit would send up to that many rows of each task to a single one. ``df``
     should be a scan, a stored table or cheap to evaluate.
     """
-    return df.count() <= max_rows
+    if df.count() > max_rows:
+        return False
+    wide = _wide_bytes(df)
+    return not wide or (df.agg(F.sum(reduce(lambda a, b: a + b, wide))).first()[0] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it; otherwise leave the join to Spark."""
+    """Mark ``df`` for broadcast only after counting its rows and bytes; otherwise leave the join to Spark."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from weftgraph.plans.materialize import materialize
 from weftgraph.plans.sizing import absent_from
 
 #: What a relation name must look like once it is upper-cased.
@@ -15,9 +14,6 @@ FACT_KEY = ["session", "subject", "relation", "object"]
 FACT_SCHEMA = "session string, subject string, relation string, object string"
 ENTITY = "Entity"
 NODE_KEY = ["session", "name"]
-NODE_SCHEMA = "session string, name string, label string"
-#: Parts of a store, by a hash of the key; a micro-batch reads only the parts its own keys fall in.
-PARTS = 256
 
 
 def relation_name(relation: Column | str) -> Column:
@@ -52,50 +48,61 @@ def save_fact_nodes(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return absent_from(fact_nodes(split_facts(batch)[0]), stored, NODE_KEY)
 
 
-def _read(spark: SparkSession, folder: str, columns: str) -> DataFrame:
-    return spark.read.schema(f"{columns}, batch long, part int").parquet(folder)
+#: Rows of a store: facts, entities (``a`` is the name) and rejected rows, told apart by ``kind``.
+ROW_SCHEMA = "session string, a string, b string, c string"
+FACT, NODE, REJECT = "fact", "node", "reject"
+
+
+def _rows(spark: SparkSession, store: str, kind: str) -> DataFrame:
+    """Rows of one kind; only its folders are read."""
+    return spark.read.schema(f"{ROW_SCHEMA}, batch long, kind string").parquet(f"{store}/rows").filter(F.col("kind") == kind)
 
 
 def read_facts(spark: SparkSession, store: str) -> DataFrame:
     """All facts of a store written by :func:`ingest_facts`."""
-    return _read(spark, f"{store}/facts", FACT_SCHEMA).select(*FACT_KEY)
+    return _rows(spark, store, FACT).select("session", *[F.col(c).alias(k) for c, k in zip("abc", FACT_KEY[1:])])
 
 
 def read_fact_nodes(spark: SparkSession, store: str) -> DataFrame:
     """All entities of a store written by :func:`ingest_facts`."""
-    return _read(spark, f"{store}/nodes", NODE_SCHEMA).drop("batch", "part")
+    return _rows(spark, store, NODE).select("session", F.col("a").alias("name"), F.lit(ENTITY).alias("label"))
 
 
-def _merge(rows: DataFrame, key: list[str], columns: str, folder: str, number: int) -> None:
-    """Write the rows whose key no earlier batch has as the folder of this batch.
+def new_rows(stream: DataFrame) -> DataFrame:
+    """Facts and entities of a stream that it has not given before, and its rejected rows: ``kind, session, a, b, c``.
 
-    The parts touched, at most ``PARTS`` numbers, become a literal partition filter on the store.
+    What was given is keyed state of the query, one key per fact and entity, partitioned like a shuffle and kept with
+    the query's progress. A null in a key is a value like any other.
     """
-    spark = rows.sparkSession
-    rows = rows.withColumn("part", F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int"))
-    if number > 0:
-        rows = materialize(rows)
-        parts = [r["part"] for r in rows.select("part").distinct().collect()]
-        earlier = (F.col("batch") < number) & F.col("part").isin(parts)
-        rows = absent_from(rows, _read(spark, folder, columns).filter(earlier), key)
-    rows.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{folder}/batch={number}")
+    good, bad = split_facts(stream)
+    none = F.lit(None).cast("string")
+
+    def row(kind: str, a: Column | str, b: Column | str = none, c: Column | str = none) -> Column:
+        parts = {"kind": F.lit(kind), "session": F.col("session"), "a": a, "b": b, "c": c}
+        return F.struct(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in parts.items()])
+
+    made = F.array(row(FACT, "subject", "relation", "object"), row(NODE, "subject"), row(NODE, "object"))
+    fresh = good.select(F.explode(made).alias("r")).select("r.*").dropDuplicates(["kind", "session", "a", "b", "c"])
+    return fresh.unionByName(bad.select(row(REJECT, "subject", "relation", "object").alias("r")).select("r.*"))
 
 
 def ingest_facts(stream: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
-    """Merge the facts of a stream and their entities into ``store`` and stop when the input is used up.
+    """Put the new facts of a stream and their entities into ``store`` and stop when the input is used up.
 
-    A micro-batch writes its own folders and compares only with the folders before it, so one that
-    is run again after a failure gives the same rows. Rows with a bad relation go to ``rejects``.
+    A micro-batch writes its own folders and reads nothing of what was stored before. One that is run again after a
+    failure starts from the state before it and writes the same rows; a stream that is started again with
+    its ``checkpoint`` goes on from its state. Rows with a bad relation go to ``rejects``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        good, bad = split_facts(batch)
-        _merge(fact_nodes(good), NODE_KEY, NODE_SCHEMA, f"{store}/nodes", number)
-        _merge(good.distinct(), FACT_KEY, FACT_SCHEMA, f"{store}/facts", number)
+        folder = f"{store}/rows/batch={number}"
+        batch.write.mode("overwrite").partitionBy("kind").parquet(folder)
+        written = batch.sparkSession.read.schema(f"{ROW_SCHEMA}, kind string").parquet(folder)
+        bad = written.filter(F.col("kind") == REJECT).select("session", *[F.col(c).alias(k) for c, k in zip("abc", FACT_KEY[1:])])
         bad.write.mode("overwrite").parquet(f"{store}/rejects/batch={number}")
 
     return (
-        stream.writeStream.foreachBatch(write)
+        new_rows(stream).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
