@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.runs import name_runs
 from weftgraph.llm.store import store
 
+#: Parts that a node's edges are dealt to by their other end; a hub's minimum is given to each.
+SALTS = 8
 
-def _with_lowest(edges: DataFrame) -> DataFrame:
-    """``u, v, m``: each edge with the smaller of ``u`` and its smallest neighbour.
 
-    The edges are sorted by ``u`` and ``v`` in slices, where the first ``v`` of a ``u`` is its smallest neighbour; a
-    hub fills as many slices as it needs.
-    """
-    runs = name_runs(edges, ["u"], ["v"], ["u", "v"], lead="v", name="stars")
-    return runs.select("u", "v", F.least("u", "lead").alias("m"))
+def _with_lowest(edges: DataFrame) -> DataFrame:
+    """``u, v, m``: each edge with the smaller of ``u`` and its smallest neighbour, which is counted map-side first."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    lowest = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).select("u", "m", salts)
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return dealt.join(lowest, ["u", "salt"]).select("u", "v", "m")
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -36,8 +36,8 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """``node, component`` for every node of ``edges``: the smallest node it is connected to.
 
-    No neighbour list is ever gathered: a hub is many small rows over neighbouring slices. Every round is written
-    to the shared folder.
+    No neighbour list is ever gathered: a hub is a key with many small rows, dealt to several parts. Every round is
+    written to the shared folder.
     """
     now = store(edges.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v").distinct(), "edges")
     before = None
