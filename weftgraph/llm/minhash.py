@@ -33,7 +33,8 @@ SHINGLE = 5
 PERCENT = 75
 #: A pair at exactly the threshold shares no band with probability (1 - 0.75**5)**50, about 1 in 740,000.
 BANDS, ROWS = 50, 5
-#: A pair goes to the full check if so many of its minima agree; five standard deviations below 75%.
+#: A pair goes to the full check if so many of its minima agree; five standard deviations below 75%. Their lowest byte is
+#: kept: equal minima always agree in it, and one in 256 others, so it only lets more pairs through.
 LEAST_AGREE = int(BANDS * ROWS * 0.61)
 #: Signatures compared with each other in one piece of a bucket.
 BLOCK = 256
@@ -104,7 +105,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for r in range(ROWS):
                     keys = keys * np.uint64(0x9E3779B97F4A7C15) + mix(least[:, r::ROWS].copy())
                 keys = mix(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-                low = least.astype(np.uint16)
+                low = least.astype(np.uint8)
                 for i, doc in enumerate(full):
                     bands[doc], minima[doc] = keys[i].tobytes(), low[i].tobytes()
             raw = words.data.tobytes()
@@ -135,8 +136,8 @@ def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose minima agree often enough."""
     for batch in batches:
-        left = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
-        right = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+        left = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+        right = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
         keep = pa.array((left == right).sum(axis=1) >= LEAST_AGREE)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
@@ -233,7 +234,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
 
 
 def _minima(part: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(part[6].to_pylist()), np.uint16).reshape(-1, BANDS * ROWS)
+    return np.frombuffer(b"".join(part[6].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
 
 
 HOPEFUL = "bucket long, one int, two int, own int, row long, component long"
