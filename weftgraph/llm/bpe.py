@@ -30,7 +30,7 @@ WHITE, LETTER, NUMBER, OTHER = range(4)
 WHITE_SPACE = r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Bytes of distinct pieces a task remembers before it starts anew.
-REMEMBERED_BYTES = 16 << 20
+REMEMBERED_BYTES = 4 << 20
 #: Bytes of text tokenised together.
 TEXT_BYTES = 1 << 18
 #: Bytes from which a piece is merged alone, by a heap.

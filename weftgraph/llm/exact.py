@@ -22,11 +22,13 @@ from pyspark.sql import types as T
 
 from weftgraph.llm.runs import name_runs
 from weftgraph.llm.store import numbered, store
-from weftgraph.llm.words import buffers
+from weftgraph.llm.words import buffers, cuts
 from weftgraph.plans.sizing import broadcast_if_small
 
 #: Bytes of a block.
 BLOCK_BYTES = 2048
+#: Bytes of text cut together.
+TEXT_BYTES = 2 << 20
 
 BLOCKS = T.StructType(
     [
@@ -38,7 +40,14 @@ BLOCKS = T.StructType(
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for whole in batches:
+        _, bounds = buffers(whole.column(2))
+        for at, to in cuts(bounds, TEXT_BYTES):
+            yield from _cut_part(whole.slice(at, to - at))
+
+
+def _cut_part(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows:
         data, offsets = buffers(batch.column(2))
         lengths = np.diff(offsets)
         counts = np.maximum(1, -(-lengths // BLOCK_BYTES))
