@@ -351,7 +351,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Signatures meet in all pieces of a bucket, texts only where two signatures leave a link possible.
     hopeful = store(by_piece(placed).mapInArrow(_hopeful, HOPEFUL), "hopeful")
     bodies = _bodies(texts, hopeful.select("row"), "open")
-    links = store(links.union(by_piece(hopeful.join(minima, "row").join(bodies, "row").select(*placed.columns, "text")).mapInArrow(_across, PAIR)), "links")
+    # A member meets its signature and text once; its pieces, as many as its bucket has blocks at most, are a list till then.
+    members = hopeful.groupBy("bucket", "row", "component").agg(F.collect_list(F.struct("one", "two", "own")).alias("pieces"))
+    sent = members.join(minima, "row").join(bodies, "row").withColumn("piece", F.explode("pieces"))
+    sent = sent.select("bucket", "piece.one", "piece.two", "piece.own", "row", "component", "minima", "text")
+    links = store(links.union(by_piece(sent).mapInArrow(_across, PAIR)), "links")
     linked = store(components(links), "components")
 
     member = classes.join(linked.withColumnRenamed("node", "lead"), "lead", "left").select(
