@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -204,3 +205,46 @@ def test_many_terms_are_named_by_their_range(spark, nodes, tmp_path, monkeypatch
     want = [tuple(r) for r in text.text_search(stored, asked).orderBy("rank").collect()]
     monkeypatch.setattr(text, "NAMED_TERMS", 2)
     assert [tuple(r) for r in text.text_search(stored, asked).orderBy("rank").collect()] == want != []
+
+
+def test_phrases_by_pairs_of_frequent_words(spark, tmp_path, monkeypatch):
+    """Phrases of frequent, rare, repeated and unknown words score as without pairs, also after documents came and went."""
+    monkeypatch.setattr(text, "PAIR_SHARE", 0.3)
+    dice = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    weights = [2.0**-i for i in range(12)]  # the first few are frequent, the last ones rare
+    bodies = [(i, " ".join(dice.choices(words, weights, k=dice.randrange(0, 40))), f"w0 w1 {i}") for i in range(60)]
+    docs = spark.createDataFrame(bodies, "id long, text string, title string")
+    plain = text.build_text_index(docs, ["text", "title"])
+    rows = []
+    for query in range(60):
+        for clause in range(dice.randrange(1, 4)):
+            phrase = " ".join(dice.choices([*words, "unknown"], [*weights, 0.02], k=dice.randrange(0, 6)))
+            role = dice.choice(["should", "should", "must", "must_not"])
+            rows.append((query, str(clause), role, dice.choice(["phrase", "phrase", "term"]), phrase, dice.choice([1.0, 2.5])))
+    asked = spark.createDataFrame(rows, "query_id long, clause string, role string, kind string, text string, boost double")
+
+    def found(index):
+        hits = text.text_search(index, asked, 100, ["term", "phrase"])
+        return sorted((r.query_id, r.id, round(r.score, 7)) for r in hits.collect())
+
+    stored = plain.write(str(tmp_path / "whole"), pairs=True)
+    often = {r.term for r in stored.frequent().collect()}
+    assert {"w0", "w1"} <= often and not {"w10", "w11"} & often
+    want = found(plain)
+    assert len(want) > 500 and found(stored) == want
+    first = text.build_text_index(docs.filter("id < 40"), ["text", "title"]).write(str(tmp_path / "grown"), pairs=True)
+    grown = first.add(text.build_text_index(docs.filter("id >= 40"), ["text", "title"]))
+    assert found(grown) == want
+    gone = spark.createDataFrame([(i,) for i in range(0, 60, 7)], "id long")
+    assert found(grown.remove(gone)) == found(text.build_text_index(docs.filter("id % 7 <> 0"), ["text", "title"]))
+
+
+def test_frequent_phrases_leave_the_postings_of_words_alone(spark, nodes, tmp_path):
+    stored = text.build_text_index(nodes, "text").write(str(tmp_path / "index"), pairs=True)
+    asked = clauses(spark, ("should", "phrase", "machine learning"))
+    assert text.expand(asked, stored, ["phrase"]).count() == 0
+    plan = text.score(stored, asked, ["phrase"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "tf_next" in plan and "/postings" not in plan
+    pairs = stored.pair_postings(spark.createDataFrame([("machine learning",)], "term string"))
+    assert sorted((r.id, r.tf, r.tf_next, r.positions) for r in pairs.collect()) == [(1, 1, 1, [0]), (4, 3, 2, [1])]

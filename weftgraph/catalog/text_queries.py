@@ -68,17 +68,17 @@ def documents(spark, folder) -> DataFrame:
     return table_graph(spark, folder).nodes("Document")
 
 
-def stored_index(spark, folder: str, name: str, properties, **how) -> text.TextIndex:
+def stored_index(spark, folder: str, name: str, properties, pairs: bool = False, **how) -> text.TextIndex:
     """The index ``name`` over the documents, stored for the session."""
 
     def make(path: str) -> text.TextIndex:
-        return text.build_text_index(spread(documents(spark, folder), "id"), properties, **how).write(path)
+        return text.build_text_index(spread(documents(spark, folder), "id"), properties, **how).write(path, pairs)
 
     return written(f"text-{name}", read_table(spark, folder, "documents"), make)
 
 
 def document_index(spark, folder) -> text.TextIndex:
-    return stored_index(spark, folder, "text", "text")
+    return stored_index(spark, folder, "text", "text", pairs=True)
 
 
 def item_terms(spark, folder) -> DataFrame:

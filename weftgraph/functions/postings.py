@@ -6,6 +6,8 @@ shuffle of single tokens would move the whole collection for nothing.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,6 +20,8 @@ DOCUMENT_MARK = ""
 SLICE = 500
 
 POSTING = "id long, dl long, term string, tf long"
+#: Of two neighbouring words: both names, how often the document has either, where the first one stands.
+PAIR = f"{POSTING}, tf_next long, positions array<int>"
 
 
 def distinct_terms(batches, columns: list[str]):
@@ -34,14 +38,18 @@ def distinct_terms(batches, columns: list[str]):
     yield pa.RecordBatch.from_arrays([pa.concat_arrays([found, *waiting]).unique()], names=["term"])
 
 
-def form_postings(
-    batch: pa.RecordBatch,
-    columns: list[str],
-    wanted: pa.Array | None = None,
-    removed: pa.Array | None = None,
-    positions: bool = False,
-) -> pa.RecordBatch:
-    """Postings of the token lists in ``columns``, plus one document mark per row."""
+class Laid(NamedTuple):
+    """All tokens of a batch in order of column, row and place: ``terms[codes]`` at ``place`` of ``row``."""
+
+    ids: np.ndarray
+    length: np.ndarray
+    row: np.ndarray
+    place: np.ndarray
+    codes: np.ndarray
+    terms: pa.Array
+
+
+def lay_out(batch: pa.RecordBatch, columns: list[str]) -> Laid:
     ids = np.asarray(batch.column("id"), dtype=np.int64)
     base = np.zeros(len(ids), np.int64)
     length = np.zeros(len(ids), np.int64)
@@ -56,9 +64,46 @@ def form_postings(
         words.append(lists.flatten())
         base += sizes + PROPERTY_GAP
         length += sizes
-    row, place = np.concatenate(rows), np.concatenate(places)
     coded = pa.concat_arrays(words).dictionary_encode()
-    codes, terms = np.asarray(coded.indices, dtype=np.int64), coded.dictionary
+    codes = np.asarray(coded.indices, dtype=np.int64)
+    return Laid(ids, length, np.concatenate(rows), np.concatenate(places), codes, coded.dictionary.cast(pa.string()))
+
+
+def form_pairs(batch: pa.RecordBatch, columns: list[str], frequent: pa.Array) -> pa.RecordBatch:
+    """Postings of neighbouring words that are both in ``frequent``, with the number of times the document has either."""
+    ids, length, row, place, codes, terms = lay_out(batch, columns)
+    often = np.asarray(pc.is_in(terms, value_set=frequent), dtype=bool)[codes]
+    # The gap between properties keeps the last word of one from standing beside the first of the next.
+    beside = often[:-1] & often[1:] & (row[:-1] == row[1:]) & (place[:-1] + 1 == place[1:])
+    at = np.flatnonzero(beside)
+    key = row * max(1, len(terms)) + codes
+    known, times = np.unique(key[often], return_counts=True)
+    at = at[np.lexsort((place[at], key[at + 1], key[at]))]
+    left, right = key[at], key[at + 1]
+    new = np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])] if len(at) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    one = at[first]
+    names = [terms.take(pa.array(codes[one + step])) for step in (0, 1)]
+    data = {
+        "id": pa.array(ids[row[one]]),
+        "dl": pa.array(length[row[one]]),
+        "term": pc.binary_join_element_wise(*names, " "),
+        "tf": pa.array(times[np.searchsorted(known, left[first])].astype(np.int64)),
+        "tf_next": pa.array(times[np.searchsorted(known, right[first])].astype(np.int64)),
+        "positions": pa.ListArray.from_arrays(pa.array(np.r_[first, len(at)].astype(np.int32)), pa.array(place[at].astype(np.int32))),
+    }
+    return pa.RecordBatch.from_pydict(data)
+
+
+def form_postings(
+    batch: pa.RecordBatch,
+    columns: list[str],
+    wanted: pa.Array | None = None,
+    removed: pa.Array | None = None,
+    positions: bool = False,
+) -> pa.RecordBatch:
+    """Postings of the token lists in ``columns``, plus one document mark per row."""
+    ids, length, row, place, codes, terms = lay_out(batch, columns)
     keep = np.ones(len(terms), bool)
     if wanted is not None:
         keep &= np.asarray(pc.is_in(terms, value_set=wanted))
@@ -76,7 +121,7 @@ def form_postings(
     data = {
         "id": pa.array(np.r_[ids[row[first]], ids]),
         "dl": pa.array(np.r_[length[row[first]], length]),
-        "term": pa.concat_arrays([terms.take(pa.array(codes[first])).cast(pa.string()), marks]),
+        "term": pa.concat_arrays([terms.take(pa.array(codes[first])), marks]),
         "tf": pa.array(np.r_[count, np.ones(len(ids), np.int64)]),
     }
     if positions:

@@ -16,10 +16,10 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftgraph.functions.postings import DOCUMENT_MARK, POSTING, SLICE, distinct_terms, form_postings
+from weftgraph.functions.postings import DOCUMENT_MARK, PAIR, POSTING, SLICE, distinct_terms, form_pairs, form_postings
 from weftgraph.functions.text import SCORE_DECIMALS, bm25, one_edit_keys, prefix_keys, snippet, tokens
 from weftgraph.operators.filters import where_in
 from weftgraph.plans.materialize import materialize
@@ -38,6 +38,10 @@ DOCUMENT_PART = -1
 KEY_PARTS = 16
 #: Most terms named one by one in a filter on the postings.
 NAMED_TERMS = 500
+#: Words in at least this share of the documents, and in two, are frequent: where two of them stand side by side,
+#: a posting of the pair is stored as well. At most so many words, the commonest first; phrases find the rest by their
+#: own postings.
+PAIR_SHARE, PAIR_WORDS = 0.01, 50_000
 
 #: Join keys of a vocabulary term by the kind of clause that looks it up.
 KEYS = {"prefix": prefix_keys, "fuzzy": one_edit_keys}
@@ -60,15 +64,19 @@ class TextIndex:
     documents, and the keys of the terms. Adding documents writes a segment of their own; removing some writes a
     segment with their ids and with negative counts. An object reads the segments it was made with, so
     earlier ones still answer as before.
+
+    With ``pairs`` a stored index also has postings of two neighbouring frequent words, so a phrase of such words
+    reads the documents that have them side by side and not every document that has either. Which words are
+    frequent is settled by the first segment and kept as a table.
     """
 
     def __init__(self, lists: DataFrame | None = None, removed: Sequence[str] = (), path: str | None = None,
-                 spark: SparkSession | None = None, segments: int = 0, gone: bool = False):
+                 spark: SparkSession | None = None, segments: int = 0, gone: bool = False, pairs: bool = False):
         self.lists = lists
         self.removed = sorted(set(removed))
         self.path = path
         self.spark = spark or lists.sparkSession
-        self.segments, self.gone = segments, gone
+        self.segments, self.gone, self.pairs = segments, gone, pairs
 
     def _columns(self) -> list[str]:
         return [c for c in self.lists.columns if c != "id"]
@@ -121,18 +129,8 @@ class TextIndex:
         wanted = terms.select("term").distinct()
         columns = ["id", "dl", "term", "tf", *(["positions"] if positions else [])]
         if self.path:
-            spans = wanted.groupBy(term_part().alias("part")).agg(
-                F.min("term").alias("low"), F.max("term").alias("high"), F.count("*").alias("n"),
-                # More than are named anyway need not come to the driver.
-                F.when(F.count("*") <= NAMED_TERMS, F.collect_list("term")).alias("named"),
-            )
-            found = spans.collect()  # at most one row per part
-            low, high = min((r["low"] for r in found), default=""), max((r["high"] for r in found), default="")
-            inside = F.col("part").isin([r["part"] for r in found]) & F.col("term").between(low, high)
-            if sum(r["n"] for r in found) <= NAMED_TERMS:
-                inside = inside & F.col("term").isin([t for r in found for t in r["named"]])
-            df = self._counted(self._stored("terms").filter(F.col("term").between(low, high)))
-            return Matched(self._alive(self._stored("postings").filter(inside)).select(columns), self.documents_indexed(), df)
+            rows = self._alive(self._stored("postings").filter(_named(wanted))).select(columns)
+            return Matched(rows, self.documents_indexed(), self.frequencies(wanted))
         wanted = materialize(wanted)
         if fits(wanted, BROADCAST_ROWS):
             listed = wanted.toArrow()["term"].combine_chunks()
@@ -145,6 +143,40 @@ class TextIndex:
         df = postings.groupBy("term").agg(F.count("*").alias("df"))
         return Matched(postings, _totals(rows.filter(F.col("term") == DOCUMENT_MARK)), df)
 
+    def frequencies(self, terms: DataFrame) -> DataFrame:
+        """``term, df`` of a stored index, for the range that the given terms span."""
+        low, high = terms.agg(F.coalesce(F.min("term"), F.lit("")), F.coalesce(F.max("term"), F.lit(""))).first()
+        return self._counted(self._stored("terms").filter(F.col("term").between(low, high)))
+
+    def pair_postings(self, wanted: DataFrame) -> DataFrame:
+        """Postings of the given pairs of frequent words (column ``term``)."""
+        rows = self.spark.read.schema(f"{PAIR}, segment int, part int").parquet(f"{self.path}/pairs")
+        rows = rows.filter((F.col("segment") < self.segments) & _named(wanted.select("term").distinct()))
+        return self._alive(rows).drop("segment", "part")
+
+    def frequent(self) -> DataFrame:
+        """The words whose neighbourhoods are stored; at most ``PAIR_WORDS``."""
+        return self.spark.read.schema("term string").parquet(f"{self.path}/frequent")
+
+    def _write_pairs(self, to: "TextIndex", folder: str) -> None:
+        if to.segments == 0:
+            counted = self.spark.read.schema("term string, df long").parquet(f"{to.path}/terms/{folder}")
+            documents = self.spark.read.parquet(f"{to.path}/totals/{folder}").first()["documents"]
+            often = counted.filter(F.col("df") >= max(2, PAIR_SHARE * documents)).orderBy(F.desc("df"), "term").limit(PAIR_WORDS)
+            often.select("term").write.mode("overwrite").parquet(f"{to.path}/frequent")
+        words = to.frequent().toArrow()["term"].combine_chunks()
+        columns = self._columns()
+
+        def run(batches):
+            for batch in batches:
+                for start in range(0, batch.num_rows, SLICE):
+                    yield form_pairs(batch.slice(start, SLICE), columns, words)
+
+        order = ["part", "term", "id"]
+        rows = self.lists.mapInArrow(run, PAIR).withColumn("part", term_part())
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{to.path}/pairs/{folder}")
+
     def vocabulary(self) -> DataFrame:
         """Distinct terms; every task sends each of its terms once."""
         if self.path:
@@ -173,9 +205,12 @@ class TextIndex:
         sizes = [F.size(c) for c in self._columns()]
         return _totals(self.lists.select(sum(sizes[1:], sizes[0]).cast("long").alias("dl")))
 
-    def write(self, path: str) -> "TextIndex":
-        """Store postings, document lengths, term counts, keys and totals under ``path`` as the first segment."""
-        return self._write_segment(TextIndex(path=path, spark=self.spark))
+    def write(self, path: str, pairs: bool = False) -> "TextIndex":
+        """Store postings, document lengths, term counts, keys and totals under ``path`` as the first segment.
+
+        ``pairs`` stores neighbouring frequent words too, here and in segments added later.
+        """
+        return self._write_segment(TextIndex(path=path, spark=self.spark, pairs=pairs))
 
     def add(self, new: "TextIndex") -> "TextIndex":
         """This stored index with the documents of ``new``, which is formed from text the same way; their ids must be new."""
@@ -203,7 +238,9 @@ class TextIndex:
         shares = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // (len(KEYS) * KEY_PARTS))
         rows = rows.repartition("kind", "part", F.pmod(F.hash("key"), F.lit(shares))).sortWithinPartitions("kind", "part", "key")
         rows.write.mode("overwrite").partitionBy("kind", "part").parquet(f"{to.path}/keys/{folder}")
-        return TextIndex(path=to.path, spark=to.spark, segments=to.segments + 1, gone=to.gone)
+        if to.pairs:
+            self._write_pairs(to, folder)
+        return TextIndex(path=to.path, spark=to.spark, segments=to.segments + 1, gone=to.gone, pairs=to.pairs)
 
     def remove(self, ids: DataFrame) -> "TextIndex":
         """This stored index without the documents whose ``id`` is in ``ids``; unknown ones change nothing.
@@ -220,7 +257,7 @@ class TextIndex:
         less.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{self.path}/terms/{folder}")
         sums = _totals(theirs.filter(F.col("term") == DOCUMENT_MARK)).select((-F.col("documents")).alias("documents"), (-F.col("tokens")).alias("tokens"))
         sums.write.mode("overwrite").parquet(f"{self.path}/totals/{folder}")
-        return TextIndex(path=self.path, spark=self.spark, segments=self.segments + 1, gone=True)
+        return TextIndex(path=self.path, spark=self.spark, segments=self.segments + 1, gone=True, pairs=self.pairs)
 
     def replace(self, new: "TextIndex") -> "TextIndex":
         """This stored index with the documents of ``new`` in place of those that have their ids."""
@@ -232,6 +269,21 @@ def term_part() -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
 
 
+def _named(wanted: DataFrame) -> Column:
+    """A filter with literals: the parts that the distinct terms fall in, the range they span and, if not many, the terms."""
+    spans = wanted.groupBy(term_part().alias("part")).agg(
+        F.min("term").alias("low"), F.max("term").alias("high"), F.count("*").alias("n"),
+        # More than are named anyway need not come to the driver.
+        F.when(F.count("*") <= NAMED_TERMS, F.collect_list("term")).alias("named"),
+    )
+    found = spans.collect()  # at most one row per part
+    low, high = min((r["low"] for r in found), default=""), max((r["high"] for r in found), default="")
+    inside = F.col("part").isin([r["part"] for r in found]) & F.col("term").between(low, high)
+    if sum(r["n"] for r in found) <= NAMED_TERMS:
+        inside = inside & F.col("term").isin([t for r in found for t in r["named"]])
+    return inside
+
+
 def key_part(key: Column) -> Column:
     """The part of the key table that holds a key."""
     return F.pmod(F.xxhash64(key), F.lit(KEY_PARTS)).cast("int")
@@ -285,7 +337,8 @@ def term_clauses(terms: DataFrame, role: str = "should", kind: str = "term") ->
 def expand(clauses: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFrame:
     """Clauses to index terms ``(query_id, clause, role, kind, term, boost, shift, size)``.
 
-    Prefix and fuzzy clauses are equi-joined with the vocabulary, never with the postings.
+    Prefix and fuzzy clauses are equi-joined with the vocabulary, never with the postings. Words of phrases that an
+    index with pairs finds by a neighbour are left to ``paired_phrases``.
     """
     base = [F.col(c) for c in ("query_id", "clause", "role", "kind", "boost")]
     flat = [F.lit(0).alias("shift"), F.lit(1).alias("size")]
@@ -293,10 +346,8 @@ def expand(clauses: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFr
     if "term" in kinds:
         parts.append(clauses.filter("kind = 'term'").select(*base, F.lower("text").alias("term"), *flat))
     if "phrase" in kinds:
-        split = clauses.filter("kind = 'phrase'").withColumn("__words", tokens("text"))
-        parts.append(
-            split.select(*base, F.size("__words").alias("size"), F.posexplode("__words").alias("shift", "term"))
-        )
+        words = phrase_words(clauses, index).filter("NOT joined") if index.pairs else phrase_words(clauses)
+        parts.append(words.select(*base, "size", "shift", "term"))
     if "prefix" in kinds:
         asked = clauses.filter("kind = 'prefix'").withColumn("__text", F.lower("text"))
         asked = materialize(asked.withColumn("__key", F.substring("__text", 1, 3)))
@@ -315,6 +366,52 @@ def expand(clauses: DataFrame, index: TextIndex, kinds: Sequence[str]) -> DataFr
     return rows
 
 
+def phrase_words(clauses: DataFrame, index: TextIndex | None = None) -> DataFrame:
+    """One row per word of every phrase: the clause, ``term, shift, size``.
+
+    With an ``index`` that has pairs, a word that is frequent like the one after it stands for both (``joined``, with
+    ``next``), and a frequent word that only the one before it can stand for is left out; ``closing``
+    marks the last pair of such a run. ``size`` counts the rows left.
+    """
+    split = clauses.filter("kind = 'phrase'").withColumn("__words", tokens("text"))
+    base = [F.col(c) for c in ("query_id", "clause", "role", "kind", "boost")]
+    words = split.select(*base, F.size("__words").alias("size"), F.posexplode("__words").alias("shift", "term"))
+    if index is None:
+        return words
+    flagged = words.join(F.broadcast(index.frequent().withColumn("__often", F.lit(True))), "term", "left")
+    phrase = Window.partitionBy("query_id", "clause")
+    order = phrase.orderBy("shift")
+    often = F.coalesce("__often", F.lit(False))
+    flagged = flagged.select(
+        *base, "shift", "term", often.alias("often"), F.lead("term").over(order).alias("next"),
+        F.lag(often, 1, False).over(order).alias("before"),
+        F.lead(often, 1, False).over(order).alias("after"), (~F.lead(often, 2, False).over(order)).alias("closing"),
+    )
+    flagged = flagged.withColumn("joined", F.col("often") & F.col("after"))
+    kept = flagged.filter(F.col("joined") | ~(F.col("often") & F.col("before")))
+    return kept.withColumn("size", F.count("*").over(phrase).cast("int")).drop("often", "before", "after")
+
+
+def paired_phrases(index: TextIndex, clauses: DataFrame, needed: DataFrame, size: DataFrame) -> DataFrame:
+    """Rows of phrases found by pairs of frequent words, as ``score`` has them for words of their own.
+
+    A pair counts for its first word, the last of a run for both.
+    """
+    asked = materialize(phrase_words(clauses, index).filter("joined").withColumnRenamed("term", "first"))
+    asked = materialize(asked.withColumn("term", F.concat_ws(" ", "first", "next")))
+    words = asked.select(F.explode(F.array("first", "next")).alias("term")).distinct()
+    df = index.frequencies(words).join(F.broadcast(words), "term") if fits(words) else index.frequencies(words)
+    df = materialize(df)
+    first = df.select(F.col("term").alias("first"), F.col("df").alias("df"))
+    after = df.select(F.col("term").alias("next"), F.col("df").alias("df_next"))
+    weighted = materialize(asked.join(first, "first").join(after, "next").join(needed, "query_id").drop("first", "next"))
+    found = index.pair_postings(asked).join(broadcast_if_small(weighted), "term")
+    sizes = [size.select("documents").scalar(), size.select(F.col("tokens") / F.col("documents")).scalar()]
+    own = bm25(F.col("tf"), F.col("df"), F.col("dl"), *sizes)
+    other = bm25(F.col("tf_next"), F.col("df_next"), F.col("dl"), *sizes)
+    return found.withColumn("__score", F.col("boost") * (own + F.when(F.col("closing"), other).otherwise(0.0)))
+
+
 def score(
     index: TextIndex, clauses: DataFrame, kinds: Sequence[str] = ("term", "phrase", "prefix", "fuzzy")
 ) -> DataFrame:
@@ -340,6 +437,10 @@ def score(
         ),
     )
     if "phrase" in kinds:
+        columns = ["query_id", "id", "musts", "role", "clause", "kind", "size", "shift", "positions", "__score"]
+        found = found.select(columns)
+        if index.pairs:
+            found = found.unionByName(paired_phrases(index, clauses, needed, size).select(columns))
         found = _keep_phrases(found, only="term" not in kinds and "prefix" not in kinds and "fuzzy" not in kinds)
     if "prefix" in kinds or "fuzzy" in kinds:
         # One clause may stand for several terms of a document: one row per clause from here on.
