@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftgraph.catalog.registry import nid, query
 from weftgraph.catalog.stored import written
 from weftgraph.functions.distance import distance
-from weftgraph.operators import ann, cells, vector
+from weftgraph.operators import ann, cells, neighbours, vector
 from weftgraph.plans.materialize import materialize
 from weftgraph.sources.tables import node_id, read_table
 
@@ -214,3 +214,31 @@ def v7_all(spark, folder):
     queries = label_queries(spark, folder)
     found = stored_cells(spark, folder).search(queries, k=10, nprobe=ALL_CELLS)
     return ann.recall_at_k(vector.knn(corpus(spark, folder), queries, 10, "cosine"), found)
+
+
+def stored_graph(spark, folder) -> neighbours.StoredGraph:
+    """The neighbour graph of all vectors, stored for the session."""
+    return written("neighbour-graph", read_table(spark, folder, "embeddings"), lambda path: neighbours.build_graph(corpus(spark, folder), path))
+
+
+@query("v5_graph_knn")
+def v5_graph(spark, folder):
+    """Found by a beam over the neighbour graph."""
+    return stored_graph(spark, folder).search(label_queries(spark, folder), k=10, ef=128)
+
+
+#: Mean recall that a beam of each width must reach; the bars for gaussian vectors of 16 dimensions are in the tests.
+BEAMS = {32: 0.9, 128: 0.98}
+
+
+@query("v7_graph_recall_bars", " UNION ALL ".join(f"SELECT {e} AS ef, CAST({b} AS DOUBLE) AS bar, true AS reached" for e, b in BEAMS.items()))
+def v7_graph(spark, folder):
+    """Mean recall of all queries by the width of the beam, against its bar."""
+    queries = hundredth_queries(spark, folder)
+    exact = materialize(vector.knn(corpus(spark, folder), queries, 10, "cosine"))
+    found = None
+    for ef, bar in BEAMS.items():
+        recall = ann.recall_at_k(exact, stored_graph(spark, folder).search(queries, k=10, ef=ef))
+        row = recall.agg((F.avg("recall") >= bar).alias("reached")).select(F.lit(ef).alias("ef"), F.lit(bar).alias("bar"), "reached")
+        found = row if found is None else found.unionByName(row)
+    return found
