@@ -105,3 +105,20 @@ def test_small_and_empty_indexes(spark, tmp_path):
         one.search(frame(spark, [[1, 0, 0, 0]], "query_id"), 3, nprobe=0)
     with pytest.raises(ValueError):
         cells.build_index(frame(spark, np.eye(4)), str(tmp_path / "dot"), "dot").search(frame(spark, np.eye(4), "query_id"), 3, exact=True)
+
+
+def test_many_pairs_are_neither_listed_nor_shuffled(data, index, exact, monkeypatch):
+    """Beyond the bound no query is sent to single cells: with many queries that is nearly every query to every cell."""
+    want = as_rows(index.search(data[1], 5, 0.05))
+    monkeypatch.setattr(cells, "BROADCAST_PAIRS", 10)
+    for name in ("_scan", "_shuffled"):
+        monkeypatch.setattr(cells.StoredCells, name, lambda *a, **k: pytest.fail("pairs are listed"))
+    assert as_rows(index.search(data[1], 5, 0.05)) == want
+    assert as_rows(index.search(data[1], 10, share=1.0)) == as_rows(index.search(data[1], 10, exact=True)) == as_rows(exact)
+
+
+def test_queries_that_come_twice_beyond_the_bound(spark, data, index, monkeypatch):
+    asked = data[1].limit(20)
+    want = as_rows(index.search(asked.unionByName(asked), 5, 0.05))
+    monkeypatch.setattr(cells, "BROADCAST_PAIRS", 10)
+    assert as_rows(index.search(asked.unionByName(asked), 5, 0.05)) == want

@@ -6,6 +6,8 @@ Spark decides which vectors and which queries meet in a task; this module only k
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -86,14 +88,22 @@ class Nearest:
             self.waiting = 0
         return self.parts[0]
 
-    def add(self, ids: np.ndarray, rows: np.ndarray, wanted: np.ndarray | None = None) -> None:
-        """Offer a block of rows to all queries, or to the query positions in ``wanted``."""
+    def add(self, ids: np.ndarray, rows: np.ndarray, wanted: np.ndarray | None = None, read: Callable | None = None) -> None:
+        """Offer a block of rows to all queries, or to the query positions in ``wanted``.
+
+        ``read`` tells which rows (first axis) the query positions it gets (second axis) are to be compared with.
+        """
         wanted = np.arange(len(self.queries)) if wanted is None else wanted
         if len(ids) == 0:
             return
         for begin in range(0, len(wanted), QUERY_BLOCK):
             block = wanted[begin : begin + QUERY_BLOCK]
+            asked = read(block) if read else None
+            if asked is not None and not asked.any():
+                continue
             rough = _block(rows, self.queries[block], self.metric)
+            if asked is not None:
+                rough[~asked] = np.inf
             last = min(self.k, len(ids)) - 1
             bound = np.partition(rough, last, axis=0)[last]
             # The matrix product may be off in the last digits: keep a margin, then recompute.

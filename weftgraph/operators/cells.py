@@ -40,8 +40,10 @@ OVERFULL = 8
 NEAR_GROUPS = 3
 #: Cells numbered within a group.
 GROUP_CELLS = 2**20
-#: (query, cell) pairs sent to every task; beyond, queries are sent to the cells by a shuffle.
+#: (query, cell) pairs sent to every task; beyond, a task finds out which of its cells a query reads.
 BROADCAST_PAIRS = 4_000_000
+#: Queries whose cells are ranked by one task.
+LIMIT_QUERIES = 250
 #: Rows of a cell, and queries of a cell, that meet in one task of that shuffle.
 BLOCK_ROWS, BLOCK_QUERIES = 50_000, 4_000
 
@@ -105,6 +107,17 @@ class Centres:
         return best, np.sqrt(gap)
 
 
+def _few(found: Iterator[np.ndarray]) -> list[np.ndarray] | None:
+    """All that is found, or None as soon as it is more pairs than go to every task."""
+    kept, pairs = [], 0
+    for own in found:
+        pairs += len(own)
+        if pairs > BROADCAST_PAIRS:
+            return None
+        kept.append(own.copy())
+    return kept
+
+
 def _sample(rows: DataFrame, share: float) -> DataFrame:
     """About ``share`` of the rows, the same ones each time."""
     return rows if share >= 1 else rows.filter(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -223,7 +236,8 @@ class StoredCells:
 
         ``nprobe`` says how many cells, else as many as hold ``share`` of the vectors; more of either is
         more recall. ``exact`` reads all cells that can hold one of the ``k`` nearest, by centre and radius, for the
-        metrics cosine and l2. Queries beyond the bound meet their cells by a shuffle, or the whole table if ``exact``.
+        metrics cosine and l2. Queries beyond the bound meet their cells by a shuffle, or the whole table if ``exact``;
+        within it the vectors stay where they are, however many cells each query reads.
         """
         check_limit(k, "k")
         if nprobe is not None:
@@ -241,39 +255,96 @@ class StoredCells:
         order = np.array([known[int(c)] for c in centres.cells], np.int64)
         sizes, radius = (np.asarray(table[c])[order] for c in ("size", "radius"))
 
-        def closest(rows: np.ndarray) -> Iterator[np.ndarray]:
-            """Positions of the cells to read, for each query."""
-            for begin in range(0, len(rows), 256):
-                near = np.argsort(gaps(centres.place(rows[begin : begin + 256]), centres.matrix), axis=1, kind="stable")
-                for own in near:
+        unit, step = self.unit, max(1, min(256, BROADCAST_PAIRS // len(centres.cells)))
+
+        def ranked(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+            """Positions of the cells from the nearest on, how far they are, and how many are read, for each query."""
+            for begin in range(0, len(rows), step):
+                apart = gaps(centres.place(rows[begin : begin + step]), centres.matrix)
+                for own, far in zip(np.argsort(apart, axis=1, kind="stable"), apart):
                     if nprobe is not None:
-                        yield own[:nprobe]
+                        yield own, far, min(nprobe, len(own))
                     else:
                         held = np.cumsum(sizes[own])
                         # The cell that passes the share is left out, so no more than the share is read; one cell at least.
-                        yield own[: max(1, int(np.searchsorted(held, share * held[-1], "right")))]
+                        yield own, far, max(1, int(np.searchsorted(held, share * held[-1], "right")))
+
+        def closest(rows: np.ndarray) -> Iterator[np.ndarray]:
+            """Positions of the cells to read, for each query."""
+            return (own[:count] for own, _, count in ranked(rows))
 
         if bounded is None:
             if exact:
                 return knn(self.vectors().select("id", "embedding"), queries, k, self.metric, max_broadcast_values)
             return self._shuffled(centres, queries, k, closest)
         query_ids, matrix = bounded
-        chosen = list(closest(matrix))
-        if exact:
-            first = self._scan(centres, query_ids, matrix, chosen, k)
-            last = first.groupBy("query_id").agg(F.max("distance").alias("far"), F.count("*").alias("n")).collect()  # a row per query
-            far = {r.query_id: r.far for r in last if r.n == k}
-            reach = np.array([far.get(int(q), np.inf) for q in query_ids])
-            reach = np.sqrt(2 * np.maximum(reach, 0)) if self.unit else reach
-            chosen = []
-            for begin in range(0, len(matrix), 256):
-                apart = np.sqrt(gaps(centres.place(matrix[begin : begin + 256]), centres.matrix))
+        chosen = _few(closest(matrix))
+        if chosen is not None:
+            found = self._scan(centres, query_ids, matrix, chosen, k)
+        else:
+            limit = self._limits(queries, query_ids, ranked)
+            found = self._scan_within(query_ids, matrix, k, centres, lambda at, apart, block: apart <= limit[block])
+        if not exact:
+            return found
+        last = found.groupBy("query_id").agg(F.max("distance").alias("far"), F.count("*").alias("n")).collect()  # a row per query
+        far = {r.query_id: r.far for r in last if r.n == k}
+        reach = np.array([far.get(int(q), np.inf) for q in query_ids])
+        reach = np.sqrt(2 * np.maximum(reach, 0)) if unit else reach
+
+        def reached(rows: np.ndarray) -> Iterator[np.ndarray]:
+            for begin in range(0, len(rows), step):
+                apart = np.sqrt(gaps(centres.place(rows[begin : begin + step]), centres.matrix))
                 # Distances are rounded, so cells that only touch the reach are read as well.
-                chosen += [np.flatnonzero(a - radius <= r + 1e-4) for a, r in zip(apart, reach[begin : begin + 256])]
-        if sum(map(len, chosen)) > BROADCAST_PAIRS:
-            place = {int(q): cells for q, cells in zip(query_ids, chosen)}
-            return self._shuffled(centres, queries, k, None, place)
-        return self._scan(centres, query_ids, matrix, chosen, k)
+                yield from (np.flatnonzero(a - radius <= r + 1e-4) for a, r in zip(apart, reach[begin : begin + step]))
+
+        chosen = _few(reached(matrix))
+        if chosen is not None:
+            return self._scan(centres, query_ids, matrix, chosen, k)
+        return self._scan_within(
+            query_ids, matrix, k, centres, lambda at, apart, block: np.sqrt(apart) - radius[at][:, None] <= reach[block] + 1e-4
+        )
+
+    def _limits(self, queries: DataFrame, query_ids: np.ndarray, ranked: Callable) -> np.ndarray:
+        """How far from each query the cells lie that it reads: a number per query, found where the queries lie."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                limit = [
+                    (far[own[count - 1]] + far[own[count]]) / 2 if count < len(own) else np.inf
+                    for own, far, count in ranked(to_matrix(batch.column("embedding")))
+                ]
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), pa.array(limit, pa.float64())], names=["query_id", "reach"])
+
+        asked = queries.filter(F.col("embedding").isNotNull()).select(F.col("query_id").cast("long"), "embedding")
+        asked = asked.repartition(max(1, len(query_ids) // LIMIT_QUERIES))
+        # Of an id that repeats the wider limit holds.
+        found = asked.mapInArrow(run, "query_id long, reach double").groupBy("query_id").agg(F.max("reach").alias("reach")).toArrow()
+        found = found.sort_by("query_id")
+        return np.asarray(found["reach"])[np.searchsorted(np.asarray(found["query_id"]), query_ids)]
+
+    def _scan_within(self, query_ids: np.ndarray, matrix: np.ndarray, k: int, centres: Centres, inside: Callable) -> DataFrame:
+        """For more pairs of query and cell than are listed: every task has all queries and tells from its cells' centres which they read.
+
+        ``inside`` gets positions of cells, how far they are from the queries of a block, and the positions of these queries.
+        """
+        metric, placed = self.metric, centres.place(matrix)
+        order = np.argsort(centres.cells, kind="stable")
+        names = centres.cells[order]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = Nearest(matrix, k, metric)
+            for batch in batches:
+                here, row = np.unique(np.asarray(batch.column("cell")), return_inverse=True)
+                at = order[np.searchsorted(names, here)]
+
+                def read(block: np.ndarray) -> np.ndarray:
+                    return inside(at, gaps(centres.matrix[at], placed[block]), block)[row]
+
+                best.add(np.asarray(batch.column("id"), dtype=np.int64), to_matrix(batch.column("embedding"), matrix.shape[1]), read=read)
+            yield best.result(query_ids)
+
+        partial = self.vectors().select("id", "embedding", "cell").mapInArrow(run, HITS)
+        return top_k_per_group(partial, ["query_id"], [F.col("distance"), F.col("id")], k)
 
     def _scan(self, centres: Centres, query_ids: np.ndarray, matrix: np.ndarray, chosen: list[np.ndarray], k: int) -> DataFrame:
         """The cells are read where they lie; each task keeps ``k`` rows per query."""
@@ -309,18 +380,13 @@ class StoredCells:
         partial = self.vectors(wanted).select("id", "embedding", "cell").mapInArrow(run, HITS)
         return top_k_per_group(partial, ["query_id"], [F.col("distance"), F.col("id")], k)
 
-    def _shuffled(
-        self, centres: Centres, queries: DataFrame, k: int, closest: Callable | None, place: dict[int, np.ndarray] | None = None
-    ) -> DataFrame:
+    def _shuffled(self, centres: Centres, queries: DataFrame, k: int, closest: Callable) -> DataFrame:
         """Queries are sent to their cells; a cell of many rows, or of many queries, is cut into blocks."""
         metric, dim = self.metric, centres.matrix.shape[1]
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if closest is not None:
-                    own = list(closest(to_matrix(batch.column("embedding"), dim)))
-                else:
-                    own = [place.get(int(q), np.zeros(0, np.int64)) for q in batch.column("query_id").to_pylist()]
+                own = list(closest(to_matrix(batch.column("embedding"), dim)))
                 times = np.repeat(np.arange(batch.num_rows), [len(c) for c in own])
                 cell = centres.cells[np.concatenate(own)] if own else np.zeros(0, np.int64)
                 for begin in range(0, len(times), 50_000):
