@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftgraph.operators import text
+from weftgraph.operators import hybrid, text
 
 CLAUSE = "query_id long, clause string, role string, kind string, text string, boost double"
 
@@ -55,3 +55,33 @@ def test_fuzzy_terms_are_those_one_edit_away(spark):
         return a == b or a in cut(b) or b in cut(a) or (len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1)
 
     assert sorted(map(tuple, found)) == sorted((i, t) for i, w in enumerate(asked) for t in terms if near(w, t))
+
+
+def test_a_task_writes_postings_of_one_part(spark, tmp_path):
+    """Parts that a hash put together were sorted in one task, which held several times its share."""
+    texts = spark.range(0, 400, 1, 3).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.col("id")) for i in range(8)]).alias("text"))
+    text.build_text_index(texts, "text").write(str(tmp_path / "index"))
+    writers: dict[str, set] = {}
+    for file in (tmp_path / "index" / "postings").rglob("*.parquet"):
+        if file.parent.name != f"part={text.DOCUMENT_PART}":
+            writers.setdefault(file.name.split("-")[1], set()).add(file.parent.name)
+    assert len(writers) == text.PARTS and all(len(parts) == 1 for parts in writers.values())
+
+
+def test_postings_are_written_by_more_tasks_for_more_splits(spark, tmp_path):
+    texts = spark.range(0, 64, 1, 16).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.col("id")) for i in range(200)]).alias("text"))
+    text.build_text_index(texts, "text").write(str(tmp_path / "index"))
+    files = {f.name.split("-")[1] for f in (tmp_path / "index" / "postings").rglob("*.parquet")}
+    assert len(files) > 3 * text.PARTS
+
+
+def test_a_match_searches_equal_queries_once(spark, monkeypatch):
+    nodes, index = documents(spark).select("id"), text.build_text_index(documents(spark), "text")
+    clauses = spark.createDataFrame([(q, "term", "should", "term", "graph" if q % 2 else "data", 1.0) for q in range(12)], CLAUSE)
+    seen, score = [], text.score
+    monkeypatch.setattr(hybrid, "score", lambda i, c, kinds: seen.append(c.select("query_id").distinct().count()) or score(i, c, kinds))
+    whole = score(index, clauses, ["term"]).select("id").distinct().count()
+    assert hybrid.text_match(nodes, index, clauses).count() == whole > 0
+    vectors = nodes.limit(0).withColumn("embedding", F.array(F.lit(1.0)))
+    assert hybrid.candidates(nodes, index, clauses, vectors).count() == whole
+    assert seen == [2, 2]

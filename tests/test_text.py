@@ -248,3 +248,28 @@ def test_frequent_phrases_leave_the_postings_of_words_alone(spark, nodes, tmp_pa
     assert "tf_next" in plan and "/postings" not in plan
     pairs = stored.pair_postings(spark.createDataFrame([("machine learning",)], "term string"))
     assert sorted((r.id, r.tf, r.tf_next, r.positions) for r in pairs.collect()) == [(1, 1, 1, [0]), (4, 3, 2, [1])]
+
+
+def test_pairs_are_added_to_a_stored_index(spark, nodes, tmp_path):
+    plain = text.build_text_index(nodes, "text")
+    asked = clauses(spark, ("should", "phrase", "machine learning"), ("should", "phrase", "learning machine"))
+    want = [tuple(r) for r in text.text_search(plain.write(str(tmp_path / "whole"), pairs=True), asked).orderBy("rank").collect()]
+    stored = plain.write(str(tmp_path / "later"))
+    paired = stored.with_pairs(plain)
+    assert paired.pairs and not stored.pairs and paired.pair_postings(spark.createDataFrame([("machine learning",)], "term string").limit(1)).count() == 2
+    assert [tuple(r) for r in text.text_search(paired, asked).orderBy("rank").collect()] == want != []
+    assert paired.add(text.build_text_index(nodes.filter("id < 0"), "text")).pairs
+    with pytest.raises(ValueError):
+        paired.with_pairs(plain)
+
+
+def test_queries_of_single_terms_need_no_pairs(spark, small, monkeypatch):
+    """Pairs are written when a phrase is asked for."""
+    from weftgraph.catalog import stored, text_queries
+
+    monkeypatch.setattr(stored, "WRITTEN", {})
+    made = []
+    write = text.TextIndex._write_pairs
+    monkeypatch.setattr(text.TextIndex, "_write_pairs", lambda self, *a: made.append(1) or write(self, *a))
+    assert text_queries.t2(spark, small).count() and not made
+    assert text_queries.phrase_index(spark, small).pairs and len(made) == 1

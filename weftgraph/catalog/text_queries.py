@@ -68,17 +68,27 @@ def documents(spark, folder) -> DataFrame:
     return table_graph(spark, folder).nodes("Document")
 
 
-def stored_index(spark, folder: str, name: str, properties, pairs: bool = False, **how) -> text.TextIndex:
+def stored_index(spark, folder: str, name: str, properties, **how) -> text.TextIndex:
     """The index ``name`` over the documents, stored for the session."""
 
     def make(path: str) -> text.TextIndex:
-        return text.build_text_index(spread(documents(spark, folder), "id"), properties, **how).write(path, pairs)
+        return text.build_text_index(spread(documents(spark, folder), "id"), properties, **how).write(path)
 
     return written(f"text-{name}", read_table(spark, folder, "documents"), make)
 
 
 def document_index(spark, folder) -> text.TextIndex:
-    return stored_index(spark, folder, "text", "text", pairs=True)
+    return stored_index(spark, folder, "text", "text")
+
+
+def phrase_index(spark, folder) -> text.TextIndex:
+    """The same index with pairs of frequent words, stored beside it when a phrase is first asked for."""
+
+    def make(path: str) -> text.TextIndex:
+        source = text.build_text_index(spread(documents(spark, folder), "id"), "text")
+        return document_index(spark, folder).with_pairs(source)
+
+    return written("text-pairs", read_table(spark, folder, "documents"), make)
 
 
 def item_terms(spark, folder) -> DataFrame:
@@ -202,7 +212,7 @@ def t4(spark, folder):
         F.array_join(F.slice(words, F.greatest(F.col("__at") - 1, F.lit(1)), F.lit(2)), " ").alias("text"),
         F.lit(1.0).alias("boost"),
     )
-    return rounded(text.text_search(document_index(spark, folder), clauses, 10, ["phrase"]))
+    return rounded(text.text_search(phrase_index(spark, folder), clauses, 10, ["phrase"]))
 
 
 LONGEST = """SELECT DISTINCT t.query_id, '{kind}:' || {form} AS clause, 'should' AS role, {form} AS term, 1.0 AS boost FROM item_terms t

@@ -19,15 +19,17 @@ DOCUMENT_MARK = ""
 #: Documents handled at once, to bound memory whatever the batch size of the session.
 SLICE = 500
 #: Tokens handled at once where documents are handled by their length.
-SLICE_TOKENS = 500_000
+SLICE_TOKENS = 2_000_000
 
 POSTING = "id long, dl long, term string, tf long"
 #: Of two neighbouring words: both names, how often the document has either, where the first one stands.
 PAIR = f"{POSTING}, tf_next long, positions array<int>"
 
 #: The same by block: the postings of a term in a run of documents are one row, with a list per column.
-BLOCK = "term string, id array<long>, dl array<long>, tf array<long>, positions array<array<int>>"
-PAIR_BLOCK = "term string, id array<long>, dl array<long>, tf array<long>, tf_next array<long>, positions array<array<int>>"
+BLOCK = "term string, id array<long>, dl array<int>, tf array<int>, positions array<array<int>>"
+PAIR_BLOCK = "term string, id array<long>, dl array<int>, tf array<int>, tf_next array<int>, positions array<array<int>>"
+#: Columns of numbers that fit 32 bits, as no document has more tokens.
+COUNTS = ("dl", "tf", "tf_next")
 
 
 def in_slices(batch: pa.RecordBatch, columns: list[str]):
@@ -47,7 +49,8 @@ def to_blocks(postings: pa.RecordBatch) -> pa.RecordBatch:
     offsets = np.r_[0, np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))].astype(np.int32)
     rows = postings.take(pa.array(np.argsort(codes, kind="stable")))
     names = [n for n in postings.schema.names if n != "term"]
-    lists = [pa.ListArray.from_arrays(pa.array(offsets), rows.column(n)) for n in names]
+    columns = [rows.column(n).cast(pa.int32()) if n in COUNTS else rows.column(n) for n in names]
+    lists = [pa.ListArray.from_arrays(pa.array(offsets), c) for c in columns]
     return pa.RecordBatch.from_arrays([coded.dictionary, *lists], names=["term", *names])
 
 

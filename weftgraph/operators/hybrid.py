@@ -14,7 +14,7 @@ from weftgraph.functions.fusion import min_max, rows_before
 from weftgraph.functions.nearest import TIE_DECIMALS, best_rows, pair_distances, to_matrix
 from weftgraph.functions.text import SCORE_DECIMALS
 from weftgraph.operators.match import reached_nodes
-from weftgraph.operators.text import TextIndex, score
+from weftgraph.operators.text import TextIndex, asked_once, score
 from weftgraph.operators.vector import BROADCAST_VALUES, collect_queries, knn, usable
 from weftgraph.plans.materialize import materialize
 from weftgraph.plans.ordering import check_limit, top_k_per_group
@@ -62,12 +62,14 @@ def text_and_vector_scores(hits: DataFrame, vectors: DataFrame, queries: DataFra
 
 
 def text_match(nodes: DataFrame, index: TextIndex, clauses: DataFrame, kinds=("term",)) -> DataFrame:
-    """Nodes that satisfy at least one of the queries."""
+    """Nodes that satisfy at least one of the queries; queries that ask the same are searched once."""
+    clauses, _ = asked_once(clauses)
     return nodes.join(score(index, clauses, kinds).select("id").distinct(), "id", "left_semi")
 
 
 def candidates(nodes: DataFrame, index: TextIndex, clauses: DataFrame, vectors: DataFrame, kinds=("term",)) -> DataFrame:
     """Nodes that match a query or have an embedding, with both facts as columns."""
+    clauses, _ = asked_once(clauses)
     matched = score(index, clauses, kinds).select("id").distinct().withColumn("__text", F.lit(True))
     embedded = usable(vectors).select("id").withColumn("__vector", F.lit(True))
     rows = nodes.join(matched, "id", "left").join(embedded, "id", "left")

@@ -19,7 +19,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftgraph.functions.postings import BLOCK, DOCUMENT_MARK, PAIR_BLOCK, POSTING, SLICE, distinct_terms, form_pairs, form_postings, in_slices, to_blocks
+from weftgraph.functions.postings import BLOCK, COUNTS, DOCUMENT_MARK, PAIR_BLOCK, POSTING, SLICE, distinct_terms, form_pairs, form_postings, in_slices, to_blocks
 from weftgraph.functions.text import SCORE_DECIMALS, bm25, half_keys, one_edit_keys, prefix_keys, snippet, tokens
 from weftgraph.operators.filters import where_in
 from weftgraph.plans.materialize import materialize
@@ -34,6 +34,8 @@ LANGUAGES = {"english": "en", "german": "de", "french": "fr", "spanish": "es", "
 PARTS = 64
 #: The part that holds one row per document instead of postings.
 DOCUMENT_PART = -1
+#: Tasks that write postings for each split of the input.
+SPLIT_TASKS = 16
 #: Parts of the table of prefixes and shortened forms, by a hash of the key.
 KEY_PARTS = 16
 #: Most terms named one by one in a filter on the postings.
@@ -108,11 +110,15 @@ class TextIndex:
 
     def _write_blocks(self, blocks: DataFrame, path: str) -> None:
         """One folder per part, sorted by term inside a file. A part is dealt to tasks by term and first document, so a term
-        of every document is spread too; the number of tasks grows with the splits of the input.
+        of every document is spread too; the number of tasks grows with the splits of the input. Tasks are named
+        outright: a hash of part and share would put several into one task, which has to sort them all.
         """
-        tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 4 * self.lists.rdd.getNumPartitions())
-        share = F.pmod(F.xxhash64("term", F.col("id")[0]), F.lit(max(1, tasks // PARTS)))
-        rows = blocks.repartition(tasks, "part", share).sortWithinPartitions("part", "term")
+        tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), SPLIT_TASKS * self.lists.rdd.getNumPartitions())
+        shares = max(1, tasks // PARTS)
+        share = F.pmod(F.xxhash64("term", F.col("id")[0]), F.lit(shares))
+        # The rows of the documents go with the first part.
+        place = F.greatest("part", F.lit(0)) * shares + share
+        rows = blocks.repartitionById(PARTS * shares, place.cast("int")).sortWithinPartitions("part", "term")
         rows.write.mode("overwrite").partitionBy("part").parquet(path)
 
     def _stored(self, name: str, *wanted: Column) -> DataFrame:
@@ -241,6 +247,13 @@ class TextIndex:
         """
         return self._write_segment(TextIndex(path=path, spark=self.spark, pairs=pairs))
 
+    def with_pairs(self, source: "TextIndex") -> "TextIndex":
+        """This stored index of one segment, written without pairs, with those of ``source``, the text it was formed from."""
+        if self.pairs or self.segments != 1:
+            raise ValueError("pairs are added to an index of one segment that has none")
+        source._write_pairs(TextIndex(path=self.path, spark=self.spark), "segment=0")
+        return TextIndex(path=self.path, spark=self.spark, segments=1, gone=self.gone, pairs=True)
+
     def add(self, new: "TextIndex") -> "TextIndex":
         """This stored index with the documents of ``new``, which is formed from text the same way; their ids must be new."""
         return new._write_segment(self)
@@ -291,7 +304,9 @@ class TextIndex:
 def _opened(blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per posting of rows of lists; lists that are not among ``columns`` are not read."""
     others = [c for c in ("term", "part", "segment") if c in blocks.columns]
-    return blocks.select(*others, F.explode(F.arrays_zip(*columns)).alias("__one")).select(*others, *[F.col("__one")[c].alias(c) for c in columns])
+    one = {c: F.col("__one")[c] for c in columns}
+    named = [(one[c].cast("long") if c in COUNTS else one[c]).alias(c) for c in columns]
+    return blocks.select(*others, F.explode(F.arrays_zip(*columns)).alias("__one")).select(*others, *named)
 
 
 def term_part() -> Column:
@@ -537,12 +552,12 @@ def text_search(
     check_limit(limit)
     if index is None:
         return clauses.sparkSession.createDataFrame([], "query_id long, id long, score double, rank int")
-    clauses, same = _asked_once(clauses)
+    clauses, same = asked_once(clauses)
     best = top_k_per_group(score(index, clauses, kinds), ["query_id"], [F.desc("score"), F.col("id")], limit)
     return best.withColumnRenamed("query_id", "__first").join(broadcast_if_small(same), "__first").select("query_id", "id", "score", "rank")
 
 
-def _asked_once(clauses: DataFrame) -> tuple[DataFrame, DataFrame]:
+def asked_once(clauses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The clauses of one of the queries that ask the same, and ``__first, query_id``: that query and each it stands for.
 
     Many short queries are often alike; searched one by one, their hits would grow with their number times the documents.
