@@ -82,3 +82,16 @@ def test_graph_and_vector(spark):
     starts = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<float>")
     found = hybrid.hybrid_search(edges, starts, vectors, top_k=5)
     assert [(r.id, r.depth, r.rank) for r in found.orderBy("rank").collect()] == [(3, 2, 1), (2, 1, 2)]
+
+
+def test_hits_stay_where_they_are_for_missing_places(spark, lists, monkeypatch):
+    """A few rows per query go to all hits; a shuffle of these would grow with queries times documents."""
+    plans, places = [], hybrid._places
+    monkeypatch.setattr(hybrid, "_places", lambda rows: plans.append(rows._jdf.queryExecution().executedPlan().toString()) or places(rows))
+    monkeypatch.setattr(hybrid, "broadcast_if_small", lambda df: df.hint("broadcast"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert as_dict(hybrid.rrf_search(*frames(spark, lists), 3)) == expected_rrf(lists, 3)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in plans[0]

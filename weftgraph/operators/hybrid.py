@@ -114,7 +114,7 @@ def rrf_search(
         )
     hits = materialize(hits.select("query_id", "id", "score"))
     by_text = top_k_per_group(hits, ["query_id"], [F.desc("score"), F.col("id")], depth)
-    by_text = by_text.select("query_id", "id", "rank")
+    by_text = materialize(by_text.select("query_id", "id", "rank"))
     if len(bounded[0]) == 0:
         return fuse_ranks([by_text], k, constant)
     near = materialize(knn(vectors, queries, depth, "cosine", max_broadcast_values).select("query_id", "id", "rank"))
@@ -176,7 +176,9 @@ def _ranks(partial: DataFrame) -> DataFrame:
 
 def _missing_text_ranks(hits: DataFrame, by_text: DataFrame, near: DataFrame) -> DataFrame:
     """Text places of vector candidates that have a text score but are not among the first hits."""
-    asked = near.join(by_text, ["query_id", "id"], "left_anti").join(hits, ["query_id", "id"])
+    # A bounded number of rows per query goes to the hits, which stay where they are.
+    missing = materialize(near.join(by_text, ["query_id", "id"], "left_anti").select("query_id", "id"))
+    asked = hits.join(broadcast_if_small(missing), ["query_id", "id"])
     places = _places(asked.withColumn("value", -F.col("score")))
 
     def run(batches):
