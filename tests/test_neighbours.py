@@ -98,3 +98,86 @@ def test_small_empty_and_odd_inputs(spark, tmp_path):
             graph.search(asked, **wrong)
     with pytest.raises(ValueError):
         neighbours.build_graph(eye, str(tmp_path / "dot"), "dot")
+
+
+def near(values, keep, pairs):
+    """The ``keep`` nearest of ``pairs`` (src, dst) by squared distance, then id."""
+    best = {}
+    for a, b in pairs:
+        best.setdefault(a, []).append((((values[a] - values[b]) ** 2).sum(), b))
+    return {(a, b) for a, found in best.items() for _, b in sorted(found)[:keep]}
+
+
+def test_a_round_leaves_out_no_pair(spark):
+    """Rounds against all pairs of every group, though pairs that have met are not compared again."""
+    rng, keep = np.random.default_rng(5), 4
+    values = rng.standard_normal((150, 6))
+    links = {(a, int(b)) for a in range(150) for b in rng.choice([x for x in range(150) if x != a], keep, replace=False)}
+    vectors = spark.createDataFrame([(i, v.tolist(), i // 50) for i, v in enumerate(values)], "id long, embedding array<double>, block int")
+    rows = [(a, b, float(((values[a] - values[b]) ** 2).sum()), True) for a, b in links]
+    stored, before = spark.createDataFrame(rows, "src long, dst long, gap double, fresh boolean"), None
+    for _ in range(4):
+        stored, before = neighbours._improved(vectors, 3, stored, False, keep, before)
+        back = {(b, a) for a, b in near(values, keep, {(b, a) for a, b in links})}
+        groups = {v: {v} | {b for a, b in links if a == v} | {a for a, b in back if b == v} for v in range(150)}
+        links = near(values, keep, links | {(a, b) for group in groups.values() for a in group for b in group if a != b})
+        assert {(r.src, r.dst) for r in stored.collect()} == links
+
+
+def test_a_vector_goes_to_a_block_once(spark, tmp_path, monkeypatch):
+    """What a round moves are at most so many copies of a vector as there are blocks, not one for each group it is in."""
+    rows = frame(spark, np.random.default_rng(7).standard_normal((600, 8)).astype(np.float32))
+    moved, kind = [], type(rows)
+    plain = kind.mapInArrow
+
+    def seen(df, func, schema, *more, **named):
+        if "reach" in df.columns:
+            moved.append(df.filter("embedding is not null"))
+        return plain(df, func, schema, *more, **named)
+
+    monkeypatch.setattr(kind, "mapInArrow", seen)
+    monkeypatch.setattr(neighbours, "BLOCKS", 3, raising=False)
+    neighbours.build_graph(rows, str(tmp_path / "moved"), "l2", rounds=2)
+    assert len(moved) >= 1 and all(df.count() <= 3 * 600 for df in moved)
+
+
+def test_blocks_are_even(spark, monkeypatch):
+    """A cell with most rows is dealt among blocks; a vector of many numbers makes more of them."""
+    cells = [0] * 900 + [1] * 50 + [2**20 + 3] * 250
+    placed = spark.createDataFrame([(i, [1.0], c, c // 2**20) for i, c in enumerate(cells)], "id long, embedding array<float>, cell int, grp int")
+    monkeypatch.setattr(neighbours, "BLOCKS", 4)
+    rows, blocks = neighbours._in_blocks(placed, 1)
+    sizes = {r.block: r["count"] for r in rows.groupBy("block").count().collect()}
+    assert blocks == 4 and set(sizes) == {0, 1, 2, 3} and sum(sizes.values()) == 1200 and max(sizes.values()) <= 400
+    monkeypatch.setattr(neighbours, "BLOCK_VALUES", 100 * 64)
+    assert neighbours._in_blocks(placed, 64)[1] == 12
+
+
+@pytest.mark.parametrize("ef", [5, 20, 80])
+def test_a_beam_is_what_a_walk_with_a_list_of_all_seen_finds(spark, tmp_path, monkeypatch, ef):
+    rng = np.random.default_rng(11)
+    values, asked = rng.standard_normal((500, 8)), rng.standard_normal((6, 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, embedding array<double>")
+    graph = neighbours.build_graph(rows, str(tmp_path / "walk"), "l2", links=4)
+    kept, plain = [], neighbours.materialize
+
+    def keep(df):
+        kept.append(df.columns)
+        return plain(df)
+
+    monkeypatch.setattr(neighbours, "materialize", keep)
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id long, embedding array<double>")
+    found = {(r.query_id, r["rank"]): r.id for r in graph.search(queries, 5, ef).collect()}
+    # Links of rows that did not come into a beam are neither stored nor moved.
+    assert kept and not any("links" in columns for columns in kept)
+    nodes = {r.id: r for r in graph.nodes.collect()}
+    centres = neighbours._read_centres(graph.cells.cells, False)
+    for q, point in enumerate(asked):
+        first = set(centres.cells[neighbours.near_cells(centres, point[None], neighbours.ENTRY_CELLS)[0]])
+        new = {i for i, r in nodes.items() if r.cell in first}
+        beam, seen = [], set()
+        while new:
+            seen |= new
+            beam = sorted(beam + [(round(float(np.sqrt(((values[i] - point) ** 2).sum())), 12), i) for i in new])[:ef]
+            new = {link.id for _, i in beam if i in new for link in nodes[i].links} - seen
+        assert [found[q, r] for r in range(1, 6)] == [i for _, i in beam[:5]]

@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by a stored graph: NN-descent makes the links, a beam of ``ef`` rows walks them.
 
 Every vector is compared with a bounded number of vectors of its nearest cells. The links found are then improved in
-rounds: the neighbours of a vector, and those it is a neighbour of, are brought together in one row group and compared
-with each other (Dong, Moses and Li, 2011). A group has at most ``2 * POOL * links + 1`` members, so
-no vector, however many it is near to, makes a large one.
+rounds: the neighbours of a vector, and those it is a neighbour of, are a row group of ids and are compared
+with each other (Dong, Moses and Li, 2011), unless they were a round ago. A group has at most ``2 * POOL * links + 1`` members, so
+no vector, however many it is near to, makes a large one. Groups are dealt to blocks of alike vectors, and a vector
+goes to a block once for all groups that it is in there.
 
 Stored vectors carry their links, with the cell of each linked vector, and lie in one folder per group of cells. A round of
-a search is one scan: it reads what the beams' new rows link to, by literals on folders and cells.
+a search is two scans, by literals on folders and cells: of the links of the beams' new rows, and of the vectors they lead to.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,7 @@ from weftgraph.operators.cells import GROUP_CELLS, NEAR_GROUPS, Centres, StoredC
 from weftgraph.operators.vector import empty_hits, usable
 from weftgraph.plans.materialize import materialize, write_table
 from weftgraph.plans.ordering import check_limit, top_k_per_group
-from weftgraph.plans.sizing import broadcast_if_small
+from weftgraph.plans.sizing import broadcast_if_small, fits
 
 #: Nearest vectors that each one links to; up to as many that link to it are stored beside them.
 LINKS = 16
@@ -36,6 +39,10 @@ POOL = 1.5
 FIRST_CELLS, ENTRY_CELLS = 8, 4
 #: Vectors of a cell that meet in one block, and vectors that come to look at a block before it is read by another task.
 BLOCK, VISITORS = 512, 50_000
+#: Row groups are compared in so many blocks, or in more of at most so many numbers in the vectors that they are the groups of.
+BLOCKS, BLOCK_VALUES = 12, 4_000_000
+#: Found links that wait in a task for the next merge with the nearest ones.
+WAITING = 2_000_000
 #: Most rounds of improvement, and the share of new links below which they end.
 ROUNDS, SETTLED = 8, 0.005
 #: Cells named one by one in a filter.
@@ -83,7 +90,7 @@ def _to_cells(vectors: DataFrame, centres: Centres, count: int, key: str) -> Dat
 
 def _nearest_links(found: DataFrame, links: int) -> DataFrame:
     """The ``links`` nearest distinct ones of every vector; a ``fresh`` link is in no row that was there before."""
-    merged = found.groupBy("src", "dst").agg(F.min("gap").alias("gap"), F.min("fresh").alias("fresh"))
+    merged = found.repartition("src").groupBy("src", "dst").agg(F.min("gap").alias("gap"), F.min("fresh").alias("fresh"))
     return top_k_per_group(merged, ["src"], [F.col("gap"), F.col("dst")], links).drop("rank")
 
 
@@ -147,59 +154,137 @@ def _as_links(src: np.ndarray, dst: np.ndarray, gap: np.ndarray) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array(src[real]), pa.array(dst[real]), pa.array(gap[real])], names=["src", "dst", "gap"])
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """The rows of a sorted task in tables that no group is cut by."""
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        names = np.asarray(table[key])
-        last = int(np.searchsorted(names, names[-1]))
-        if last:
-            yield table.slice(0, last)
-        rest = table.slice(last)
-    if rest is not None:
-        yield rest
-
-
-def _improved(vectors: DataFrame, links: DataFrame, unit: bool, keep: int) -> DataFrame:
-    """One round: what surrounds a vector is compared with each other, and every member keeps its nearest ones."""
+def _in_blocks(placed: DataFrame, dim: int) -> tuple[DataFrame, int]:
+    """``id, embedding, block`` of all vectors, and the number of blocks: runs of cells of equal size. A cell that reaches
+    into several is dealt among them by a hash of the id."""
+    table = placed.groupBy("grp", "cell").agg(F.count("*").alias("n")).toArrow().sort_by([("grp", "ascending"), ("cell", "ascending")])
+    ends = np.cumsum(np.asarray(table["n"], dtype=np.int64))
+    size = max(1, min(math.ceil(int(ends[-1]) / BLOCKS), BLOCK_VALUES // max(1, dim)))
+    first, last = np.r_[0, ends[:-1]] // size, (ends - 1) // size
+    homes = pa.table({"cell": table["cell"], "first": pa.array(first.astype(np.int32)), "last": pa.array(last.astype(np.int32))})
+    block = F.col("first") + F.pmod(F.xxhash64("id", F.lit("home")), F.col("last") - F.col("first") + 1).cast("int")
+    homes = broadcast_if_small(placed.sparkSession.createDataFrame(homes))
+    return placed.join(homes, "cell").select("id", "embedding", block.alias("block")), int(last[-1]) + 1
+
+
+def _improved(vectors: DataFrame, blocks: int, links: DataFrame, unit: bool, keep: int, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """One round: what surrounds a vector is compared with each other, and every member keeps its nearest ones.
+
+    Two that were both there a round ago have been compared, so a pair has one that is new, and groups without are left out.
+    A row group is only ids. It goes to the block of its vector, and the vectors of all members go there once, however many groups
+    of the block they are in; a block merges what it finds. ``before`` has the back links of the round before; this round's are returned too.
+    """
+    back = write_table(_back_links(links, keep), "graph-back")
+    around = [links.select("src", "dst", F.col("fresh").alias("new"), F.lit(True).alias("now"))]
+    around.append(back.select("src", "dst", F.lit(True).alias("new"), F.lit(True).alias("now")))
+    around.append(vectors.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(False).alias("new"), F.lit(True).alias("now")))
+    if before is not None:
+        around.append(before.select("src", "dst", F.lit(False).alias("new"), F.lit(False).alias("now")))
+    each = reduce(DataFrame.unionByName, around).repartition("src").groupBy("src", "dst").agg(F.min("new").alias("new"), F.max("now").alias("now"))
+    groups = each.filter("now").groupBy("src").agg(
+        F.collect_list(F.when(F.col("new"), F.col("dst"))).alias("fresh"), F.collect_list(F.when(~F.col("new"), F.col("dst"))).alias("known")
+    )
+    homes = vectors.select(F.col("id").alias("src"), "block")
+    groups = write_table(groups.filter(F.size("fresh") > 0).join(homes, "src").select("block", "fresh", "known"), "graph-groups")
+    wanted = groups.select("block", F.explode(F.concat("fresh", "known")).alias("id")).distinct()
     far = links.groupBy("src").agg(F.max("gap").alias("far"), F.count("*").alias("n"))
     reach = F.when(F.col("n") >= keep, F.col("far")).otherwise(F.lit(float("inf")))
-    members = vectors.join(far, F.col("id") == F.col("src"), "left").select(F.col("id").alias("dst"), "embedding", reach.alias("reach"))
-    around = links.select("src", "dst").unionByName(_back_links(links, keep)).distinct()
-    around = around.unionByName(vectors.select(F.col("id").alias("src"), F.col("id").alias("dst")))
-    rows = around.join(members, "dst").select("src", "dst", "embedding", "reach").repartition("src").sortWithinPartitions("src")
+    members = vectors.drop("block").join(far, F.col("id") == F.col("src"), "left").select("id", "embedding", reach.alias("reach"))
+    members = wanted.join(members, "id").select("block", "id", "embedding", "reach")
+    rows = members.withColumn("rows", F.lit(0)).unionByName(groups.withColumn("rows", F.lit(1)), allowMissingColumns=True)
+    rows = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, "src"):
-            src, ids, reach = (np.asarray(table[c]) for c in ("src", "dst", "reach"))
-            matrix = to_matrix(table["embedding"])
-            matrix = unit_rows(matrix) if unit else matrix
-            cuts = np.flatnonzero(np.r_[True, src[1:] != src[:-1], True])
-            for first in range(0, len(cuts) - 1, 64):
-                begin, end = cuts[first : first + 64][: len(cuts) - 1 - first], cuts[first + 1 : first + 65]
-                # Groups side by side, filled up with places that are nobody.
-                place = begin[:, None] + np.arange((end - begin).max())[None, :]
-                there = place < end[:, None]
-                place = np.where(there, place, begin[:, None])
-                block = matrix[place]
-                square = (block**2).sum(axis=2)
-                apart = np.maximum(square[:, :, None] + square[:, None, :] - 2 * block @ block.transpose(0, 2, 1), 0)
-                useful = there[:, :, None] & there[:, None, :] & (apart < reach[place][:, :, None])
-                useful &= ~np.eye(place.shape[1], dtype=bool)[None]
-                apart[~useful] = np.inf
-                kept = min(keep, place.shape[1])
-                best = np.argpartition(apart, kept - 1, axis=2)[:, :, :kept]
-                names = ids[place]
-                other = np.take_along_axis(np.broadcast_to(names[:, None, :], apart.shape), best, axis=2)
-                yield _as_links(names[:, :, None], other, np.take_along_axis(apart, best, axis=2))
+        here, block = None, None
+        for batch in batches:
+            names, kinds = np.asarray(batch.column("block")), np.asarray(batch.column("rows"))
+            cuts = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]) | (kinds[1:] != kinds[:-1]), True])
+            for begin, end in zip(cuts[:-1], cuts[1:]):
+                if here != names[begin]:
+                    if block:
+                        yield block.result()
+                    here, block = names[begin], _Block(unit, keep)
+                part = batch.slice(begin, end - begin)
+                if kinds[begin]:
+                    block.compare(part.column("fresh"), part.column("known"))
+                else:
+                    block.parts.append(part.select(["id", "embedding", "reach"]))
+        if block:
+            yield block.result()
 
     found = rows.mapInArrow(run, LINK).withColumn("fresh", F.lit(True))
     known = links.select("src", "dst", "gap").withColumn("fresh", F.lit(False))
-    return write_table(_nearest_links(known.unionByName(found), keep), "graph-links")
+    return write_table(_nearest_links(known.unionByName(found), keep), "graph-links"), back
+
+
+class _Block:
+    """The vectors of a block, each once, and the nearest links found among them."""
+
+    def __init__(self, unit: bool, keep: int):
+        self.unit, self.keep, self.parts, self.ids = unit, keep, [], None
+        self.found, self.waiting = [(np.zeros(0, np.int64), np.zeros(0))], 0
+
+    def _ready(self) -> None:
+        table = pa.Table.from_batches(self.parts)
+        self.parts = []
+        self.ids, at = np.unique(np.asarray(table["id"], dtype=np.int64), return_index=True)
+        # As they came, at half the size of what is calculated with.
+        lists = table["embedding"].combine_chunks()
+        self.matrix = np.asarray(lists.flatten()).reshape(len(lists), -1)[at]
+        self.reach = np.asarray(table["reach"], dtype=np.float64)[at]
+
+    def compare(self, fresh: pa.Array, known: pa.Array) -> None:
+        """All pairs of each row's ``fresh`` ones, and of these with its ``known`` ones."""
+        if self.ids is None:
+            self._ready()
+        counts = [np.asarray(x.value_lengths(), dtype=np.int64) for x in (fresh, known)]
+        begins = [np.cumsum(n) - n for n in counts]
+        # One place more, for rows without.
+        at = [np.r_[np.searchsorted(self.ids, np.asarray(x.flatten(), dtype=np.int64)), 0] for x in (fresh, known)]
+        for first in range(0, len(fresh), 64):
+            few, old = (n[first : first + 64, None] for n in counts)
+            place = np.arange(int((few + old).max()))[None, :]
+            new, there = place < few, place < few + old
+            # Groups side by side, filled up with places that are nobody.
+            left = np.where(new, begins[0][first : first + 64, None] + place, len(at[0]) - 1)
+            right = np.where(there & ~new, begins[1][first : first + 64, None] + place - few, len(at[1]) - 1)
+            names = np.where(new, at[0][left], at[1][right])
+            rows = self.matrix[names].astype(np.float64)
+            if self.unit:
+                rows = unit_rows(rows.reshape(-1, rows.shape[2])).reshape(rows.shape)
+            square = (rows**2).sum(axis=2)
+            apart = np.maximum(square[:, :, None] + square[:, None, :] - 2 * rows @ rows.transpose(0, 2, 1), 0)
+            useful = (new[:, :, None] & there[:, None, :]) | (there[:, :, None] & new[:, None, :])
+            useful &= (apart < self.reach[names][:, :, None]) & ~np.eye(place.shape[1], dtype=bool)[None]
+            g, i, j = np.nonzero(useful)
+            self.found.append((names[g, i] * len(self.ids) + names[g, j], apart[g, i, j]))
+            self.waiting += len(g)
+            if self.waiting > max(WAITING, len(self.found[0][0]) // 2):
+                self._merge()
+
+    def _merge(self) -> None:
+        """Keep the nearest distinct ones; what is further than these is not looked at any more."""
+        pairs, gap = (np.concatenate(x) for x in zip(*self.found))
+        pairs, at = np.unique(pairs, return_index=True)
+        gap = gap[at]
+        src, dst = np.divmod(pairs, max(1, len(self.ids)))
+        order = np.lexsort((self.ids[dst], gap, src))
+        pairs, gap, src = pairs[order], gap[order], src[order]
+        first = np.searchsorted(src, src)
+        place = np.arange(len(src)) - first
+        full = place == self.keep - 1
+        # Ties at the last place are still compared by id.
+        self.reach[src[full]] = np.minimum(self.reach[src[full]], np.nextafter(gap[full], np.inf))
+        kept = place < self.keep
+        self.found, self.waiting = [(pairs[kept], gap[kept])], 0
+
+    def result(self) -> pa.RecordBatch:
+        if self.ids is None:
+            self._ready()
+        self._merge()
+        pairs, gap = self.found[0]
+        src, dst = np.divmod(pairs, max(1, len(self.ids)))
+        return _as_links(self.ids[src], self.ids[dst], gap)
 
 
 def _back_links(links: DataFrame, keep: int) -> DataFrame:
@@ -235,7 +320,7 @@ class StoredGraph:
         """``query_id, id, distance, rank`` of the best ``k`` that a beam of ``ef`` rows meets; a wider beam is more recall.
 
         A beam begins with the vectors of the closest cells. Each round reads what its new rows link to, for all
-        queries in one scan, and a query is done when its beam has no new row. Queries are a table throughout:
+        queries at once, and a query is done when its beam has no new row. Queries are a table throughout:
         few are sent to the scan, many are joined with it.
         """
         check_limit(k, "k")
@@ -246,24 +331,41 @@ class StoredGraph:
         if not len(centres.cells) or asked.isEmpty():
             return empty_hits(queries)
         wanted, keys = materialize(_to_cells(asked, centres, ENTRY_CELLS, "query_id").select("query_id", "cell")), ["cell"]
-        asked = broadcast_if_small(asked.withColumnRenamed("embedding", "__query"))
+        few = fits(asked)
+        asked = asked.withColumnRenamed("embedding", "__query")
         nearest = [F.col("distance"), F.col("id")]
-        beam, seen = None, None
+        beam = None
         while True:
-            rows = self._named(wanted).join(broadcast_if_small(wanted), keys).join(asked, "query_id")
-            rows = rows.withColumn("distance", F.round(distance("embedding", "__query", metric), TIE_DECIMALS))
-            met = materialize(rows.filter(F.col("distance").isNotNull()).select("query_id", "id", "distance", "links"))
-            hits = met.select("query_id", "id", "distance")
-            beam = hits if beam is None else beam.unionByName(hits)
-            beam = materialize(top_k_per_group(beam, ["query_id"], nearest, ef).drop("rank"))
-            # A vector that has no distance is left out of the hits but not met again either.
-            asked_for = wanted.select("query_id", "id") if "id" in wanted.columns else hits.select("query_id", "id")
-            seen = asked_for if seen is None else seen.unionByName(asked_for)
-            new = met.join(beam.select("query_id", "id"), ["query_id", "id"], "left_semi")
-            new = new.select("query_id", F.explode("links").alias("link")).select("query_id", "link.id", "link.cell").distinct()
-            wanted, keys = materialize(new.join(seen, ["query_id", "id"], "left_anti")), ["cell", "id"]
+            # Links stay behind: only the vectors that come into a beam are asked for theirs.
+            rows = self._named(wanted).select("id", "embedding", "cell").join(broadcast_if_small(wanted), keys)
+            rows = rows.join(F.broadcast(asked) if few else asked, "query_id")
+            met = rows.withColumn("distance", F.round(distance("embedding", "__query", metric), TIE_DECIMALS)).filter(F.col("distance").isNotNull())
+            if beam is not None:
+                last = beam.filter(F.col("rank") == ef).select("query_id", F.col("distance").alias("__last"))
+                met = met.join(F.broadcast(last) if few else last, "query_id", "left")
+                met = met.filter(F.col("__last").isNull() | (F.col("distance") <= F.col("__last")))
+            met = met.select("query_id", "id", "cell", "distance", F.lit(True).alias("new"))
+            both = met if beam is None else met.unionByName(beam.drop("rank").withColumn("new", F.lit(False)))
+            beam = materialize(top_k_per_group(both, ["query_id"], nearest, ef))
+            wanted, keys = materialize(self._linked(beam)), ["cell", "id"]
             if wanted.isEmpty():
-                return top_k_per_group(beam, ["query_id"], nearest, k)
+                return top_k_per_group(beam.select("query_id", "id", "distance"), ["query_id"], nearest, k)
+
+    def _linked(self, beam: DataFrame) -> DataFrame:
+        """``query_id, id, cell`` of what the new rows of the beams link to and is in none.
+
+        What a beam has met and lost is further than its last row, which only comes nearer: it may be met again, but not come
+        in, so no list of all that a query has seen is kept or moved.
+        """
+        new = materialize(beam.filter("new").select("query_id", "id", "cell"))
+        if new.isEmpty():
+            return new
+        found = self._named(new).select("id", "cell", F.col("links").alias("__links")).join(broadcast_if_small(new), ["cell", "id"])
+        found = found.select("query_id", F.explode("__links").alias("link")).select("query_id", "link.id", "link.cell", F.lit(False).alias("there"))
+        found = found.unionByName(beam.select("query_id", "id", "cell", F.lit(True).alias("there")))
+        # One shuffle for distinct rows and for those that are there.
+        found = found.groupBy("query_id", "id").agg(F.min("cell").alias("cell"), F.max("there").alias("there"))
+        return found.filter(~F.col("there")).drop("there")
 
 
 def build_graph(vectors: DataFrame, path: str, metric: str = "cosine", links: int = LINKS, rounds: int = ROUNDS) -> StoredGraph:
@@ -288,8 +390,10 @@ def build_graph(vectors: DataFrame, path: str, metric: str = "cosine", links: in
     placed = write_table(_assigned(usable(vectors), centres).select("id", "embedding", "cell", "grp"), "graph-vectors")
     pool = round(POOL * links)
     found = _first_links(placed, centres, pool)
+    homes, blocks = _in_blocks(placed, centres.matrix.shape[1])
+    back = None
     for _ in range(rounds):
-        found = _improved(placed.select("id", "embedding"), found, stored.unit, pool)
+        found, back = _improved(homes, blocks, found, stored.unit, pool, back)
         changed = found.agg(F.avg(F.col("fresh").cast("int"))).first()[0]
         if not changed or changed < SETTLED:
             break
