@@ -153,12 +153,11 @@ def test_blocks_are_even(spark, monkeypatch):
     assert neighbours._in_blocks(placed, 64)[1] == 12
 
 
-@pytest.mark.parametrize("ef", [5, 20, 80])
-def test_a_beam_is_what_a_walk_with_a_list_of_all_seen_finds(spark, tmp_path, monkeypatch, ef):
+def test_a_beam_is_what_a_walk_with_a_list_of_all_seen_finds(spark, tmp_path, monkeypatch):
     rng = np.random.default_rng(11)
     values, asked = rng.standard_normal((500, 8)), rng.standard_normal((6, 8))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, embedding array<double>")
-    graph = neighbours.build_graph(rows, str(tmp_path / "walk"), "l2", links=4)
+    graph = neighbours.build_graph(rows, str(tmp_path / "walk"), "l2", links=4, rounds=2)
     kept, plain = [], neighbours.materialize
 
     def keep(df):
@@ -167,17 +166,18 @@ def test_a_beam_is_what_a_walk_with_a_list_of_all_seen_finds(spark, tmp_path, mo
 
     monkeypatch.setattr(neighbours, "materialize", keep)
     queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id long, embedding array<double>")
-    found = {(r.query_id, r["rank"]): r.id for r in graph.search(queries, 5, ef).collect()}
-    # Links of rows that did not come into a beam are neither stored nor moved.
-    assert kept and not any("links" in columns for columns in kept)
     nodes = {r.id: r for r in graph.nodes.collect()}
     centres = neighbours._read_centres(graph.cells.cells, False)
-    for q, point in enumerate(asked):
-        first = set(centres.cells[neighbours.near_cells(centres, point[None], neighbours.ENTRY_CELLS)[0]])
-        new = {i for i, r in nodes.items() if r.cell in first}
-        beam, seen = [], set()
-        while new:
-            seen |= new
-            beam = sorted(beam + [(round(float(np.sqrt(((values[i] - point) ** 2).sum())), 12), i) for i in new])[:ef]
-            new = {link.id for _, i in beam if i in new for link in nodes[i].links} - seen
-        assert [found[q, r] for r in range(1, 6)] == [i for _, i in beam[:5]]
+    for ef in (5, 40):
+        found = {(r.query_id, r["rank"]): r.id for r in graph.search(queries, 5, ef).collect()}
+        for q, point in enumerate(asked):
+            first = set(centres.cells[neighbours.near_cells(centres, point[None], neighbours.ENTRY_CELLS)[0]])
+            new = {i for i, r in nodes.items() if r.cell in first}
+            beam, seen = [], set()
+            while new:
+                seen |= new
+                beam = sorted(beam + [(round(float(np.sqrt(((values[i] - point) ** 2).sum())), 12), i) for i in new])[:ef]
+                new = {link.id for _, i in beam if i in new for link in nodes[i].links} - seen
+            assert [found[q, r] for r in range(1, 6)] == [i for _, i in beam[:5]]
+    # Links of rows that did not come into a beam are neither stored nor moved.
+    assert kept and not any("links" in columns for columns in kept)
