@@ -273,3 +273,29 @@ def test_counts_of_pairs_equal_the_pairs(spark):
     for same in (True, False):
         pairs = match.two_hops(edges, edges, same_type=same).groupBy("b").count()
         assert rows(match.pair_counts(edges, edges, same_type=same)) == rows(pairs)
+
+
+def test_every_pair_of_an_order_is_linked(spark):
+    from weftgraph.sources.tables import bought_together, node_id
+
+    lines = spark.createDataFrame(
+        [(1, 3), (1, 5), (1, 9), (1, 5), (2, 5), (2, 9), (3, 7), (None, 1), (None, 2), (4, None), (4, 8)], "l_orderkey long, l_partkey long"
+    )
+    part = lambda c: F.col(c) - node_id("Part", F.lit(0))
+    assert rows(bought_together(lines).select(part("src"), part("dst"))) == [(3, 5), (3, 9), (5, 9)]
+
+
+def test_traversed_edges_include_pairs_without_the_smallest_part(spark, tmp_path):
+    from weftgraph.catalog import all_oracles, all_queries
+    from weftgraph.sources.tables import node_id
+
+    spark.createDataFrame([(1, 3), (1, 5), (1, 9)], "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(i, "PROMO" if i == 9 else "SMALL") for i in (3, 5, 9)], "p_partkey long, p_type string"
+    ).withColumns({c: F.lit("x") for c in ("p_name", "p_brand")}).withColumns({"p_size": F.lit(1), "p_retailprice": F.lit(1.0)}).write.parquet(
+        str(tmp_path / "part.parquet")
+    )
+    part = lambda c: F.col(c) - node_id("Part", F.lit(0))
+    found = all_queries()["j5_traverse_both_edges"](spark, str(tmp_path))
+    assert rows(found.select(part("start"), part("src"), part("dst"))) == [(9, 3, 5), (9, 3, 9), (9, 5, 9)]
+    assert "bought_anchor" not in all_oracles()["j5_traverse_both_edges"]
