@@ -22,3 +22,13 @@ def test_last_round_is_not_written_and_bits_are_compiled(spark):
     assert written() - before == 3  # the starts and two rounds
     assert "lambda" not in plan_of(reached)
     assert {tuple(r) for r in reached.collect()} == {(s, s + d, d) for s in range(70) for d in (1, 2, 3) if s + d <= 100}
+
+
+def test_starts_that_share_a_node_are_one_row(spark):
+    """300 starts meet in one node and go on together: one row per node and round, also on the way there."""
+    edges = spark.createDataFrame([(i, 1000) for i in range(300)] + [(1000, 1001), (1001, 1002)], "src long, dst long")
+    steps = match._steps(edges, "outbound", True)
+    levels, inner = match._sets_reached(steps, match._numbered_starts(spark.range(300)), 3)
+    assert [level.count() for level in levels] == [300, 1, 1, 1]
+    assert inner.count() == 302
+    assert match.reached_nodes(edges, spark.range(300), "outbound", 3).groupBy("depth").count().filter("count = 300").count() == 3
