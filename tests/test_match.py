@@ -49,6 +49,19 @@ def test_edge_is_not_used_twice(spark):
     assert rows(found.groupBy("hops").count()) == [(1, 2), (2, 2)]
 
 
+def test_edges_by_ends_are_not_used_twice(spark):
+    """The path alone tells which pairs were used; reversed pairs that keep their key are still one edge."""
+    links = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 2), (2, 2)], "src long, dst long")
+    edges = match.edges_by_ends(links)
+    numbered = links.withColumn("edge_id", F.xxhash64("src", "dst"))
+    found = match.paths(edges, starts(spark, 1, 2), 1, 5)
+    assert rows(found) == rows(match.paths(numbered, starts(spark, 1, 2), 1, 5)) != []
+    assert match._written_steps(edges.selectExpr("src AS end", "dst AS __next", "edge_id AS __edge"))[1].columns == ["end", "__next"]
+    one = match.edges_by_ends(spark.createDataFrame([(1, 2)], "src long, dst long"))
+    both_ways = one.unionByName(one.selectExpr("dst AS src", "src AS dst", "edge_id"))
+    assert rows(match.paths(both_ways, starts(spark, 1), 1, 3).select("path")) == [([1, 2],)]
+
+
 def test_paths_go_round_a_cycle_once(spark, graph):
     found = match.paths(graph.edges("ROAD"), starts(spark, 1), 2, 4)
     assert rows(found.select("end", "hops")) == [(1, 3), (3, 2), (4, 3)]
