@@ -274,6 +274,18 @@ def test_stored_edges_are_not_moved(spark, graph, tmp_path, monkeypatch, directi
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_edges_met_from_either_end_move_once(spark, tmp_path):
+    """Parallel edges, loops and edges between inner nodes come once for each start, and no row is grouped to see to that."""
+    links = [(1, 2), (1, 2), (2, 1), (2, 3), (3, 3), (3, 1), (4, 3), (5, 6)]
+    edges = spark.createDataFrame(links, "src long, dst long")
+    for given in (edges, match.StoredEdges(edges, str(tmp_path / "parallel"), 2)):
+        walked = match.traverse(given, starts(spark, 1, 4, 6), "both", 2)[1]
+        inner = {1: {1, 2, 3}, 4: {4, 3}, 6: {6, 5}}
+        assert rows(walked) == sorted({(s, a, b) for s, near in inner.items() for a, b in links if {a, b} & near})
+    written = match.traverse(edges, starts(spark, 1), "both", 2)[1]
+    assert "Aggregate" not in written._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_full_nodes(spark, graph):
     reached, _ = match.traverse(graph.edges("ROAD"), starts(spark, 1), "outbound", 2)
     assert rows(match.with_nodes(reached, graph.nodes("Town")).select("start", "depth", "name")) == [(1, 1, "town2"), (1, 2, "town3")]
