@@ -32,3 +32,10 @@ def test_starts_that_share_a_node_are_one_row(spark):
     assert [level.count() for level in levels] == [300, 1, 1, 1]
     assert inner.count() == 302
     assert match.reached_nodes(edges, spark.range(300), "outbound", 3).groupBy("depth").count().filter("count = 300").count() == 3
+
+
+def test_inbound_starts_share_a_row(spark):
+    """The same against the direction of the edges: one row per node and round for 300 starts."""
+    edges = spark.createDataFrame([(1000, i) for i in range(300)] + [(1001, 1000), (1002, 1001)], "src long, dst long")
+    levels, _ = match._sets_reached(match._steps(edges, "inbound", True), match._numbered_starts(spark.range(300)), 3)
+    assert [level.count() for level in levels] == [300, 1, 1, 1]
