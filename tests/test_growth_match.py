@@ -39,3 +39,16 @@ def test_inbound_starts_share_a_row(spark):
     edges = spark.createDataFrame([(1000, i) for i in range(300)] + [(1001, 1000), (1002, 1001)], "src long, dst long")
     levels, _ = match._sets_reached(match._steps(edges, "inbound", True), match._numbered_starts(spark.range(300)), 3)
     assert [level.count() for level in levels] == [300, 1, 1, 1]
+
+
+def test_stored_edges_are_derived_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    edges = spark.range(100).selectExpr("id AS src", "id + 1 AS dst").mapInArrow(count, "src long, dst long")
+    match.StoredEdges(edges, str(tmp_path / "edges"), 2)
+    assert made.value == 100
